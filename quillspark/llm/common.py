@@ -6,8 +6,10 @@ import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,3 +55,20 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, rows: i
         .where("label = _most").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).drop("_most")
     )
     return documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+
+
+def scored(documents: DataFrame, name: str, model) -> DataFrame:
+    """``documents`` with the double column ``name``: what ``model.score`` gives for each batch of whole texts.
+
+    The model is broadcast; its size is bounded by the sample that it was fitted to. A column called ``name`` is replaced.
+    """
+    sent = documents.sparkSession.sparkContext.broadcast(model)
+    kept = documents.drop(name)
+    where = kept.columns.index("text")
+
+    def of(batches):
+        for batch in batches:
+            scores = pa.array(sent.value.score(batch.column(where).to_pylist()), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, name])
+
+    return kept.mapInArrow(of, T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())]))

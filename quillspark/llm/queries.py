@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import decontaminate, packing, simhash
+from quillspark.llm import chat, decontaminate, knn_quality, packing, simhash, toxicity
 from quillspark.llm.common import table
 
 
@@ -15,23 +15,40 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), distance=3)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_format(table(spark, sf_dir, "conversations"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 QUERIES = {
+    "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
+    "op4_toxicity": op4_toxicity,
     "op5_decontaminate": op5_decontaminate,
+    "op9_chat": op9_chat,
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op9_chat": chat.ORACLE_SQL,
+}
