@@ -21,7 +21,7 @@ from quillspark.llm.common import held_out, labelled_sample, scored, written
 from quillspark.llm.trees import boosted_score, exported
 
 #: Lengths of the word beginnings that are counted beside whole words; entries kept at most.
-BEGINNINGS, ENTRIES = (4, 5, 6), 400
+BEGINNINGS, ENTRIES = (4, 5, 6, 7, 8), 400
 #: Pronouns of the second person.
 YOU = frozenset("you your yours yourself u ur du dich dir dein deine deinen ihr euch tu toi te ton ta tes vous votre vos tú ti tus usted ustedes vosotros".split())
 #: Letters that digits and signs stand for in obfuscated words.
