@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillspark.llm import decontaminate, packing, simhash
-from quillspark.llm.common import table, written
+from quillspark.llm import decontaminate, knn_quality, packing, secrets, simhash
+from quillspark.llm.common import scored, table, written
 from quillspark.llm.queries import tokenizer_path
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects (score below 0.3) go."""
+    model = knn_quality.fit(docs, table(spark, sf_dir, "labels"))
+    return scored(docs, "_quality", model).where(F.col("_quality") >= 0.3).select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: the one of the smallest doc_id."""
     return simhash.one_of_each(docs)
@@ -19,14 +26,21 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).where("not contaminated").select(*docs.columns)
 
 
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked; every document stays."""
+    return secrets.redact(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left is packed into training sequences."""
     return packing.pack(docs, tokenizer_path())
 
 
 STAGES = [
+    ("quality", quality),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
+    ("secret_scans", secret_scans),
     ("packing", pack),
 ]
 

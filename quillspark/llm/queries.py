@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import chat, decontaminate, knn_quality, packing, simhash, toxicity
+from quillspark.llm import chat, decontaminate, html_text, knn_quality, packing, secrets, simhash, toxicity
 from quillspark.llm.common import table
 
 
@@ -32,6 +32,16 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.coalesce("redacted", F.lit("")).cast("binary"), 256)
+    return found.select("doc_id", "n_candidates", F.size("findings").cast("long").alias("n_findings"), "findings", digest.alias("redacted_sha256"))
+
+
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_format(table(spark, sf_dir, "conversations"))
 
@@ -45,6 +55,8 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
     "op5_decontaminate": op5_decontaminate,
+    "op6_secrets": op6_secrets,
+    "op7_html": op7_html,
     "op9_chat": op9_chat,
     "op10_packing": op10_packing,
 }
