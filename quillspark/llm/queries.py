@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import chat, decontaminate, html_text, knn_quality, packing, secrets, simhash, toxicity
+from quillspark.llm import chat, decontaminate, html_text, knn_quality, packing, secrets, simhash, srs, toxicity
 from quillspark.llm.common import table
 
 
@@ -15,6 +15,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_srs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return srs.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
 
@@ -51,6 +55,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_srs": op1_srs,
     "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
