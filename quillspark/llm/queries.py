@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import chat, decontaminate, html_text, knn_quality, packing, secrets, simhash, srs, toxicity
+from quillspark.llm import chat, decontaminate, html_text, knn_quality, packing, secrets, simhash, srs, substrings, toxicity
 from quillspark.llm.common import table
 
 
@@ -46,6 +46,11 @@ def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), length=50)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_format(table(spark, sf_dir, "conversations"))
 
@@ -62,6 +67,7 @@ QUERIES = {
     "op5_decontaminate": op5_decontaminate,
     "op6_secrets": op6_secrets,
     "op7_html": op7_html,
+    "op8_substrings": op8_substrings,
     "op9_chat": op9_chat,
     "op10_packing": op10_packing,
 }
