@@ -1,0 +1,78 @@
+"""Batch jobs: chunk tables, states, progress and costs."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from quillspark.functions.text import failed_state, state, succeeded
+
+
+def state_rollup(chunks: DataFrame, job: str, status: str) -> DataFrame:
+    """job, n, state: failed or succeeded once all chunks have ended, else running; empty where a state could not be read."""
+    s = F.col(status)
+    done = succeeded(s) | failed_state(s)
+    out = chunks.groupBy(job).agg(F.count(F.lit(1)).alias("n"), F.bool_and(done).alias("_all"), F.bool_or(failed_state(s)).alias("_failed"), F.bool_or(F.coalesce(s, F.lit("")).startswith("ERROR:")).alias("_error"))
+    rolled = F.when(F.col("_error"), "").when(F.col("_all"), F.when(F.col("_failed"), "failed").otherwise("succeeded")).otherwise("running")
+    return out.select(job, "n", rolled.alias("state"))
+
+
+def state_counts(chunks: DataFrame, status: str) -> DataFrame:
+    """state, n, finished: chunks by state."""
+    return chunks.groupBy(state(F.col(status)).alias("state")).agg(F.count(F.lit(1)).alias("n"), F.bool_or(succeeded(F.col(status)) | failed_state(F.col(status))).alias("finished")).orderBy("state")
+
+
+def request_total(jobs: DataFrame, chunks: DataFrame, job: str, count: str, retries: Column | None = None) -> DataFrame:
+    """job, total: the job's own count, else the sum of its chunks' (without those ``retries`` picks), else null."""
+    held = chunks if retries is None else chunks.where(~retries)
+    summed = held.groupBy(job).agg(F.sum(count).alias("_sum"))
+    return jobs.join(summed, job, "left").select(job, F.coalesce(F.col(count), "_sum").alias("total"))
+
+
+def progress(df: DataFrame, ended: list[str], total: str) -> DataFrame:
+    """``df`` with processed, ratio and line: the sum of the ended requests over the total, as ``10/20 (50.00%)``."""
+    done = sum((F.coalesce(F.col(c), F.lit(0)) for c in ended), F.lit(0))
+    ratio = F.when(F.col(total) > 0, done / F.col(total)).otherwise(0.0)
+    return df.withColumns({"processed": done, "ratio": F.round(ratio, 6), "line": F.format_string("%d/%d (%.2f%%)", done.cast("long"), F.col(total).cast("long"), ratio * 100)})
+
+
+def readiness(df: DataFrame, status: str, processed: str, total: str) -> DataFrame:
+    """A success whose requests are not all processed yet is finalizing."""
+    return df.withColumn("readiness", F.when(succeeded(F.col(status)) & (F.col(processed) < F.col(total)), "finalizing").otherwise(F.lower(state(F.col(status)))))
+
+
+def linked_chunks(parent: DataFrame, child: DataFrame, job: str, name: str, index: str) -> DataFrame:
+    """The parents' chunks and those chunks of their retries that they do not have by name, numbered on from the largest index."""
+    new = child.join(parent.select(job, name), [job, name], "left_anti")
+    most = parent.groupBy(job).agg(F.max(index).alias("_most"))
+    place = F.row_number().over(Window.partitionBy(job).orderBy(index, name))
+    moved = new.join(most, job, "left").withColumn(index, (F.coalesce("_most", F.lit(0)) + place).cast(parent.schema[index].dataType)).drop("_most")
+    return parent.unionByName(moved, allowMissingColumns=True)
+
+
+def replaced_chunks(chunks: DataFrame, rerun: DataFrame, job: str, index: str) -> DataFrame:
+    """Entries of a rerun take the place of those with their index; others are appended."""
+    return chunks.join(rerun.select(job, index), [job, index], "left_anti").unionByName(rerun)
+
+
+def updated_status(chunks: DataFrame, status: DataFrame, name: str, column: str = "status") -> DataFrame:
+    """``chunks`` with the new status by ``name``, where there is one, and ``changed``."""
+    new = status.select(name, F.col(column).alias("_new"))
+    out = chunks.join(new, name, "left")
+    changed = F.col("_new").isNotNull() & ~F.col("_new").eqNullSafe(F.col(column))
+    return out.withColumn("changed", changed).withColumn(column, F.coalesce("_new", column)).drop("_new")
+
+
+def newest_first(df: DataFrame, created: str, updated: str, key: str, limit: int | None = None) -> DataFrame:
+    """Rows by their creation time, or their update where that is blank, newest first, ties by key."""
+    when = F.coalesce(F.nullif(F.col(created).cast("string"), F.lit("")), F.col(updated).cast("string"))
+    out = df.orderBy(when.desc(), F.col(key))
+    return out.limit(max(1, limit)) if limit is not None else out
+
+
+def cost_estimate(df: DataFrame, expected: str, rate: float) -> DataFrame:
+    return df.withColumn("cost", F.col(expected) / 1000 * rate)
+
+
+def retrieved_state(missing: Column) -> Column:
+    return F.when(missing == 0, "retrieved_complete").otherwise("retrieved_partial")
