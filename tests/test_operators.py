@@ -1,0 +1,185 @@
+"""Edge cases of the operators that the test tables do not have."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quillspark.functions import text, values
+from quillspark.operators import aggregates, confidence, coverage, dedupe, jobs, nested, order, responses, sampling, scoring
+from quillspark.sources import files, sinks
+from quillspark.streaming import log
+
+
+def col(spark, data, f, kind="string"):
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(data)], f"k int, v {kind}")
+    return [r[0] for r in df.select(f(F.col("v")).alias("o"), "k").orderBy("k").collect()]
+
+
+def test_identity(spark):
+    refs = ["pages/a.png", "gs://bucket/pages/a.png", "/tmp/images/a.png", "gs://bucket", " ", "", None, ".", "a/"]
+    assert col(spark, refs, text.identity) == ["a.png", "a.png", "a.png", "bucket", None, None, None, None, "a"]
+
+
+def test_object_key(spark):
+    refs = ["gs://b/o/x.png", "gs://c/o", "gs://b/", "//o", "", None]
+    assert col(spark, refs, lambda c: text.object_key(c, "b")) == ["o/x.png", None, None, "o", None, None]
+
+
+def test_names(spark):
+    assert col(spark, [" Hospital-Stay  date ", "__a__b_"], text.field_name) == ["hospital_stay_date", "a_b"]
+    assert col(spark, ["submit_20240102_030405", "bare"], text.run_time) == ["2024-01-02T03:04:05", ""]
+    assert col(spark, ["a.b.JOB_STATE_FAILED", None, " "], text.state) == ["JOB_STATE_FAILED", "UNKNOWN", "UNKNOWN"]
+    assert col(spark, ["page_0012.png", "page_x.png", None], text.page_number) == [12, None, None]
+    assert col(spark, ["vol_12345_67890/x_11111.png", "vol/x_22222.png", "33333.png"], text.folder_number) == [67890, 22222, None]
+    assert col(spark, ["projects/p/locations/eu/jobs/1", "x"], text.location_of) == ["eu", None]
+    assert col(spark, ["key=abcdefghij", "short"], lambda c: text.redacted(c, ["abcdefghij", "short"])) == ["key=[redacted]", "short"]
+    assert col(spark, ["x" * 600], lambda c: F.length(text.compact_error(c))) == [500]
+
+
+def test_emptiness_lattice(spark):
+    assert col(spark, ["x", " ", "", None, "0"], values.populated) == [True, False, False, False, True]
+    assert col(spark, ["yes", "0", "Y", None, "failed"], values.truthy) == [True, False, True, False, False]
+    assert col(spark, ["failed", "no", None], lambda c: values.row_failed(c, F.lit("error"))) == [True, False, True]
+    v = ['2', '"2"', 'true', '{}', '[]', '" "', 'null', '{"a":1}']
+    parsed = lambda f: col(spark, v, lambda c: f(F.parse_json(c)))
+    assert parsed(values.real_number) == [2.0, None, None, None, None, None, None, None]
+    assert parsed(values.parsed_number) == [2.0, 2.0, None, None, None, None, None, None]
+    assert parsed(values.populated_variant) == [True, True, True, False, False, False, False, True]
+
+
+def test_coverage_with_nothing_expected(spark):
+    none = spark.createDataFrame([], "k int")
+    some = spark.createDataFrame([(1,), (None,)], "k int")
+    assert coverage.coverage_report(none, some, "k").collect()[0].asDict() == {"expected": 0, "covered": 0, "missing": 0, "extra": 1, "ratio": None}
+    assert coverage.restrict(some, None, F.col("k"), "k").count() == 2
+    assert coverage.restrict(some, None, F.col("k"), "k", none_keeps=False).count() == 0
+    assert {r.k for r in coverage.continue_with(some, none, F.col("k"), "k").collect()} == {1, None}
+
+
+def test_failed_keys_without_fallback(spark):
+    keys = spark.createDataFrame([("a",), ("b",)], "key string")
+    failures = spark.createDataFrame([("a", "late"), ("<line:3>", "broken"), ("z", None)], "key string, reason string")
+    assert {tuple(r) for r in coverage.failed_keys(keys, keys.where("key = 'b'"), failures, "key").collect()} == {("a", "late")}
+    assert {tuple(r) for r in coverage.failed_keys(keys, keys, failures, "key").collect()} == {("a", "late"), ("z", "unknown_failure")}
+    assert coverage.failed_keys(keys, keys, failures, "key", strict=True).count() == 0
+
+
+def test_first_successful_keeps_the_place_of_the_failure(spark):
+    rows = [(1, "a", True), (2, "b", False), (3, "a", False), (4, "a", False), (5, None, True), (6, None, True)]
+    df = spark.createDataFrame(rows, "seq int, item string, failed boolean")
+    out = dedupe.first_successful(df, "item", F.col("failed"), "seq").orderBy("position")
+    assert [(r.seq, r.item, r.position) for r in out.collect()] == [(3, "a", 1), (2, "b", 2), (5, None, 5), (6, None, 6)]
+    actions = {r.seq: r.action for r in dedupe.ledger(df, "item", F.col("failed"), "seq").collect()}
+    assert actions == {1: "kept", 2: "kept", 3: "replaced_failed_duplicate", 4: "skipped_duplicate", 5: "kept", 6: "kept"}
+    assert {r.action for r in dedupe.ledger(df, "item", F.col("failed"), "seq", keep_all=True).where("seq > 2 and item is not null").collect()} == {"included_duplicate"}
+
+
+def test_even_chunks(spark):
+    df = spark.range(5).toDF("k")
+    sizes = [r["count"] for r in order.even_chunks(df, 3, "k").groupBy("chunk").count().orderBy("chunk").collect()]
+    assert sizes == [2, 2, 1]
+    assert order.even_chunks(df.where("k < 0"), 3, "k").count() == 0
+    assert [r["index"] for r in order.with_index(df, "k").orderBy("k").collect()] == [0, 1, 2, 3, 4]
+
+
+def test_duplicate_audit(spark):
+    names = [("a", "1"), ("b", "2"), ("a", "3"), (None, "4"), (None, "5"), ("a", "6")]
+    out = dedupe.duplicate_audit(spark.createDataFrame(names, "n string, place string"), "n", "place")
+    assert {(r.n, r.kept_index, r.skipped_index) for r in out.collect()} == {("a", 1, 3), ("a", 1, 6)}
+
+
+def test_completeness_without_rows(spark):
+    out = aggregates.completeness(spark.createDataFrame([], "a string, b int"), ["a", "b"]).collect()
+    assert [(r.column_name, r.populated, r.completeness) for r in out] == [("a", 0, 0.0), ("b", 0, 0.0)]
+
+
+def test_distribution_of_nothing(spark):
+    r = aggregates.distributions(spark.createDataFrame([(None,)], "v double"), "v").collect()[0]
+    assert r.n == 0 and r["mean"] is None and r["median"] is None
+
+
+def test_accuracy_conventions_differ(spark):
+    df = spark.createDataFrame([("accept",), ("partial",), ("unsure",), ("whatever",)], "label string").withColumn("c", F.lit(" "))
+    assert scoring.report_accuracy(df, "label").collect()[0].asDict() == {"n": 3, "accuracy": 0.666667}
+    r = scoring.metric_summary(df, "label", "c").collect()[0]
+    assert (r.metric, r.decisions, r.accuracy) == ("(unknown)", 4, 75.0)
+    assert {x.label: x.n for x in scoring.label_distribution(df, "label").collect()}["rejected"] == 0
+
+
+def test_flatten_and_lines(spark):
+    schema = T.StructType().add("a", T.StructType().add("b", T.StructType().add("c", T.IntegerType()))).add("l", T.ArrayType(T.IntegerType()))
+    flat = nested.flattened(spark.createDataFrame([(((1,),), [2])], schema))
+    assert flat.columns == ["a.b.c", "l"] and tuple(flat.collect()[0]) == (1, [2])
+    pages = spark.createDataFrame([("p", [("first", 7), ("second", None)])], "image string, page_lines array<struct<text:string,page_line_number:int>>")
+    assert [(r.text, r.page_line_number) for r in nested.page_lines(pages).collect()] == [("first", 1), ("second", 2)]
+    v = spark.sql("SELECT 1 AS k, parse_json('{\"a\":{\"b\":{}},\"c\":[{\"d\":1}]}') AS v")
+    assert {(r.path, r.value) for r in nested.variant_leaves(v, "k", "v").collect()} == {("a.b", "{}"), ("c", '[{"d":1}]')}
+
+
+def test_jobs(spark):
+    parent = spark.createDataFrame([("j", "c1", 1), ("j", "c2", 2)], "job string, name string, i int")
+    child = spark.createDataFrame([("j", "c2", 1), ("j", "r1", 2)], "job string, name string, i int")
+    assert {(r.name, r.i) for r in jobs.linked_chunks(parent, child, "job", "name", "i").collect()} == {("c1", 1), ("c2", 2), ("r1", 3)}
+    status = jobs.updated_status(parent.withColumn("status", F.lit("RUNNING")), spark.createDataFrame([("c1", "DONE")], "name string, status string"), "name")
+    assert {(r.name, r.status, r.changed) for r in status.collect()} == {("c1", "DONE", True), ("c2", "RUNNING", False)}
+    errors = spark.createDataFrame([("j", "ERROR: x"), ("k", "JOB_STATE_SUCCEEDED"), ("k", "JOB_STATE_PARTIALLY_SUCCEEDED")], "job string, s string")
+    assert {(r.job, r.state) for r in jobs.state_rollup(errors, "job", "s").collect()} == {("j", ""), ("k", "failed")}
+
+
+def test_sampling(spark):
+    state = spark.createDataFrame([("patient.name", 50, 10, 10), ("fk_info", 50, 0, 0)], "field string, size int, selected int, scored int")
+    assert sampling.ucb_scores(state).orderBy(F.desc("score")).first().field == "fk_info"
+    assert sampling.exact_sample(spark.range(5).toDF("k"), F.col("k"), 0.5).count() == 2
+    assert sampling.exact_sample(spark.range(5).toDF("k"), F.col("k"), 0.0).count() == 1
+
+
+def test_responses(spark):
+    lines = ['{"key":"a","response":{"candidates":[{"content":{"parts":[{"text":" x ","thought":true}]}},{"content":{"parts":[{"text":" {\\"q\\":"},{"text":"1} "}]}}]}}', '{"key":"b","response":{"text":"{}"}}', "nonsense", '{"key":" "}', '{"key":"c","response":null}']
+    df = spark.createDataFrame([(k, s) for k, s in enumerate(lines)], "n int, line string")
+    selected, rejected = responses.collected(df, "line", ["n"])
+    assert {(r.key, r.text) for r in selected.collect()} == {("a", '{"q":1}'), ("b", "{}")}
+    assert {r.reason for r in rejected.collect()} == {"invalid_jsonl_line", "missing_key", "missing_response"}
+    thoughts = df.where("n = 0").select(responses.response_thoughts(F.try_variant_get(responses.parsed(F.col("line")), "$.response", "variant")).alias("t"))
+    assert thoughts.first().t == "x"
+
+
+def test_confidence(spark):
+    df = spark.createDataFrame([("k", "/a", -0.1), ("k", "/a", -0.3), ("k", "/b", None)], "key string, leaf string, lp double")
+    out = confidence.leaf_confidence(df, "key", "leaf", "lp").collect()
+    assert len(out) == 1 and out[0].ratio == pytest.approx(0.8187307)
+
+
+def test_sources_and_sinks(spark, tmp_path):
+    (tmp_path / "d.jsonl").write_text('{"a":1}\n\nbroken\n[1]\n{"a":"2"}\n')
+    path = str(tmp_path / "d.jsonl")
+    assert files.json_lines(spark, path).count() == 2
+    assert files.json_lines(spark, path, limit=1).count() == 1
+    assert files.row_count(spark, path, "jsonl") == 4
+    with pytest.raises(Exception, match="no JSON object"):
+        files.json_lines_strict(spark, path).collect()
+    (tmp_path / "m.csv").write_text("﻿SBID;x;Year\n7;a;1890\n7;b;1891\nq;c;1892\n")
+    assert [tuple(r) for r in files.year_lookup(spark, str(tmp_path / "m.csv")).collect()] == [(7, 1891)]
+    out = str(tmp_path / "csv")
+    first = spark.createDataFrame([("a", "1", 5)], "image_name string, failed string, value int")
+    sinks.append_delimited(first, spark, out)
+    sinks.append_delimited(first.drop("value").withColumn("more", F.lit("x")), spark, out)
+    got = files.delimited(spark, out)
+    assert got.columns == ["image_name", "failed", "value"] and got.count() == 2
+    sinks.append_json_lines(first, str(tmp_path / "out"))
+    assert files.json_lines(spark, str(tmp_path / "out")).count() == 1
+    sinks.versioned_copy(first, str(tmp_path / "ds"), 1, "import")
+    assert spark.read.parquet(str(tmp_path / "ds/current")).count() == 1
+    assert files.listing(spark, str(tmp_path), [".csv"], glob="m*.csv").count() == 1
+
+
+def test_streams(spark, tmp_path):
+    rows = [(k, f"2024-01-0{1 + k % 3} 00:00:00", "ab"[k % 2]) for k in range(12)]
+    df = spark.createDataFrame(rows, "event_id int, ts string, kind string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    df.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = lambda: log.event_stream(spark, str(tmp_path / "in"), df.schema, "part")
+    assert {tuple(r) for r in log.drained(log.running_counts(stream(), "kind"), spark, "t_counts").collect()} == {("a", 6), ("b", 6)}
+    windows = log.drained(log.windowed_counts(stream(), "ts", "kind"), spark, "t_windows")
+    assert sum(r.n for r in windows.collect()) == 12
+    for turn in (1, 2):
+        log.append_batches(stream(), str(tmp_path / "out"), str(tmp_path / f"cp{turn}"), "event_id").awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 12
