@@ -130,18 +130,18 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = 13, s
     """
     hits = matches(documents, benchmark, width).select("doc_id", "text_hash", "item_id", "first", "size").distinct()
     by_item = hits.groupBy("doc_id", "text_hash").agg(
-        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("_items"),
-        F.size(F.array_distinct(F.flatten(F.collect_set(F.sequence(F.col("first"), F.col("first") + F.col("size") - 1))))).cast("long").alias("_n_hit"),
+        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("_con_items"),
+        F.size(F.array_distinct(F.flatten(F.collect_set(F.sequence(F.col("first"), F.col("first") + F.col("size") - 1))))).cast("long").alias("_con_hits"),
     )
     names = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-    held = documents.drop(*names).withColumn("_hash", F.xxhash64("text")).withColumn(
+    held = documents.drop(*names).withColumn("_con_hash", F.xxhash64("text")).withColumn(
         "n_words", F.regexp_count(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), F.lit(WORD)).cast("long")
     )
-    by_item = by_item.withColumnRenamed("doc_id", "_doc_id")
-    joined = held.join(by_item, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_hash") == F.col("text_hash")), "left")
-    items = F.coalesce("_items", F.array().cast("array<string>"))
+    by_item = by_item.toDF("_con_id", "_con_text", "_con_items", "_con_hits")
+    joined = held.join(by_item, F.col("doc_id").eqNullSafe(F.col("_con_id")) & (F.col("_con_hash") == F.col("_con_text")), "left")
+    items = F.coalesce("_con_items", F.array().cast("array<string>"))
     return (
-        joined.withColumn("n_hit", F.coalesce("_n_hit", F.lit(0)).cast("long"))
+        joined.withColumn("n_hit", F.coalesce("_con_hits", F.lit(0)).cast("long"))
         .withColumn("n_items", F.size(items).cast("long"))
         .withColumn("items_sha256", F.sha2(F.array_join(items, ",").cast("binary"), 256))
         .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))

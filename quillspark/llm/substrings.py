@@ -208,12 +208,12 @@ def dedup(documents: DataFrame, length: int = 50) -> DataFrame:
     repeated rows are returned as often as they occur. Columns called like results are replaced.
     """
     names = ["n_words", "n_removed", "kept"]
-    held = documents.drop(*names, "text_hash", "ranges")
+    held = documents.drop(*names)
     keyed = held.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    ranges = repeated(keyed, length).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "ranges")
-    joined = held.withColumn("text_hash", F.xxhash64(F.col("text").cast("string"))).join(ranges, (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
+    ranges = repeated(keyed, length).toDF("_sub_id", "_sub_hash", "_sub_ranges")
+    joined = held.withColumn("_sub_own", F.xxhash64(F.col("text").cast("string"))).join(ranges, (F.col("doc_id").cast("long") == F.col("_sub_id")) & (F.col("_sub_own") == F.col("_sub_hash")), "left")
     columns = held.columns
-    joined = joined.select(*columns, "ranges")
+    joined = joined.select(*columns, "_sub_ranges")
     where = columns.index("text")
 
     def of(batches):

@@ -1,0 +1,364 @@
+"""Corpus operators on documents against brute force, with nulls, blanks, ties, repeated rows and clashing columns."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from quillspark.llm import components, decontaminate, knn_quality, packing, secrets, simhash, substrings, toxicity
+from quillspark.llm.fm_index import FMIndex, WaveletMatrix, suffix_order
+
+WORDS = [a + b for a in ("ka", "lo", "mi", "nu", "pe", "ro", "sa", "tu") for b in ("ban", "der", "fil", "gor", "hum", "jet", "kli")]
+SCHEMA = "doc_id long, text string, lang string, score string, n_words string, _hash int"
+
+
+def corpus(seed=3, n=60):
+    """Documents with passages that others have, exact and near copies, odd spaces, an emoji, blanks and a null."""
+    r = random.Random(seed)
+    said = lambda k: " ".join(r.choice(WORDS) for _ in range(k))
+    shared = [said(70), said(50), said(49)]
+    texts = []
+    for k in range(n):
+        t = said(r.randrange(1, 160))
+        if k % 3 == 0:
+            t = f"{said(k % 7)} {r.choice(shared)}\t{said(5)}\n"
+        if k % 10 == 7:
+            t = texts[k - 4]
+        if k % 10 == 8:
+            t = texts[k - 5].replace(" ", "  ", 1) + " end"
+        texts.append(t)
+    texts += [None, "", " \t\n", "one", "one two", "É 😀 " + shared[0], "the the " * 90, "the the " * 90, shared[0].upper() + ".", "x\x1cy \xa0z " + said(60)]
+    return [(2 * k, t, "en", "s", "w", 1) for k, t in enumerate(texts)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = corpus()
+    rows += [rows[5], rows[6], (None, rows[9][1], "en", "s", "w", 1), (None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(5).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def same(got, want):
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+# SimHash
+
+
+def brute_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))]
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_components(fps, ids):
+    label = [i if i is not None else 10**9 for i in ids]
+    while True:
+        new = [min(label[j] for j in range(len(fps)) if bin(fps[i] ^ fps[j]).count("1") <= 3) for i in range(len(fps))]
+        if new == label:
+            return [x if x < 10**9 else None for x in label]
+        label = new
+
+
+def test_simhash(docs, empty):
+    rows = docs.select("doc_id", "text").collect()
+    fps = [brute_fingerprint(r.text) for r in rows]
+    want = [(r.doc_id, f"{f:016x}", c) for r, f, c in zip(rows, fps, brute_components(fps, [r.doc_id for r in rows]))]
+    same([tuple(r) for r in simhash.near_duplicates(docs).collect()], want)
+    assert simhash.near_duplicates(empty).count() == 0
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    same([r.doc_id for r in kept.collect()], [d for d, _, c in want if d is None or d == c])
+
+
+def test_simhash_links_of_dense_groups(spark, monkeypatch):
+    """Groups of fingerprints a few bits apart, in one bucket: through the join and through the blocks."""
+    r = np.random.default_rng(5)
+    base = r.integers(0, 2**63, size=4, dtype=np.int64)
+    fps = [int(b) ^ (1 << int(i)) ^ (1 << int(j)) for b in base for i, j in r.integers(0, 62, size=(120, 2))] + r.integers(0, 2**63, size=200, dtype=np.int64).tolist()
+    fps = sorted(set(fps))
+    df = spark.createDataFrame([(f,) for f in fps], "fp long").cache()
+    want = brute_components([f & (2**64 - 1) for f in fps], list(range(len(fps))))
+    for light, block in ((10_000, 64), (2, 16)):
+        monkeypatch.setattr(simhash, "LIGHT", light)
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        found = simhash.links(df).collect()
+        root = {x: x for x in fps}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in found:
+            root[find(a)] = find(b)
+        group = {}
+        assert all(group.setdefault(find(f), w) == w for f, w in zip(fps, want)) and len(group) == len(set(want))
+        pairs = sum(bin(a ^ b).count("1") <= 3 for k, a in enumerate(fps) for b in fps[:k])
+        assert len(found) == pairs if light > 1000 else len(found) < pairs / 2
+
+
+def test_thresholds_sum(spark):
+    r = np.random.default_rng(1)
+    sample = r.integers(0, 2**64, size=3000, dtype=np.uint64)
+    plan = simhash.Allotment(sample, 10**7, 3)
+    allotted, _ = plan.thresholds(sample[:100])
+    assert (allotted.sum(axis=1) == 3 - len(plan.groups) + 1).all() and sorted(np.concatenate(plan.groups)) == list(range(64))
+
+
+def test_components(spark):
+    chain = [(k, k + 1) for k in range(0, 60)] + [(100, 101), (101, 100), (7, 7), (None, 3), (200, 100)]
+    out = {r.node: r.root for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert all(out[k] == 0 for k in range(61)) and {out[k] for k in (100, 101, 200)} == {100} and len(out) == 64
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# Decontamination
+
+BENCH = [(1, "ignored"), (2, None), (3, ""), (10, "Ka-Lo mi"), (11, "kaban")]
+
+
+def bench_rows():
+    texts = [r[1] for r in corpus() if r[1] and len(r[1].split()) > 60]
+    return [*BENCH, (20, " ".join(texts[0].split()[5:40])), (21, texts[1].upper()), (21, texts[1].upper()), (22, "É 😀 loban " * 7), (None, texts[2])]
+
+
+def brute_decontamination(rows, bench):
+    word = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+    words = lambda t: word.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+    windows = {}
+    for item, t in bench:
+        w = words(t)
+        if w and item is not None:
+            n = min(13, len(w))
+            for k in range(len(w) - n + 1):
+                windows.setdefault(tuple(w[k : k + n]), set()).add(item)
+    for doc, t in rows:
+        w, hit, items = words(t), set(), set()
+        for n in {len(k) for k in windows}:
+            for k in range(len(w) - n + 1):
+                if found := windows.get(tuple(w[k : k + n])):
+                    items |= found
+                    hit |= set(range(k, k + n))
+        digest = hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()
+        yield doc, len(w), len(hit), len(items), digest, bool(hit) and 20 * len(hit) >= len(w)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_decontamination(spark, docs, empty, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(decontaminate, "BROADCAST_WORDS", 1)
+    bench = spark.createDataFrame(bench_rows(), "item_id long, text string")
+    out = decontaminate.contamination(docs, bench)
+    assert set(docs.columns) <= set(out.columns)
+    got = [(r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in out.collect()]
+    want = list(brute_decontamination([(r.doc_id, r.text) for r in docs.collect()], bench_rows()))
+    same(got, want)
+    assert any(w[-1] for w in want)
+    assert decontaminate.contamination(empty, bench).count() == 0
+    none = decontaminate.contamination(docs, bench.limit(0))
+    assert none.where("n_hit > 0 or contaminated").count() == 0 and none.count() == docs.count()
+
+
+def test_proximity(spark):
+    docs = spark.createDataFrame([(1, "b x a c"), (2, "a b c"), (3, "a " + "x " * 30 + "b c")], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, "a b c")], "item_id long, text string")
+    assert {r.doc_id for r in decontaminate.proximity(docs, bench, width=3, within=3).collect()} == {1, 2}
+
+
+# Substrings
+
+
+def brute_substrings(rows, length=50):
+    docs = [(d, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for d, t in rows]
+    first = {}
+    for d, w in docs:
+        if d is not None:
+            for k in range(len(w) - length + 1):
+                key = tuple(w[k : k + length])
+                first[key] = min(first.get(key, d), d)
+    for d, w in docs:
+        gone = set()
+        if d is not None:
+            for k in range(len(w) - length + 1):
+                if first[tuple(w[k : k + length])] < d:
+                    gone |= set(range(k, k + length))
+        yield d, len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)
+
+
+@pytest.mark.parametrize(("hot", "words"), [(400, 60_000), (1, 500)])
+def test_substrings(docs, empty, monkeypatch, hot, words):
+    monkeypatch.setattr(substrings, "HOT", hot)
+    monkeypatch.setattr(substrings, "SHARD_WORDS", words)
+    out = substrings.dedup(docs)
+    want = list(brute_substrings([(r.doc_id, r.text) for r in docs.collect()]))
+    same([(r.doc_id, r.n_words, r.n_removed, r.kept) for r in out.collect()], want)
+    assert sum(w[2] for w in want) > 500 and set(docs.columns) <= set(out.columns)
+    assert substrings.dedup(empty).count() == 0
+
+
+def test_long_texts_are_cut_into_stretches(monkeypatch):
+    r = random.Random(2)
+    text = " ".join(r.choice(WORDS) for _ in range(700))
+    whole = substrings.Segmenter(50).segments(text)
+    monkeypatch.setattr(substrings, "STRETCH", 90)
+    assert all((a == b).all() for a, b in zip(whole, substrings.Segmenter(50).segments(text)))
+    assert whole[1].sum() == 651 and whole[1].max() <= substrings.SEGMENT
+
+
+def test_fm_index():
+    r = np.random.default_rng(4)
+    lengths = np.array([30, 5, 1, 40])
+    tokens = r.integers(1, 4, size=76)
+    index = FMIndex(tokens, lengths)
+    text = index.text.tolist()
+    assert sorted(index.order) == list(range(80))
+    for size in (1, 2, 3, 5):
+        ends = np.array([e for e in range(size - 1, 80) if 0 not in text[e - size + 1 : e + 1]])
+        matched, low, high = index.windows(ends, size)
+        for e, m, a, b in zip(ends, matched, low, high):
+            places = [k for k in range(80 - size + 1) if text[k : k + size] == text[e - size + 1 : e + 1]]
+            assert m == (len(places) > 1)
+            if m:
+                assert sorted(index.order[a:b]) == places
+    symbols = r.integers(0, 9, size=300)
+    wavelet = WaveletMatrix(symbols, 8)
+    at, c = r.integers(0, 301, size=500), r.integers(0, 9, size=500)
+    assert (wavelet.rank(c, at) == [(symbols[:k] == s).sum() for k, s in zip(at, c)]).all()
+    assert suffix_order(np.array([2, 1, 2, 0])).tolist() == [3, 1, 2, 0]
+
+
+# Packing
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = public.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    return path, t
+
+
+def test_packing(docs, empty, tokenizer):
+    path, t = tokenizer
+    rows = packing.pack(docs, path, length=64, group=16).collect()
+    ids = {}
+    for r in docs.collect():
+        ids.setdefault(r.doc_id, []).append(np.array([*t.encode(r.text or "", add_special_tokens=False).ids, 2], dtype="<u4"))
+    assert sum(r.length for r in rows) == sum(len(x) for v in ids.values() for x in v)
+    for r in rows:
+        assert any(len(x) == r.doc_tokens and zlib.crc32(x[r.start : r.start + r.length].tobytes()) == r.ids_crc32 for x in ids[r.doc_id])
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append(r)
+    for pieces in by.values():
+        at = 0
+        for p in sorted(pieces, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= 64 and {p.padded_length for p in pieces} == {at if at & (at - 1) == 0 else 64}
+    assert packing.pack(empty, path).count() == 0
+
+
+def test_words_are_encoded_as_in_whole_texts(tokenizer):
+    path, t = tokenizer
+    encode = packing.word_encoder(path)
+    texts = ["It's DON'T we'll", "ÉCOLE straße Œuvre ĲSSEL İstanbul ŉ ſ", "a1b22 c_d été ͅx", "<|endoftext|> <|startoftext|>x", "x\xa0y z\x85w\x1cv", "… “q” ½ ² ǅ ﬁ ٣ 漢字 😀👍🏽", "ΑΣ ΣΑΣ", "", "   ", "!!! ?--?", "token=\"ab12\"###", "``~^"]
+    r = random.Random(1)
+    texts += ["".join(chr(r.choice([r.randrange(32, 127), r.randrange(161, 0x250), r.randrange(0x250, 0x2FF), 32])) for _ in range(80)) for _ in range(300)]
+    for text in texts:
+        assert np.frombuffer(encode(text), dtype="<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_first_fit():
+    bins, offsets = packing.first_fit(np.array([6, 5, 5, 4, 3, 1]), 10)
+    assert bins.tolist() == [0, 1, 1, 0, 2, 2] and offsets.tolist() == [0, 0, 5, 6, 0, 3]
+
+
+# Classifiers
+
+
+def classified(spark, kind):
+    r = random.Random(8)
+    docs, labels = [], []
+    for k in range(400):
+        bad = k % 3 == 0
+        text = " ".join(r.choice(WORDS) for _ in range(30)).capitalize() + "."
+        if bad and kind == "quality":
+            text = " ".join(w + "###" for w in text.split())
+        if bad and kind == "toxic":
+            text = " ".join(w + (" you " + r.choice(["idiot", "scum"]) if j % 9 == 0 else "") for j, w in enumerate(text.split()))
+        docs.append((k, text, "en", "s", "w", 1))
+        labels.append((k, int(bad != (kind == "quality")), "extra"))
+    docs += [(900, None, None, None, None, None), (901, "", "en", "s", "w", 1), (None, "kaban", "en", "s", "w", 1), docs[0]]
+    labels += [(None, 1, "x"), (902, None, "x"), (3, None, "x")]
+    return spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, f"doc_id long, {kind} int, text string")
+
+
+@pytest.mark.parametrize(("kind", "run", "threshold"), [("quality", knn_quality.quality, 0.3), ("toxic", toxicity.toxicity, 0.5)])
+def test_classifiers(spark, empty, kind, run, threshold):
+    docs, labels = classified(spark, kind)
+    out = run(docs, labels)
+    assert out.columns == ["doc_id", "held_out", "score", "predicted"]
+    rows = out.collect()
+    assert len(rows) == 404
+    truth = {r.doc_id: r[kind] for r in labels.collect() if r.doc_id is not None and r[kind] is not None}
+    for r in rows:
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= threshold)
+        assert r.held_out == (zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 5 == 0)
+    held = [r for r in rows if r.held_out and r.doc_id in truth]
+    assert sum(r.predicted == truth[r.doc_id] for r in held) >= 0.95 * len(held) > 40
+    assert run(empty, labels).count() == 0
+    alone = run(docs, labels.limit(0)).select("score").distinct().collect()
+    assert [r.score for r in alone] == [0.5]
+
+
+def test_held_out_rows_do_not_teach(spark):
+    docs, labels = classified(spark, "quality")
+    hidden = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    flipped = labels.withColumn("quality", F.when(hidden, 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = (sorted((r.doc_id or -1, r.score) for r in knn_quality.quality(docs, x).collect()) for x in (labels, flipped))
+    assert a == b
+
+
+# Secrets
+
+
+def test_secrets(spark, docs, empty):
+    key = "4d44c79e8bf7c55759c4958dd60ed83d2ef8cd4e"
+    texts = [f'see token = "{key}" there', f"TOKEN = \"{key.upper()}\"### x", f"sha256: {key}{key[:24]} ok", "path=/var/lib/service/data/report_2024.txt", "api_key: your_api_key_here1", None, "", "AKIA" + "Q7ZP3LM9X2KD81TV", "no secret here"]
+    df = spark.createDataFrame([(k, t, "old", len(t or "")) for k, t in enumerate(texts)], "doc_id long, text string, redacted string, n_chars long")
+    out = {r.doc_id: r for r in secrets.scan(df).collect()}
+    assert [len(out[k].findings) for k in range(9)] == [1, 1, 0, 0, 0, 0, 0, 1, 0]
+    assert out[0].redacted == 'see token = "[SECRET]" there' and out[5].redacted is None and out[6].redacted == ""
+    f = out[0].findings[0]
+    assert texts[0][f.start : f.start + f.length] == key
+    masked = secrets.redact(df)
+    assert masked.columns == df.columns
+    assert {r.doc_id: r.n_chars for r in masked.collect()}[0] == len('see token = "[SECRET]" there')
+    assert secrets.scan(docs).count() == docs.count() and secrets.scan(empty).count() == 0
+
+
+def test_labelled_findings_are_told_apart(spark):
+    forest = secrets.fit(spark)
+    fresh = secrets.labelled_findings(400, seed=99)
+    x = np.array([secrets.features(b + v, len(b), len(b) + len(v)) for b, v, _ in fresh])
+    from quillspark.llm.trees import forest_score
+
+    assert ((forest_score(forest, x) >= 0.5) == [y == 1 for _, _, y in fresh]).mean() >= 0.97
