@@ -147,3 +147,18 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = 13, s
         .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
         .select(*[c for c in documents.columns if c not in names], *names)
     )
+
+
+#: The same as ``contamination`` in DuckDB, for tables without repeated doc_ids.
+ORACLE_SQL = f"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM documents),
+    b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM benchmark WHERE item_id IS NOT NULL),
+    i AS (SELECT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS phrase FROM (SELECT *, least(13, len(w)) AS n, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS k FROM b WHERE len(w) > 0)),
+    p AS (SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS phrase FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM i))),
+    h AS (SELECT DISTINCT doc_id, item_id, k, n FROM p JOIN i USING (n, phrase)),
+    c AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS place FROM h) GROUP BY 1),
+    g AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM h GROUP BY 1)
+    SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(items), 0) AS n_items, sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+    FROM d LEFT JOIN c USING (doc_id) LEFT JOIN g USING (doc_id)
+"""

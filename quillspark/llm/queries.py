@@ -73,5 +73,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op5_decontaminate": decontaminate.ORACLE_SQL,
+    "op8_substrings": substrings.ORACLE_SQL,
     "op9_chat": chat.ORACLE_SQL,
 }

@@ -235,3 +235,15 @@ def dedup(documents: DataFrame, length: int = 50) -> DataFrame:
     schema = held.schema
     out = type(schema)(schema.fields[:]).add("n_words", "long").add("n_removed", "long").add("kept", "string")
     return joined.mapInArrow(of, out)
+
+
+#: The digest of ``dedup`` in DuckDB, for tables without null or repeated doc_ids.
+ORACLE_SQL = r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    p AS (SELECT doc_id, k, md5(array_to_string(w[k:k + 49], ' ')) AS h FROM (SELECT *, unnest(range(1, len(w) - 48)) AS k FROM d)),
+    f AS (SELECT h, min(doc_id) AS least FROM p GROUP BY 1),
+    g AS (SELECT DISTINCT doc_id, unnest(range(k, k + 50)) AS place FROM p JOIN f USING (h) WHERE least < doc_id),
+    u AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM d),
+    k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept, count(*) AS n FROM u ANTI JOIN g USING (doc_id, place) GROUP BY 1)
+    SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+"""
