@@ -111,3 +111,20 @@ def sample_keys(df: DataFrame, key: str, n: int) -> DataFrame:
     """The first ``max(1, n)`` keys in order, with their rank: a top-k that never sorts the whole table."""
     top = df.select(key).distinct().orderBy(key).limit(max(1, n))
     return top.withColumn("rank", F.row_number().over(Window.orderBy(key)).cast("long"))
+
+
+def integer_stats(df: DataFrame, value: str) -> DataFrame:
+    """One row: n, total (0 of nothing), min, max, mean, median of whole numbers."""
+    v = F.col(value)
+    return df.agg(F.count(v).alias("n"), F.coalesce(F.sum(v), F.lit(0)).cast("long").alias("total"), F.min(v).cast("long").alias("min"), F.max(v).cast("long").alias("max"), F.round(F.avg(v), 6).alias("mean"), F.round(F.median(v), 6).alias("median"))
+
+
+def distinct_prefixes(paths: DataFrame, path: str, limit: int) -> DataFrame:
+    """prefix: distinct first segments in order, at most ``max(1, limit)``."""
+    first = F.regexp_extract(F.regexp_replace(F.col(path), "^/+", ""), "^([^/]+)/", 1)
+    return paths.select(first.alias("prefix")).where("prefix != ''").distinct().orderBy("prefix").limit(max(1, limit))
+
+
+def ordered_distinct(df: DataFrame, key: str, seq: str) -> DataFrame:
+    """key, seq: each key with its first place."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(seq).alias(seq))

@@ -59,4 +59,4 @@ def single_row(df: DataFrame) -> DataFrame:
     """``df``, which must have exactly one row: reading it fails otherwise. At most two rows are looked at."""
     n = df.limit(2).agg(F.count(F.lit(1)).alias("_n"))
     held = F.when(F.col("_n") == 1, True).otherwise(F.raise_error(F.concat(F.lit("expected one row, found "), F.when(F.col("_n") > 1, "more").otherwise("none"))).cast("boolean"))
-    return n.where(held).join(df.limit(2), F.lit(True)).drop("_n")
+    return n.where(held).join(df.limit(2), F.lit(True), "left").drop("_n")

@@ -183,3 +183,45 @@ def test_streams(spark, tmp_path):
     for turn in (1, 2):
         log.append_batches(stream(), str(tmp_path / "out"), str(tmp_path / f"cp{turn}"), "event_id").awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 12
+
+
+def test_leaf_spans(spark):
+    from quillspark.functions.json_spans import leaf_spans, spans
+
+    text_ = ' {"a/b": "x\\"y", "l": [1.5e3, {"~": null}, []], "e": {}} '
+    found = {s["leaf"]: text_[s["start"] : s["stop"]] for s in leaf_spans(text_)}
+    assert found == {"/a~1b": 'x\\"y', "/l/0": "1.5e3", "/l/1/~0": "null"}
+    assert leaf_spans('"top"') == [{"leaf": "", "start": 1, "stop": 4}]
+    for bad in ("", None, "{", '{"a":1} x', "{'a':1}", '{"a" 1}', "[1,]", "[1 2]", "nul", '{"a":01}', '["\n"]'):
+        assert leaf_spans(bad) == []
+    df = spark.createDataFrame([(1, '{"a":[true,"b"]}')], "k long, t string")
+    leaves = df.select("k", F.explode(spans(F.col("t"))).alias("s")).select("k", "s.*")
+    tokens = spark.createDataFrame([(1, 0, '{"a":['), (1, 1, "tru"), (1, 2, 'e,"b'), (1, 3, '"]}')], "k long, place int, token string")
+    met = confidence.widest_overlap(confidence.token_spans(tokens, "k", "place", "token"), leaves, "k", "place")
+    assert {(r.place, r.leaf) for r in met.collect()} == {(1, "/a/0"), (2, "/a/0")}
+
+
+def test_schema_checks(spark):
+    from quillspark.functions import schema
+
+    fields = [schema.Field("n", "STRING"), schema.Field("d", "DATE", least="1879-01-01", most="1910-12-31"), schema.Field("k", "STRING", required=False, allowed=("DB",))]
+    said = col(spark, ['{"n":"x","d":"1900-02-03","k":"DB","z":1}', '{"n":5,"d":"1911-01-01","k":"no"}', '{"n":null,"d":"1900-13-01"}', "{}"], lambda c: schema.violations(F.parse_json(c), fields))
+    assert said == [[], ["d: out of range", "k: not allowed", "n: wrong type"], ["d: wrong type", "n: missing"], ["d: missing", "n: missing"]]
+    kind = T.StructType().add("a", T.ArrayType(T.StructType().add("b", T.IntegerType()))).add("m", T.StructType().add("c", T.StringType()))
+    assert schema.schema_paths(kind) == {"a", "a.b", "m", "m.c"} and schema.eligible_fields(kind, set()) == ["m.c"]
+    assert col(spark, [" 5 ", "", "x"], lambda c: schema.corrected(c, "int")) == [5, None, None]
+
+
+def test_links(spark):
+    from quillspark.operators import links, manifest
+
+    objects = spark.createDataFrame([("p/a.png",), ("q/b.png",)], "name string")
+    assert {tuple(r) for r in links.unique_map(objects, "name").collect()} == {("a.png", "p/a.png"), ("b.png", "q/b.png")}
+    with pytest.raises(Exception, match="several objects are called a.png"):
+        links.unique_map(objects.union(spark.createDataFrame([("z/a.png",)], "name string")), "name").collect()
+    assert manifest.single_row(objects.limit(1)).count() == 1
+    for df in (objects, objects.limit(0)):
+        with pytest.raises(Exception, match="expected one row"):
+            manifest.single_row(df).collect()
+    record = manifest.manifest_records(objects, image_name=F.col("name"), extra=F.lit(1))
+    assert record.columns == [*manifest.MANIFEST, "extra"]
