@@ -24,7 +24,14 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 #: Elements that are tracked because they say what stands inside them.
 CONTAINERS = frozenset("article main section div nav header footer aside form ul ol dl table tbody tr td th figure body details dialog fieldset menu".split())
 _BOILER_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
-_BOILER_NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|cookies?|consent|disqus|footer|form|header|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo\w*|related|replies|respond|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+_BOILER_NAMES = re.compile(
+    r"(?:^|[_-])(?:ads?|advert\w*|alert|banner|breadcrumbs?|comments?|commentlist|complementary|consent|contentinfo|cookies?|copyright|dialog|disclaimer|disqus|footer|form|header|login"
+    r"|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo\w*|related|replies|respond|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[_-])",
+    re.I,
+)
+#: Names like has-sidebar tell of what stands beside an element, not of what it is.
+_BESIDE = re.compile(r"(?:has|with|without|no|is|page)[_-]", re.I)
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
 _MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|entry|main|post|story)(?:$|[\s_-])", re.I)
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _ATTRS = r"""((?:(?:[^>"']++|"[^"]{0,4000}+"|'[^']{0,4000}+')*+|[^>]*+))"""
@@ -38,12 +45,23 @@ _TAG = re.compile(
 FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "heading", "in_main", "in_boiler")
 
 
+def _standing(name: str, attributes: str, main: bool) -> tuple[bool, bool]:
+    """Whether an element, by its tag and names, holds an article, and whether it holds boilerplate."""
+    named = " ".join(b or c or d for _, b, c, d in _NAMED.findall(attributes))
+    article = name in ("article", "main")
+    boiler = name in _BOILER_TAGS or (name == "header" and not main) or bool(_HIDDEN.search(attributes))
+    if named and not article:
+        article = name in ("div", "section") and bool(_MAIN_NAMES.search(named))
+        boiler |= any(_BOILER_NAMES.search(n) and not _BESIDE.match(n) for n in named.split())
+    return article, boiler
+
+
 def blocks(html: str | None) -> list[tuple[str, float, bool, bool, bool]]:
     """Text, link density, heading, in an article, in boilerplate: the non-empty text blocks of a page, in its order."""
     out: list[tuple[str, float, bool, bool, bool]] = []
     stack: list[tuple[str, bool, bool]] = [("", False, False)]  # element, in an article, in boilerplate
     parts: list[str] = []
-    state = {"link": 0, "linked": 0, "heading": False}
+    state = {"link": False, "linked": 0, "heading": False, "aside": False}
 
     def text(piece: str) -> None:
         if piece:
@@ -57,7 +75,7 @@ def blocks(html: str | None) -> list[tuple[str, float, bool, bool, bool]]:
             words = (unescape(whole) if "&" in whole else whole).split()
             if words:
                 joined = " ".join(words)
-                out.append((joined, min(1.0, state["linked"] / max(1, len(whole.strip()))), state["heading"], *stack[-1][1:]))
+                out.append((joined, min(1.0, state["linked"] / max(1, len(whole.strip()))), state["heading"], stack[-1][1], stack[-1][2] or state["aside"]))
             parts.clear()
         state["linked"] = 0
 
@@ -79,15 +97,17 @@ def blocks(html: str | None) -> list[tuple[str, float, bool, bool, bool]]:
                     stack = stack or [("", False, False)]
             else:
                 _, main, boiler = stack[-1]
-                named = " ".join((b or c or d) for _, b, c, d in _NAMED.findall(m[5] or ""))
-                own = name in ("article", "main") or bool(named and name in ("div", "section") and _MAIN_NAMES.search(named))
-                out_of_text = name in _BOILER_TAGS or (name == "header" and not main) or bool(named and name != "body" and _BOILER_NAMES.search(named) and name not in ("article", "main"))
-                stack.append((name, main or own, boiler or out_of_text))
-            state["link"] = False
-        elif re.fullmatch("h[1-6]", name):
-            state["heading"] = not m[3]
-        elif name == "p" and not m[3]:
-            state["heading"] = False
+                article, out_of_text = _standing(name, m[5] or "", main)
+                stack.append((name, main or article, boiler or out_of_text))
+            state["link"] = state["aside"] = False
+        else:
+            # Paragraphs, items and headings, often left open, stand for themselves until the next one begins.
+            if name != "br":
+                state["aside"] = not m[3] and bool(m[5]) and name not in ("body", "html") and _standing(name, m[5], True)[1]
+            if re.fullmatch("h[1-6]", name):
+                state["heading"] = not m[3]
+            elif name == "p" and not m[3]:
+                state["heading"] = False
     text(page[at:])
     end()
     return out

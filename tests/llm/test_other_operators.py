@@ -78,6 +78,15 @@ def test_unmarked_pages(spark):
     assert text.startswith("The headline plain words") and text.endswith("of them here") and "Next" not in text
 
 
+def test_named_elements(spark):
+    body = """<body class="page-sidebar"><div class="site-header"><p>The daily news of our small town</p></div><div id="content" class="has-sidebar no-comments">
+    <h1>Title</h1><p>A short line.<p class="ad">Buy it now and pay much later than you think<p>Goes on.<br>And on.</p><ul><li>One item of it<li class='promo-box'>Join us</ul>
+    <div hidden><p>Unseen words that nobody reads</p></div><section role="complementary"><p>Elsewhere on this site there is more</p></section><p>The end.</p></div>
+    <div class="cookie-consent"><p>We use cookies to make this site better for all of you</p></div></body>"""
+    text = html_text.main_text(spark.createDataFrame([(1, "u", body)], "page_id long, url string, html string")).first().text
+    assert text == "Title A short line. Goes on. And on. One item of it The end."
+
+
 def chats():
     turns = [("user", "hi"), ("assistant", "hello"), ("user", "more"), ("assistant", None), (None, "<|im_end|> x")]
     rows = [(c, t, *turns[t]) for c, n in ((1, 2), (2, 5), (3, 5), (4, 1), (5, 3)) for t in range(n)]
