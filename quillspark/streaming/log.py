@@ -48,3 +48,13 @@ def append_batches(stream: DataFrame, path: str, checkpoint: str, seen: str):
         batch.dropDuplicates([seen]).write.mode("append").parquet(path)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def field_state(decisions: DataFrame, field: str, score: str) -> DataFrame:
+    """field, selected, scored, score_sum: what a sampler knows of each field, growing with every decision; complete mode."""
+    return decisions.groupBy(F.col(field).alias("field")).agg(F.count(F.lit(1)).alias("selected"), F.count(score).alias("scored"), F.coalesce(F.sum(score), F.lit(0.0)).alias("score_sum"))
+
+
+def status_changes(stream: DataFrame, key: str, status: str, time: str) -> DataFrame:
+    """key, status, since: the latest status of each job; in update mode only jobs with news come out of a batch."""
+    return stream.groupBy(key).agg(F.max_by(status, time).alias(status), F.max(time).alias("since"))
