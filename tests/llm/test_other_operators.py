@@ -95,12 +95,12 @@ def chats():
     return rows
 
 
-def test_chat(spark):
+def test_chat(spark, tmp_path):
     df = spark.createDataFrame(chats(), "conv_id long, turn long, role string, text string").repartition(3)
     assert {r.conv_id for r in chat.maximal(df).collect()} == {2, 6, 7, 8}
-    df.toPandas().astype({"conv_id": "Int64", "turn": "Int64"}).to_parquet("/tmp/_chat_test.parquet")
+    df.toPandas().astype({"conv_id": "Int64", "turn": "Int64"}).to_parquet(tmp_path / "chats.parquet")
     with duckdb.connect() as c:
-        c.execute("CREATE VIEW conversations AS SELECT * FROM '/tmp/_chat_test.parquet'")
+        c.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/chats.parquet'")
         want = c.execute(f"SELECT conv_id, chunk, n_turns, rendered FROM ({chat.ORACLE_SQL})").fetchall()
     got = [(r.conv_id, r.chunk, r.n_turns, r.rendered) for r in chat.chat_format(df.withColumn("chunk", F.lit("x"))).collect()]
     assert sorted(got) == sorted(want)
