@@ -98,9 +98,11 @@ class Allotment:
     def __init__(self, sample: np.ndarray, of: int, distance: int):
         self.distance = distance
         self.scale = max(of, 1) / max(len(sample), 1)
-        # As many parts as make probes and candidates fewest, on the sample itself.
+        # As many parts as make probes and candidates fewest, on the sample itself. With one part more than ``distance`` all
+        # probes would be exact, but its buckets are soon too full: that count is left out, so that a growing corpus keeps
+        # the probes it began with.
         options = []
-        for parts in range(1, distance + 2):
+        for parts in range(1, distance + 1):
             self.use(grouped_bits(sample, parts), sample)
             options.append((self.thresholds(sample[:2000])[1].mean() if len(sample) else parts, parts))
         self.use(grouped_bits(sample, min(options)[1]), sample)

@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import written
 
-SAMPLE, SHARD, QUERIES, LEAF, CELLS = 4096, 2048, 8192, 64, 4096
+SAMPLE, SHARD, QUERIES, LEAF, CELLS = 16384, 4096, 8192, 64, 4096
 #: Slack on sums of floating-point products, relative to the largest norm squared, before scores are computed exactly.
 SLACK = 1e-9
+_NONE = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
 
 
 def chi_square_bound(dims: int, confidence: float) -> float:
@@ -116,7 +117,11 @@ def _matrix(values: pd.Series, size: int) -> np.ndarray:
 
 
 def search_shard(queries: pd.DataFrame, vectors: pd.DataFrame, projection: Projection, k: int, bound: float) -> pd.DataFrame:
-    """query_id, vec_id, score: the k best of a shard for each query, verified leaf by leaf until the test holds."""
+    """query_id, vec_id, score: the k best of a shard for each query, as far as they reach the bound that it came with.
+
+    All queries step through their leaves together, each from the nearest on: a step verifies the next leaf of every query
+    whose chi-square test does not hold yet, leaf by leaf.
+    """
     size = len(projection.matrix) - 1
     vectors = vectors.drop_duplicates(["id", "vec"])
     x, ids = _matrix(vectors["vec"], size), vectors["id"].to_numpy(np.int64)
@@ -125,33 +130,39 @@ def search_shard(queries: pd.DataFrame, vectors: pd.DataFrame, projection: Proje
     p = projection.points(x)
     q, q_ids = _matrix(queries["vec"], size), queries["id"].to_numpy(np.int64)
     q_norm = np.linalg.norm(q, axis=1)
+    slack = SLACK * projection.norm * q_norm
     away = box_distance(projection.queries(q), np.minimum.reduceat(p, begins[:-1]), np.maximum.reduceat(p, begins[:-1]))
+    nearest_leaf = np.argsort(away, axis=1)
     first = queries["kth"].to_numpy(float)
-    out = []
-    for row in range(len(q)):
-        kth = first[row]  # the k-th best score known so far
-        best = np.full(k, -np.inf)
-        seen, scores = [], []
-        for leaf in np.argsort(away[row]):
-            if away[row, leaf] > bound * projection.distance(kth, q_norm[row]):
-                break
-            a, b = begins[leaf], begins[leaf + 1]
-            s = x[a:b] @ q[row]
-            s[ids[a:b] == q_ids[row]] = -np.inf
-            seen.append((a, b))
-            scores.append(s)
-            if s.max() > best[0]:
-                best = np.partition(np.concatenate([best, s]), -k)[-k:]
-                kth = max(kth, best[0])
-        if not seen:
-            continue
-        s = np.concatenate(scores)
-        rows = np.concatenate([np.arange(a, b) for a, b in seen])[s >= max(best[0], -1e300) - SLACK * projection.norm * q_norm[row]]
-        rows = rows[ids[rows] != q_ids[row]]
-        exact = (x[rows] * q[row]).sum(axis=1)
-        top = np.lexsort((ids[rows], -exact))[:k]
-        out.append(pd.DataFrame({"query_id": q_ids[row], "vec_id": ids[rows[top]], "score": exact[top]}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
+    kth, best = first.copy(), np.full((len(q), k), -np.inf)  # the k-th best score known, and the best scores of this shard
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    going = np.arange(len(q))
+    for step in range(away.shape[1]):
+        leaf = nearest_leaf[going, step]
+        on = away[going, leaf] <= bound * projection.distance(kth[going], q_norm[going])
+        going, leaf = going[on], leaf[on]
+        if not len(going):
+            break
+        by_leaf = np.argsort(leaf, kind="stable")
+        for rows in np.split(going[by_leaf], np.flatnonzero(np.diff(leaf[by_leaf])) + 1):
+            a, b = begins[nearest_leaf[rows[0], step]], begins[nearest_leaf[rows[0], step] + 1]
+            scores = q[rows] @ x[a:b].T
+            scores[q_ids[rows][:, None] == ids[a:b][None, :]] = -np.inf
+            r, c = np.nonzero((scores >= (kth[rows] - slack[rows])[:, None]) & (scores > -np.inf))
+            found.append((rows[r], a + c))
+            best[rows] = np.partition(np.concatenate([best[rows], scores], axis=1), -k, axis=1)[:, -k:]
+            kth[rows] = np.maximum(kth[rows], best[rows, 0])
+    if not found:
+        return _NONE.copy()
+    row, at = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+    exact = (x[at] * q[row]).sum(axis=1)
+    held = exact >= kth[row] - slack[row]
+    row, at, exact = row[held], at[held], exact[held]
+    order = np.lexsort((ids[at], -exact, row))
+    row, at, exact = row[order], at[order], exact[order]
+    rank = np.arange(len(row)) - np.searchsorted(row, row)
+    top = rank < k
+    return pd.DataFrame({"query_id": q_ids[row[top]], "vec_id": ids[at[top]], "score": exact[top]})
 
 
 def valid(vectors: DataFrame, id_column: str, column: str) -> DataFrame:
@@ -233,7 +244,7 @@ def nearest(
 
     def search(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or rows.empty:
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
+            return _NONE.copy()
         return search_shard(queries, rows, projection, k, bound)
 
     found = routed.groupBy("cell", "shard", "block").cogroup(placed.groupBy("i_cell", "i_shard", "i_block")).applyInPandas(search, schema)

@@ -22,11 +22,12 @@ from quillspark.llm.trees import boosted_score, exported
 
 #: Lengths of the word beginnings that are counted beside whole words; entries kept at most.
 BEGINNINGS, ENTRIES = (4, 5, 6, 7, 8), 400
+#: Words whose measures a worker remembers (about 60 MB).
+WORDS = 300_000
 #: Pronouns of the second person.
 YOU = frozenset("you your yours yourself u ur du dich dir dein deine deinen ihr euch tu toi te ton ta tes vous votre vos tú ti tus usted ustedes vosotros".split())
 #: Letters that digits and signs stand for in obfuscated words.
 PLAIN = str.maketrans("013457@$!", "oieastasi")
-_WORD = re.compile(r"[^\s]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 FEATURES = ("log_words", "word_density", "start_density", "log_hits", "dense_spot", "near_you", "you_density", "capitals", "shouted", "exclaimed", "punctuation", "obfuscated", "obfuscated_hits")
 
@@ -52,42 +53,55 @@ def lexicon(sample: DataFrame, share: float = 0.015, log_odds: float = 2.5) -> d
     return {r["unit"]: r["odds"] for r in best.orderBy(F.desc("t"), F.desc("odds"), "unit").limit(ENTRIES).collect()}
 
 
-def features(text: str | None, entries: dict[str, float]) -> list[float]:
+class Measures:
+    """What each word adds to the features, remembered between texts: at most WORDS words, then anew."""
+
+    def __init__(self, entries: dict[str, float]):
+        self.entries, self.known, self.table = entries, {}, np.zeros((WORDS, 10), dtype=np.float32)
+
+    def listed(self, word: str) -> bool:
+        return any(f"{word[:k]}*" in self.entries for k in BEGINNINGS if len(word) > k)
+
+    def of(self, word: str) -> tuple:
+        """hit, beginning only, second person, mixed, obfuscated hit, capitals, letters, shouted, exclamation marks, other signs."""
+        lower = word.lower()
+        runs = _LETTERS.findall(lower)
+        hit = any(r in self.entries for r in runs)
+        start = not hit and any(map(self.listed, runs))
+        core = lower.strip(".,;:!?\"'()[]{}|#$%&*-")
+        mixed = len(core) > 2 and not core.isalpha() and any(c.isalpha() for c in core)
+        plain = re.sub(r"[^a-z]", "", core.translate(PLAIN)) if mixed and core.isascii() and len(core) < 40 else ""
+        hidden = mixed and not hit and not start and (plain in self.entries or self.listed(plain))
+        big, small = sum(c.isupper() for c in word), sum(map(len, runs))
+        return hit, start, any(r in YOU for r in runs), mixed, hidden, big, small, small > 1 and big == small, word.count("!"), len(word) - small
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        """A row a word."""
+        known = self.known
+        try:
+            return self.table[[known[w] for w in words]]
+        except KeyError:
+            new = set(words).difference(known)
+            if len(known) + len(new) > WORDS:
+                known.clear()
+                new = set(words)
+            if len(new) > WORDS:  # a text of more different words than are remembered
+                return np.array([self.of(w) for w in words], dtype=np.float32)
+            for w in new:
+                self.table[len(known)] = self.of(w)
+                known[w] = len(known)
+            return self.table[[known[w] for w in words]]
+
+
+def features(text: str | None, measures: Measures) -> list[float]:
     """FEATURES of a whole text; all zero for a text without words."""
-    words = _WORD.findall(text or "")
+    words = (text or "").split()
     n = len(words)
     if not n:
         return [0.0] * len(FEATURES)
-    hits, starts, yous, hidden, hidden_hits, capitals, letters, shouted, exclaimed, marks = [], 0, [], 0, 0, 0, 0, 0, 0, 0
-    known: dict[str, tuple] = {}
-    for at, word in enumerate(words):
-        seen = known.get(word)
-        if seen is None:
-            lower = word.lower()
-            runs = _LETTERS.findall(lower)
-            hit = any(r in entries for r in runs)
-            start = not hit and any(f"{r[:k]}*" in entries for r in runs for k in BEGINNINGS if len(r) > k)
-            core = lower.strip(".,;:!?\"'()[]{}|#$%&*-")
-            mixed = len(core) > 2 and not core.isalpha() and any(c.isalpha() for c in core)
-            plain = re.sub(r"[^a-z]", "", core.translate(PLAIN)) if mixed and core.isascii() and len(core) < 40 else ""
-            hidden_hit = mixed and not hit and not start and (plain in entries or any(f"{plain[:k]}*" in entries for k in BEGINNINGS if len(plain) > k))
-            big = sum(c.isupper() for c in word)
-            small = sum(map(len, runs))
-            seen = known[word] = (hit, start, any(r in YOU for r in runs), mixed, hidden_hit, big, small, small > 1 and big == small, word.count("!"), len(word) - small)
-        hit, start, you, mixed, hidden_hit, big, small, loud, bangs, other = seen
-        if hit or start or hidden_hit:
-            hits.append(at)
-        starts += start
-        if you:
-            yous.append(at)
-        hidden += mixed
-        hidden_hits += hidden_hit
-        capitals += big
-        letters += small
-        shouted += loud
-        exclaimed += bangs
-        marks += other
-    h, y = np.array(hits), np.array(yous)
+    rows = measures.rows(words)
+    _, starts, _, mixed, hidden, capitals, letters, shouted, exclaimed, marks = rows.sum(axis=0, dtype=np.float64).tolist()
+    h, y = np.flatnonzero(rows[:, 0] + rows[:, 1] + rows[:, 4]), np.flatnonzero(rows[:, 2])
     spot = near = 0.0
     if len(h):
         spot = float((np.searchsorted(h, h + 50) - np.arange(len(h))).max()) / min(n, 50)
@@ -95,8 +109,8 @@ def features(text: str | None, entries: dict[str, float]) -> list[float]:
             right = np.searchsorted(y, h)
             gap = np.minimum(np.abs(y[np.minimum(right, len(y) - 1)] - h), np.abs(h - y[np.maximum(right - 1, 0)]))
             near = float((gap <= 5).sum()) / n
-    whole = len(h) - starts - hidden_hits
-    return [float(np.log1p(n)), whole / n, starts / n, float(np.log1p(len(h))), spot, near, len(y) / n, capitals / max(letters, 1), shouted / n, exclaimed / n, marks / n, hidden / n, hidden_hits / n]
+    whole = len(h) - starts - hidden
+    return [float(np.log1p(n)), whole / n, starts / n, float(np.log1p(len(h))), spot, near, len(y) / n, capitals / max(letters, 1), shouted / n, exclaimed / n, marks / n, mixed / n, hidden / n]
 
 
 class Toxicity:
@@ -104,6 +118,7 @@ class Toxicity:
 
     def __init__(self, entries: dict[str, float], forest: list, weights: list[float], steps: tuple[np.ndarray, np.ndarray] | None, prior: float):
         self.entries, self.forest, self.weights, self.steps, self.prior = entries, forest, weights, steps, prior
+        self.measures: Measures | None = None  # made where texts are scored
 
     def margin(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-2 * boosted_score(self.forest, self.weights, x)))
@@ -112,7 +127,9 @@ class Toxicity:
         """Calibrated probability of label 1 for each text."""
         if not self.forest or not texts:
             return np.full(len(texts), self.prior)
-        p = self.margin(np.array([features(t, self.entries) for t in texts]))
+        if self.measures is None:
+            self.measures = Measures(self.entries)
+        p = self.margin(np.array([features(t, self.measures) for t in texts]))
         return np.clip(np.interp(p, *self.steps) if self.steps else p, 0.0, 1.0)
 
 
@@ -128,8 +145,9 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", rows: int
     entries = lexicon(sample.where("fits"))
 
     def of(batches):
+        measures = Measures(entries)
         for batch in batches:
-            x = pa.array([features(t, entries) for t in batch.column("text").to_pylist()], pa.list_(pa.float64()))
+            x = pa.array([features(t, measures) for t in batch.column("text").to_pylist()], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(batch.column("label").to_pylist(), pa.float64()), batch.column("fits"), x], names=["doc_id", "label", "fits", "x"])
 
     got = sample.mapInArrow(of, "doc_id long, label double, fits boolean, x array<double>").toPandas()
