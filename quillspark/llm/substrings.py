@@ -7,8 +7,9 @@ least doc_id, go to shards of about ``SHARD_WORDS`` words. A shard builds an FM-
 through it by backward search over the wavelet matrix, and reports where the matching length reaches the threshold and the
 least doc_id of the match is another one.
 
-An anchor with more than ``HOT`` different texts (a passage repeated in many contexts) is sharded by its windows instead,
-again each kept once, so that no shard grows with the corpus.
+An anchor with more than ``HOT`` different texts (a passage repeated in many contexts) is cut again, by the least hash among
+longer runs of words, of which the contexts have fewer in common; what only one text has ends there again. The last runs are
+whole windows, each kept once, so that no shard grows with the corpus.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from quillspark.llm.common import forget, written
 from quillspark.llm.fm_index import FMIndex
 
 GRAM, HOT, SHARD_WORDS = 8, 400, 60_000
+#: Words of a window that the runs of a hot anchor's second cut leave out.
+SPARE = 6
 #: Windows of a segment, and words that are hashed at a time.
 SEGMENT, STRETCH = 64, 100_000
 #: An odd multiplier and its inverse modulo 2^64, for hashes of byte runs by differences of prefix sums.
@@ -46,8 +49,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class Segmenter:
     """Cuts texts into segments; keeps the powers of the hash between texts."""
 
-    def __init__(self, length: int):
-        self.length, self.up, self.down = length, _powers(_BASE, 1 << 16), _powers(_INVERSE, 1 << 16)
+    def __init__(self, length: int, gram: int = GRAM):
+        self.length, self.gram, self.up, self.down = length, gram, _powers(_BASE, 1 << 16), _powers(_INVERSE, 1 << 16)
 
     def anchors(self, words: list[bytes]) -> np.ndarray:
         """The anchor of each window of ``words``."""
@@ -58,9 +61,9 @@ class Segmenter:
         sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(raw * self.up[: len(raw)])])
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(lengths + 1) - 1
-        begins = (ends - lengths)[: len(words) - GRAM + 1]
-        least = _mixed((sums[ends[GRAM - 1 :]] - sums[begins]) * self.down[begins])
-        wide, step = self.length - GRAM + 1, 1
+        begins = (ends - lengths)[: len(words) - self.gram + 1]
+        least = _mixed((sums[ends[self.gram - 1 :]] - sums[begins]) * self.down[begins])
+        wide, step = self.length - self.gram + 1, 1
         while 2 * step <= wide:
             least, step = np.minimum(least[:-step], least[step:]), 2 * step
         rest = wide - step
@@ -164,6 +167,59 @@ def _keyed(texts: DataFrame) -> DataFrame:
     return texts.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit("again"), "text")})
 
 
+def _cut_again(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """s1, s2, at, least, windows, anchor, text: the texts k1, k2 cut by the least hash among runs of ``gram`` words."""
+
+    def of(batches):
+        cutter = Segmenter(length, gram)
+        for batch in batches:
+            rows, firsts, windows, anchors, out = [], [], [], [], []
+            for row, text in enumerate(batch.column("text").to_pylist()):
+                words = text.split(" ")
+                for first, n, anchor in zip(*(x.tolist() for x in cutter.segments(text)), strict=True):
+                    rows.append(row)
+                    firsts.append(first)
+                    windows.append(n)
+                    anchors.append(anchor)
+                    out.append(" ".join(words[first : first + n + length - 1]))
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(at) for c in ("k1", "k2")), pa.array(firsts, pa.int32()), batch.column("least").take(at), pa.array(windows, pa.int32()), pa.array(anchors, pa.int64()), pa.array(out, pa.string())],
+                names=["s1", "s2", "at", "least", "windows", "anchor", "text"],
+            )
+
+    return texts.select("k1", "k2", "least", "text").mapInArrow(of, "s1 long, s2 long, at int, least long, windows int, anchor long, text string")
+
+
+def _distinct(found: DataFrame) -> DataFrame:
+    """Each text of ``found`` once, with its least doc_id."""
+    return found.groupBy("k1", "k2").agg(F.min("least").alias("least"), *(F.first(c).alias(c) for c in ("anchor", "windows", "text")))
+
+
+def _answers(texts: DataFrame, length: int, grams: list[int]) -> DataFrame:
+    """k1, k2, runs: what ``_searched`` gives for each of the distinct ``texts`` (k1, k2, least, windows, anchor, text).
+
+    The texts of hot anchors are cut again by runs of ``grams[0]`` words, those of what is hot then by ``grams[1]``, and so
+    on; the last of ``grams`` is ``length``, and of whole windows no anchor is hot.
+    """
+    hot = written(texts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("anchor"), "hot") if grams else None
+    plain = texts.join(hot, "anchor", "left_anti") if hot else texts
+    words = plain.agg(F.sum(F.col("windows") + (length - 1))).first()[0] or 0
+    out = _searched(plain.select("k1", "k2", "text", "least", F.xxhash64("anchor").alias("spread")), length, words)
+    if hot is None or hot.isEmpty():
+        return out
+    cut = written(_keyed(_cut_again(texts.join(hot, "anchor"), length, grams[0])), "cut")
+    pieces = written(cut.join(cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")), "anchor"), "pieces")
+    forget(cut)
+    # A piece whose anchor no other has is nowhere else: its windows' least doc_id is that of its text.
+    alone = pieces.where("n = 1").select("s1", "s2", F.array(F.struct(F.col("at").alias("a"), (F.col("at") + F.col("windows")).alias("b"), "least")).alias("runs"))
+    several = pieces.where("n > 1")
+    got = _answers(written(_distinct(several), "texts"), length, grams[1:])
+    moved = F.transform("runs", lambda r: F.struct((r["a"] + F.col("at")).alias("a"), (r["b"] + F.col("at")).alias("b"), r["least"].alias("least")))
+    back = several.select("k1", "k2", "s1", "s2", "at").join(got, ["k1", "k2"]).select("s1", "s2", moved.alias("runs"))
+    return out.union(alone.union(back).groupBy("s1", "s2").agg(F.flatten(F.collect_list("runs")).alias("runs")))
+
+
 def repeated(documents: DataFrame, length: int = 50) -> DataFrame:
     """doc_id, text_hash, ranges: word ranges [a, b) that windows cover which a document of smaller id has too.
 
@@ -173,25 +229,8 @@ def repeated(documents: DataFrame, length: int = 50) -> DataFrame:
     twice = segments.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("anchor")
     found = written(_keyed(_with_text(documents, segments.join(twice, "anchor"), length)), "found")
     forget(segments)
-    texts = written(
-        found.groupBy("k1", "k2").agg(F.min("doc_id").alias("least"), F.first("anchor").alias("anchor"), F.first("windows").alias("windows"), F.first("text").alias("text")), "texts"
-    )
-    hot = written(texts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("anchor"), "hot")
-
-    plain = texts.join(hot, "anchor", "left_anti").withColumn("spread", F.xxhash64("anchor"))
-    words = plain.agg(F.sum(F.col("windows") + (length - 1))).first()[0] or 0
-    answers = _searched(plain.select("k1", "k2", "text", "least", "spread"), length, words)
-
-    # The windows of hot anchors, each text of them once.
-    split = F.split("text", " ")
-    each = texts.join(hot, "anchor").select("k1", "k2", "least", split.alias("words"), F.explode(F.sequence(F.lit(0), F.col("windows") - 1)).alias("at"))
-    each = each.select(F.col("k1").alias("s1"), F.col("k2").alias("s2"), "least", "at", F.array_join(F.slice("words", F.col("at") + 1, F.lit(length)), " ").alias("text"))
-    each = written(_keyed(each), "windows")
-    single = each.groupBy("k1", "k2").agg(F.min("least").alias("least"), F.first("text").alias("text")).withColumn("spread", F.col("k1"))
-    single = written(single, "single")
-    got = _searched(single, length, single.count() * length).select("k1", "k2", F.col("runs")[0]["least"].alias("least"))
-    by_window = each.select("k1", "k2", "s1", "s2", "at").join(got, ["k1", "k2"]).groupBy("s1", "s2").agg(F.collect_list(F.struct(F.col("at").alias("a"), (F.col("at") + 1).alias("b"), "least")).alias("runs"))
-    answers = written(answers.union(by_window), "answers")
+    texts = written(_distinct(found.withColumn("least", F.col("doc_id"))), "texts")
+    answers = written(_answers(texts, length, [max(GRAM, length - SPARE), length]), "answers")
 
     run = F.explode("runs")
     covered = found.select("doc_id", "text_hash", "first", "k1", "k2").join(answers, ["k1", "k2"]).select("doc_id", "text_hash", "first", run.alias("run")).where("run.least < doc_id")
