@@ -32,12 +32,11 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
     """A function from a text to its ids as little-endian unsigned 32-bit integers, for word-end BPE tokenizers.
 
     Such a tokenizer never joins over white space, so words are encoded one by one and remembered. Plain words go straight
-    to the model; any other goes through the whole tokenizer.
+    to the model; any other goes through the whole tokenizer, which knows added tokens ('<|endoftext|>') in a text.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     model = tokenizer.model
     # Byte-level alphabets show printable bytes as themselves and the others from U+0100 on.
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]

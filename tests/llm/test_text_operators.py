@@ -286,6 +286,18 @@ def test_words_are_encoded_as_in_whole_texts(tokenizer):
         assert np.frombuffer(encode(text), dtype="<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_added_tokens_are_encoded_as_by_the_plain_tokenizer(spark, tokenizer):
+    from tokenizers import Tokenizer
+
+    path, _ = tokenizer
+    plain = Tokenizer.from_file(path)
+    texts = ["one <|endoftext|> two", "<|startoftext|>Één<|endoftext|>x", "a<|endoftext|><|endoftext|>, b\x1c<|startoftext|>", "<|ENDOFTEXT|> <|endoftext"]
+    want = {k: np.array([*plain.encode(t, add_special_tokens=False).ids, 2], dtype="<u4") for k, t in enumerate(texts)}
+    assert want[0].tolist() == [637, 49407, 1237, 2]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path).collect()
+    same([(r.doc_id, r.doc_tokens, r.length, r.ids_crc32) for r in rows], [(k, len(x), len(x), zlib.crc32(x.tobytes())) for k, x in want.items()])
+
+
 def test_first_fit():
     bins, offsets = packing.first_fit(np.array([6, 5, 5, 4, 3, 1]), 10)
     assert bins.tolist() == [0, 1, 1, 0, 2, 2] and offsets.tolist() == [0, 0, 5, 6, 0, 3]
