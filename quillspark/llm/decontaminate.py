@@ -47,7 +47,7 @@ def anchors(benchmark: DataFrame, documents: DataFrame, width: int = 13) -> Data
 
     ``phrases`` holds for each window its item_id, the anchor's offset in it, and its words. Ties between equally rare
     words go to the smaller word, then the smaller offset. Words that no document has make their window unmatchable, and
-    such windows are dropped here.
+    such windows are dropped here. Rows that share an item_id but differ in text keep each their windows.
     """
     items = benchmark.where(F.col("item_id").isNotNull()).select("item_id", words(F.col("text")).alias("words")).distinct()
     vocabulary = items.select(F.explode("words").alias("word")).distinct()
@@ -60,11 +60,8 @@ def anchors(benchmark: DataFrame, documents: DataFrame, width: int = 13) -> Data
         .join(frequency, "word", "left")
     )
     return (
-        each.groupBy("item_id", "start")
-        .agg(
-            F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "word", "offset")).alias("rarest"),
-            F.first("phrase").alias("phrase"),
-        )
+        each.groupBy("item_id", "start", "phrase")
+        .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "word", "offset")).alias("rarest"))
         .where("rarest.df > 0")
         .select("item_id", "start", "phrase", F.col("rarest.word").alias("word"), F.col("rarest.offset").alias("offset"))
     )

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -173,6 +174,21 @@ def test_decontamination(spark, docs, empty, monkeypatch, broadcast):
     assert none.where("n_hit > 0 or contaminated").count() == 0 and none.count() == docs.count()
 
 
+def test_texts_that_share_an_item_id_keep_their_windows(spark):
+    texts = ["alpha beta gamma delta", "delta epsilon zeta eta", "theta iota kappa lambda"]
+    held = [(k, f"x {t} y") for k, t in enumerate(texts)] + [(8, "eta " * 5), (9, "none of them")]
+    docs = spark.createDataFrame(held, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, t) for t in texts], "item_id long, text string")
+    names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    with duckdb.connect() as c:
+        for name, df in (("documents", docs.toPandas()), ("benchmark", bench.toPandas())):
+            c.register(name, df)
+        want = c.execute(f"SELECT {', '.join(names)} FROM ({decontaminate.ORACLE_SQL})").fetchall()
+    got = [tuple(r) for r in decontaminate.contamination(docs, bench).select(*names).collect()]
+    same(got, want)
+    assert sum(r[-1] for r in got) == 3
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "b x a c"), (2, "a b c"), (3, "a " + "x " * 30 + "b c")], "doc_id long, text string")
     bench = spark.createDataFrame([(5, "a b c")], "item_id long, text string")
