@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,10 +32,22 @@ def first_seen(stream: DataFrame, key: str, time: str, late: str = "1 day") -> D
 
 
 def drained(df: DataFrame, spark: SparkSession, name: str, mode: str = "complete") -> DataFrame:
-    """What is there now, through the stream's operators, as a table in memory (for results that are small)."""
-    query = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    """What is there now, through the stream's operators, as a Parquet table in the folder of spark.checkpoint.dir.
+
+    Executors write the batches, and the stream's own checkpoint stands beside them, so nothing passes through the driver.
+    In complete mode the last batch is the result; in append mode all are. Without input the table is empty.
+    """
+    own = os.path.join(tempfile.gettempdir(), "checkpoints", "quillspark")
+    path = f"{spark.conf.get('spark.checkpoint.dir', None) or spark.sparkContext.getCheckpointDir() or own}/{name}-{uuid.uuid4().hex}"
+    write = "overwrite" if mode == "complete" else "append"
+
+    spark.createDataFrame([], df.schema).write.parquet(f"{path}/table")
+    query = (
+        df.writeStream.foreachBatch(lambda batch, number: batch.write.mode(write).parquet(f"{path}/table"))
+        .queryName(name).outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    )
     query.awaitTermination()
-    return spark.table(name)
+    return spark.read.schema(df.schema).parquet(f"{path}/table")
 
 
 def append_batches(stream: DataFrame, path: str, checkpoint: str, seen: str):

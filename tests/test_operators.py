@@ -185,6 +185,19 @@ def test_streams(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 12
 
 
+def test_drained_streams_are_tables_of_the_shared_folder(spark, tmp_path):
+    df = spark.range(0, 5000).select("id", (F.col("id") % 1000).alias("user"), F.concat(F.lit("s"), F.col("id").cast("string")).alias("status"))
+    df.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = lambda name: log.event_stream(spark, str(tmp_path / "in"), df.schema, name)
+    for mode, out in (("complete", log.drained(log.status_changes(stream("part"), "user", "status", "id"), spark, "t_status")), ("append", log.drained(stream("part"), spark, "t_rows", "append"))):
+        assert out.inputFiles() and all(spark.conf.get("spark.checkpoint.dir") in f for f in out.inputFiles())
+        want = {(4000 + k, k, f"s{4000 + k}") for k in range(1000)} if mode == "complete" else set(map(tuple, df.collect()))
+        found = out.select("since", "user", "status") if mode == "complete" else out
+        assert out.count() == len(want) and set(map(tuple, found.collect())) == want
+    none = log.drained(log.status_changes(stream("nothing"), "user", "status", "id"), spark, "t_none")
+    assert none.columns == ["user", "status", "since"] and none.count() == 0
+
+
 def test_leaf_spans(spark):
     from quillspark.functions.json_spans import leaf_spans, spans
 
