@@ -34,14 +34,18 @@ _BESIDE = re.compile(r"(?:has|with|without|no|is|page)[_-]", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
 _MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|entry|main|post|story)(?:$|[\s_-])", re.I)
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_ATTRS = r"""((?:(?:[^>"']++|"[^"]{0,4000}+"|'[^']{0,4000}+')*+|[^>]*+))"""
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    rf"|<(script|style|noscript|template|svg|title|textarea|select|iframe|object|canvas|button)\b{_ATTRS}>.*?(?:</\1\s*>|\Z)"
-    rf"|<(/?)([a-z][a-z0-9:-]*){_ATTRS}>"
-    r"|<[!?][^>]*>",
-    re.S | re.I,
-)
+#: Elements that are left out with all that they hold. Of the raw ones everything up to their end tag is text.
+_RAW = frozenset("script style title textarea iframe".split())
+_DROPPED = frozenset("noscript template svg select object canvas button".split())
+_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Tags that end an svg left open, as in HTML's tree construction.
+_BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var article section main aside nav header footer figure form".split())
+# A quote opens a value only after an equals sign.
+_ATTRS = r"""((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+|[^>]*+)"""
+_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-z][a-z0-9:-]*){_ATTRS}>|<[!?][^>]*>", re.S | re.I)
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in _RAW}
+#: A slash right after an unquoted value belongs to the value.
+_UNQUOTED_SLASH = re.compile(r"""=\s*[^\s"'>]*/\Z""")
 FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "heading", "in_main", "in_boiler")
 
 
@@ -59,7 +63,9 @@ def _standing(name: str, attributes: str, main: bool) -> tuple[bool, bool]:
 def blocks(html: str | None) -> list[tuple[str, float, bool, bool, bool]]:
     """Text, link density, heading, in an article, in boilerplate: the non-empty text blocks of a page, in its order."""
     out: list[tuple[str, float, bool, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]  # element, in an article, in boilerplate
+    # element, in an article, in boilerplate, how often other elements are open in it
+    stack: list[tuple[str, bool, bool, dict[str, int]]] = [("", False, False, {})]
+    dropped: list[str] = []  # an element that is left out, and those open in it
     parts: list[str] = []
     state = {"link": False, "linked": 0, "heading": False, "aside": False}
 
@@ -79,36 +85,74 @@ def blocks(html: str | None) -> list[tuple[str, float, bool, bool, bool]]:
             parts.clear()
         state["linked"] = 0
 
+    def left_out(name: str, closing: bool, closed: bool) -> bool:
+        """Whether a tag is part of the dropped element; else it ends an element left open, as its container's end does."""
+        if closing:
+            if name in dropped:
+                while dropped.pop() != name:
+                    pass
+                return True
+            return not any(name == e[0] or e[3].get(name) for e in stack)
+        if dropped[0] == "svg" and name in _BREAKOUT and "foreignobject" not in dropped and "desc" not in dropped:
+            return False
+        if name == dropped[0] and name in ("button", "select"):  # these do not nest
+            del dropped[1:]
+        elif not closed and name not in _VOID:
+            dropped.append(name)
+        return True
+
     page, at = html or "", 0
-    for m in _TAG.finditer(page):
-        text(page[at : m.start()])
-        at = m.end()
-        name = (m[4] or "").lower()
-        if not name or name in INLINE:
+    last = page.rfind(">") + 1  # no tag ends beyond; only a comment left open may begin there
+    while m := _TAG.search(page, at, last):
+        if not dropped:
+            text(page[at : m.start()])
+        at = len(page) if m[0].startswith("<!--") and not m[0].endswith("-->") else m.end()
+        closing, name, attributes = bool(m[1]), (m[2] or "").lower(), m[3] or ""
+        if not name:
+            continue
+        foreign = "svg" in dropped and "foreignobject" not in dropped
+        if name in _RAW and not closing and not foreign:
+            over = _RAW_END[name].search(page, at)
+            at = over.end() if over else len(page)
+            continue
+        closed = not closing and attributes.endswith("/") and not _UNQUOTED_SLASH.search(attributes)
+        if dropped:
+            if left_out(name, closing, closed):
+                continue
+            dropped.clear()
+        if name in _DROPPED and not closing:
+            if not (name == "svg" and closed):
+                dropped.append(name)
+            continue
+        if name not in CONTAINERS and name not in _VOID:
+            inside = stack[-1][3]
+            inside[name] = max(0, inside.get(name, 0) + (-1 if closing else 1))
+        if name in INLINE:
             if name == "a":
-                state["link"] = not m[3]
+                state["link"] = not closing
             continue
         end()
         if name in CONTAINERS:
-            if m[3]:
+            if closing:
                 if name in (e[0] for e in stack[1:]):
                     while stack.pop()[0] != name:
                         pass
-                    stack = stack or [("", False, False)]
+                    stack = stack or [("", False, False, {})]
             else:
-                _, main, boiler = stack[-1]
-                article, out_of_text = _standing(name, m[5] or "", main)
-                stack.append((name, main or article, boiler or out_of_text))
+                main, boiler = stack[-1][1:3]
+                article, out_of_text = _standing(name, attributes, main)
+                stack.append((name, main or article, boiler or out_of_text, {}))
             state["link"] = state["aside"] = False
         else:
             # Paragraphs, items and headings, often left open, stand for themselves until the next one begins.
             if name != "br":
-                state["aside"] = not m[3] and bool(m[5]) and name not in ("body", "html") and _standing(name, m[5], True)[1]
+                state["aside"] = not closing and bool(attributes) and name not in ("body", "html") and _standing(name, attributes, True)[1]
             if re.fullmatch("h[1-6]", name):
-                state["heading"] = not m[3]
-            elif name == "p" and not m[3]:
+                state["heading"] = not closing
+            elif name == "p" and not closing:
                 state["heading"] = False
-    text(page[at:])
+    if not dropped:
+        text(page[at:].partition("<!--")[0])
     end()
     return out
 

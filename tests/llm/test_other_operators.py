@@ -87,6 +87,29 @@ def test_named_elements(spark):
     assert text == "Title A short line. Goes on. And on. One item of it The end."
 
 
+def test_dropped_elements_end_with_their_containers():
+    said = lambda html: [b[0] for b in html_text.blocks(html)]
+    two = "<p>Two long paragraph</p>"
+    assert said(f'<p>One</p><svg class="i"/>{two}') == ["One", "Two long paragraph"]
+    assert said(f'<p>One<svg class="i"/> more</p>{two}<svg><path d="M0"/></svg>') == ["One more", "Two long paragraph"]
+    assert said(f'<p>One</p><div><svg class=i/><path d="M0"></div>{two}') == ["One", "Two long paragraph"]
+    assert said(f"<p>One</p><svg><title/><g><text>no</text></g></svg>{two}<title>no</title>") == ["One", "Two long paragraph"]
+    for name in ("button", "select", "canvas", "object", "noscript", "template", "svg"):
+        assert said(f"<p>One</p><div><{name}>no<g>no</g></div>{two}") == ["One", "Two long paragraph"], name
+        assert said(f"<p>One <{name} x>no</p>{two}<div><{name}>no</{name}> end</div>") == ["One", "Two long paragraph", "end"], name
+        assert said(f"<p>One <{name}><div><p>no</p></div>no</{name}>more</p>{two}") == (["One more", "Two long paragraph"] if name != "svg" else ["One", "no", "no", "more", "Two long paragraph"]), name
+    assert said(f"<p>One <span><button>no</span> more</p>{two}<button>no<button>no</button>") == ["One more", "Two long paragraph"]
+    assert said("<p>One</p><!-- > no") == said("<p>One</p><!-- no") == ["One"] and said("<p>One</p> a <b") == ["One", "a <b"]
+    assert said(f"<p>One</p><script>if (a < b) '</div>'{two}") == ["One"]
+
+
+def test_long_attributes_stay_out_of_the_text():
+    said = lambda html: [b[0] for b in html_text.blocks(html)]
+    value = "a > b " * 2000
+    assert said(f"""<p>One</p><p data-x="{value}" id='{value}'>Two</p>""") == ["One", "Two"]
+    assert said("<p title=5\" wide>One</p><p title=\"6\" wide\">Two \"said\" of it</p>") == ["One", 'Two "said" of it']
+
+
 def chats():
     turns = [("user", "hi"), ("assistant", "hello"), ("user", "more"), ("assistant", None), (None, "<|im_end|> x")]
     rows = [(c, t, *turns[t]) for c, n in ((1, 2), (2, 5), (3, 5), (4, 1), (5, 3)) for t in range(n)]
