@@ -26,9 +26,13 @@ from quillspark.llm.trees import exported, forest_score
 
 MASK = "[SECRET]"
 _KEY = r"token|secret|passwd|password|passphrase|pwd|api[_-]?key|apikey|access[_-]?key|private[_-]?key|auth|bearer|credential|signature|key"
-_KEYED = re.compile(rf"(?i:{_KEY})[\w-]{{0,30}}[\"']?[^\S\n]*(?::=|=>|=|:|[^\S\n])[^\S\n]*[\"']?([^\s\"'<>,;()]{{8,512}})")
+_KEYED = re.compile(rf"(?i:{_KEY})[\w-]{{0,30}}[\"']?[^\S\n]*(:=|=>|=|:|[^\S\n])[^\S\n]*[\"']?([^\s\"'<>,;()]{{8,}})")
 _LONG = re.compile(r"[A-Za-z0-9+/_=.\-]{20,}")
-_PEM = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[^-]*(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?")
+# To the END line, or without one before the next BEGIN, headers and what follows them up to a hyphen.
+_PEM = re.compile(
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+    r"(?:(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z ]{0,40}PRIVATE KEY-----|(?:\s*+(?:Proc-Type|DEK-Info)[^\S\n]*+:[^\n]*+)*+[^-]*+)"
+)
 #: Prefixes by which public services mark their keys.
 _MARKED = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_\w{20,}|xox[abprs]-|sk[-_](?:live|test|proj)?|AIza|eyJ[\w-]+\.|glpat-|npm_|pypi-|SG\.")
 _SECRET_WORDS = re.compile(rf"(?i)(?:{_KEY})[\w-]*[\"']?\s*(?::=|=>|=|:)?\s*[\"']?$")
@@ -44,9 +48,10 @@ def candidates(text: str) -> list[tuple[int, int]]:
     """Start and end of each candidate in a text, disjoint and in order; where two overlap the one that starts first, then the longer."""
     spans = [m.span() for m in _PEM.finditer(text)]
     for m in _KEYED.finditer(text):
-        a, b = m.span(1)
-        value = m[1].rstrip(".!?#$%&*|")
-        if len(value) >= 8 and any(c.isdigit() for c in value):
+        a = m.start(2)
+        value = m[2].rstrip(".!?#$%&*|")
+        # After a mere blank, a value without a digit is the next word of a sentence.
+        if len(value) >= 8 and (not m[1].isspace() or any(c.isdigit() for c in value)):
             spans.append((a, a + len(value)))
     for m in _LONG.finditer(text):
         value = m[0].strip(".-=/")
@@ -92,7 +97,20 @@ def labelled_findings(rows: int = 1500, seed: int = 7) -> list[tuple[str, str, i
         lambda: pick("0123456789abcdef", r.choice([32, 40, 40, 40, 64])), lambda: pick("0123456789ABCDEF", r.choice([32, 40, 40, 64])),
         lambda: base64.b64encode(bytes(r.randrange(256) for _ in range(r.choice([20, 24, 30, 32])))).decode().rstrip("="), lambda: pick(low + up + dig, r.randrange(20, 48)),
         lambda: pick(low + up + dig + "!@#%^&*_-", r.randrange(10, 20)),
+    ]
+    pem = lambda kind, head: f"-----BEGIN {kind}PRIVATE KEY-----\n{head}" + "\n".join(pick(low + up + dig + "+/", 64) for _ in range(r.randrange(3, 20))) + f"\n-----END {kind}PRIVATE KEY-----"
+    # Words that no dictionary has.
+    coined = lambda: "".join(r.choice("bcdfghklmnprstvw") + r.choice("aeiou") + r.choice(["", "r", "n", "st"]) for _ in range(r.randrange(2, 4)))
+    digitless = [
+        lambda: pick(low + up, r.randrange(12, 48)), lambda: pick(low, r.randrange(20, 48)), lambda: pick(up, r.randrange(20, 48)), lambda: pick(low + up + "!@#%^&*_-", r.randrange(10, 24)),
+        *[lambda: "".join(coined().title() for _ in range(r.randrange(3, 5)))] * 2, lambda: pem(r.choice(["", "RSA ", "EC "]), ""),
+        lambda: pem("RSA ", f"Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{pick(dig + 'ABCDEF', 32)}\n\n"),
     ]
+    plain = [
+        *[lambda: "".join(coined() for _ in range(2))] * 3, lambda: r.choice(words) + r.choice(["ing", "ment", "ation", "ized", ""]) + r.choice(words), lambda: coined().title() + coined(),
+        lambda: r.choice("._-/").join(r.choice(words) for _ in range(r.randrange(2, 5))), lambda: r.choice(words) + "".join(r.choice(words).title() for _ in range(r.randrange(1, 4))),
+        lambda: "_".join(coined() for _ in range(2)), lambda: r.choice(["your_token_here", "changeme", "placeholder", "xxxxxxxxxxxx", "********", "<insert-key>", "${TOKEN}", "EXAMPLE_TOKEN"]),
+    ]
     marked = [
         lambda: "AKIA" + pick(up + dig, 16), lambda: "ghp_" + pick(low + up + dig, 36), lambda: "sk-" + pick(low + up + dig, 40), lambda: "AIza" + pick(low + up + dig + "-_", 35),
         lambda: "xoxb-" + pick(dig, 12) + "-" + pick(low + up + dig, 24), lambda: "eyJ" + pick(low + up + dig, 20) + "." + pick(low + up + dig, 40) + "." + pick(low + up + dig + "-_", 43),
@@ -117,6 +135,13 @@ def labelled_findings(rows: int = 1500, seed: int = 7) -> list[tuple[str, str, i
             out.append((r.choice(["", "use ", *(n + s for n in names[:4] for s in signs[:2])]), r.choice(marked)(), 1))
         else:
             out.append((r.choice(names) + r.choice(signs), r.choice(secret)(), 1))
+    # Half of these have digits, so that those keep their weight.
+    for k in range(rows):
+        if k % 4 == 3:
+            out.append((*r.choice(harmless)(), 0))
+        else:
+            value = r.choice((digitless, plain, secret)[k % 4])()
+            out.append(("" if value.startswith("-----") else r.choice(names) + r.choice(signs), value, int(k % 4 != 1)))
     return out
 
 
