@@ -60,7 +60,8 @@ def chat_format(conversations: DataFrame) -> DataFrame:
     ``user``, a null text as empty, and ``<|`` within role or text is broken up, so that no text can pose as markup. Rows
     without a conv_id are left out; an empty table gives an empty one; further columns are ignored.
     """
-    kept = conversations.join(maximal(conversations).withColumnRenamed("conv_id", "_kept"), F.col("conv_id") == F.col("_kept"), "left_semi")
+    conversations = conversations.select("conv_id", "turn", "role", "text")
+    kept = conversations.join(maximal(conversations), "conv_id", "left_semi")
     turn = F.coalesce(F.col("turn").cast("long"), F.lit(FIRST))
     safe = lambda c: F.replace(c, F.lit("<|"), F.lit("< |"))
     groups = kept.groupBy("conv_id", F.floor(turn / CHUNK).alias("chunk")).agg(F.array_sort(F.collect_set(F.struct(turn.alias("turn"), F.coalesce("role", F.lit("user")).alias("role"), F.coalesce("text", F.lit("")).alias("text")))).alias("turns"))

@@ -16,10 +16,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores added until no column of ``df`` is called like it, in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; one of our own only where that is unset (local tests)."""
-    own = os.path.join(tempfile.gettempdir(), "checkpoints", "quillspark")
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or own
+    """The folder of spark.checkpoint.dir; one of our own only where that is unset and all runs on this machine."""
+    told = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not told and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return told or os.path.join(tempfile.gettempdir(), "checkpoints", "quillspark")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -45,16 +58,20 @@ def held_out(doc_id: Column) -> Column:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
-    """doc_id, text and label of at most ``rows`` labelled ids outside the held-out fold: those whose ids hash lowest.
+    """doc_id, text and label of at most ``rows`` labelled texts outside the held-out fold: those whose ids hash lowest.
 
-    The ids are bounded by ``rows``, so they are broadcast. Null ids, labels and ids labelled both ways are left out.
+    At most ``rows`` ids are broadcast, and of rows that share an id each different text counts once. Null ids, labels other
+    than 0 and 1, and ids labelled both ways are left out.
     """
     ids = (
-        labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
+        labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.min(label).cast("int").alias("label"), F.max(label).cast("int").alias("_most"))
         .where("label = _most").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).drop("_most")
     )
-    return documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    held = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id").withColumn("_hash", F.xxhash64("text"))
+    # Repeated rows meet before the shuffle, so an id with a third of all rows is no hot group.
+    each = held.groupBy("doc_id", "label", "_hash").agg(F.min("text").alias("text"))
+    return each.orderBy(F.xxhash64("doc_id"), "doc_id", "_hash").limit(rows).select("doc_id", "text", "label")
 
 
 def scored(documents: DataFrame, name: str, model) -> DataFrame:

@@ -1,8 +1,8 @@
 """Packing of tokenised documents into fixed-length sequences: first-fit decreasing in randomised groups of documents.
 
 A document's full-length chunks are sequences of their own; only what is left of each document is packed. The groups are
-drawn by a hash of doc_id, so each is a random sample of about ``group`` documents whatever the table's order or skew, and
-each is packed alone: first-fit decreasing, where a tournament tree over the bins' free space finds the first bin that a
+drawn by a hash of a document's id, ids' checksum and place in its partition, so each is a random sample of about ``group``
+documents whatever the table's order, null or repeated ids, and each is packed alone: first-fit decreasing, where a tournament tree over the bins' free space finds the first bin that a
 piece fits into in logarithmic time.
 """
 
@@ -72,20 +72,23 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
 
 
 def tokenised(documents: DataFrame, tokenizer_path: str, length: int, end_id: int) -> DataFrame:
-    """doc_id, doc_tokens, crcs: per row the number of ids with the end id, and the CRC-32 of each cut of ``length`` ids."""
+    """doc_id, doc_tokens, crcs, place: per row the number of ids with the end id, the CRC-32 of each cut of ``length`` ids, and its place in the partition."""
 
     def of(batches):
         encode = word_encoder(tokenizer_path)
         end = np.array([end_id], dtype="<u4").tobytes()
+        at = 0
         for batch in batches:
             n, crcs = [], []
             for text in batch.column("text").to_pylist():
                 ids = encode(text or "") + end
                 n.append(len(ids) // 4)
                 crcs.append([zlib.crc32(ids[a : a + 4 * length]) for a in range(0, len(ids), 4 * length)])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(crcs, pa.list_(pa.int64()))], names=["doc_id", "doc_tokens", "crcs"])
+            place = pa.array(np.arange(at, at + len(n), dtype=np.int64))
+            at += len(n)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(crcs, pa.list_(pa.int64())), place], names=["doc_id", "doc_tokens", "crcs", "place"])
 
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(of, "doc_id long, doc_tokens long, crcs array<long>")
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(of, "doc_id long, doc_tokens long, crcs array<long>, place long")
 
 
 def first_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,14 +129,14 @@ def pack(documents: DataFrame, tokenizer_path: str, length: int = 4096, end_id:
 
     def place(rows: pd.DataFrame) -> pd.DataFrame:
         first = int(rows["group"].iloc[0]) << 32
+        rows = rows.sort_values(["none", "doc_id", "doc_tokens", "place"]).reset_index(drop=True)
         n = rows["doc_tokens"].to_numpy(np.int64)
         full, rest = n // length, n % length
         # Whole chunks first, a sequence each; then the rests, longest first, ties by doc_id.
         doc = np.repeat(np.arange(len(n)), full)
         chunk = np.arange(len(doc)) - np.repeat(np.cumsum(full) - full, full)
-        ids = rows["doc_id"].astype("Int64")
-        rank = ids.rank(method="dense", na_option="top").to_numpy(np.int64)
-        order = np.lexsort((rank, -rest))
+        ids = rows["doc_id"].astype("Int64").mask(rows["none"])
+        order = np.argsort(-rest, kind="stable")
         order = order[rest[order] > 0]
         bins, offsets = first_fit(rest[order], length)
         filled = np.zeros(len(doc) + (int(bins.max()) + 1 if len(bins) else 0), dtype=np.int64)
@@ -151,7 +154,9 @@ def pack(documents: DataFrame, tokenizer_path: str, length: int = 4096, end_id:
             "padded_length": np.where((used & (used - 1)) == 0, used, length),
         })
 
-    drawn = held.withColumn("group", F.pmod(F.xxhash64("doc_id"), F.lit(groups)))
+    # pandas would make floats of ids among nulls.
+    drawn = held.withColumns({"none": F.isnull("doc_id"), "doc_id": F.coalesce("doc_id", F.lit(0))})
+    drawn = drawn.withColumn("group", F.pmod(F.xxhash64("doc_id", "doc_tokens", F.col("crcs")[0], "place"), F.lit(groups)))
     return drawn.groupBy("group").applyInPandas(
         place, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padded_length long"
     )

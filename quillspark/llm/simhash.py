@@ -6,8 +6,10 @@ within the threshold on some part. A dynamic programme over estimated candidate
 differ from the fingerprint in up to the threshold's bits of a part are looked up, and the candidates are verified.
 
 Probing is between distinct fingerprints. Buckets of up to ``LIGHT`` fingerprints are probed by an ordinary join, whose
-output is at most ``LIGHT`` rows a probe; larger ones are cut into blocks, block pairs are compared whole, and of the links
-found only a spanning forest leaves a task, so a large group of near copies never becomes all its pairs.
+output is at most ``LIGHT`` rows a probe. Larger ones are split again by the bits outside their part: whoever lies within
+``distance`` bits agrees on one of ``distance + 1`` groups of these. What stays full then is a group of near copies; it is
+cut into blocks, block pairs are compared whole, and of the links found only a spanning forest leaves a task, so such a group
+never becomes all its pairs.
 """
 
 from __future__ import annotations
@@ -18,10 +20,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import written
+from quillspark.llm.common import fresh, written
 from quillspark.llm.components import components
 
 #: Fingerprints of a bucket that is probed by a join; larger buckets are compared in blocks of BLOCK.
@@ -56,15 +58,16 @@ def fingerprint(text: str | None, size: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def fingerprints(documents: DataFrame) -> DataFrame:
-    """doc_id, fp (the fingerprint's bits as a long): one row per row of ``documents``."""
+def fingerprints(documents: DataFrame, *kept: str) -> DataFrame:
+    """doc_id, fp (the fingerprint's bits as a long) and the long columns ``kept``: one row per row of ``documents``."""
 
     def of(batches):
         for batch in batches:
             fp = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp, type=pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp, type=pa.int64()), *map(batch.column, kept)], names=["doc_id", "fp", *kept])
 
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(of, "doc_id long, fp long")
+    texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *kept)
+    return texts.mapInArrow(of, "doc_id long, fp long" + "".join(f", {c} long" for c in kept))
 
 
 def grouped_bits(sample: np.ndarray, parts: int) -> list[np.ndarray]:
@@ -188,11 +191,50 @@ def _star_links(a: np.ndarray, b: np.ndarray, near: np.ndarray) -> list[tuple[in
     return [*zip(a[rows].tolist(), b[label[rows]].tolist(), strict=True), *zip(b[columns].tolist(), b[column[columns]].tolist(), strict=True)]
 
 
+def _hot(index: DataFrame, key: list[str]) -> DataFrame:
+    """``key`` and blocks of the buckets with more than LIGHT fingerprints, written."""
+    counts = index.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LIGHT)
+    return written(counts.select(*key, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "heavy")
+
+
+def _light(index: DataFrame, probes: DataFrame, hot: DataFrame, key: list[str], distance: int) -> DataFrame:
+    """a, b, a < b: links found by probing the buckets that are not hot."""
+    light = index.join(hot, key, "left_anti").withColumnRenamed("fp", "b")
+    apart = (F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
+    return probes.withColumnRenamed("fp", "a").join(light, key).where(apart).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _compared(index: DataFrame, probes: DataFrame, hot: DataFrame, key: list[str], distance: int) -> DataFrame:
+    """a, b, a < b: links that join what the hot buckets link; every block of a bucket's index meets every block of its probes."""
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        a, b = left["fp"].to_numpy(np.int64).view(np.uint64), right["fp"].to_numpy(np.int64).view(np.uint64)
+        kept: list[tuple[int, int]] = []
+        for at in range(0, len(a), 256):
+            near = np.bitwise_count(a[at : at + 256, None] ^ b[None, :]) <= distance
+            kept += _star_links(a[at : at + 256].view(np.int64), b.view(np.int64), near)
+        kept = _forest(*np.array(kept, dtype=np.int64).reshape(-1, 2).T)
+        return pd.DataFrame([(min(p), max(p)) for p in kept], columns=["a", "b"], dtype="int64")
+
+    block = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    group, sides = [*key, "i", "j"], [f"p_{c}" for c in (*key, "i", "j")]
+    by_index = index.join(hot, key).select(*key, "fp", block.alias("i"), others.alias("j"))
+    by_probe = probes.join(hot, key).select(*key, "fp", others.alias("i"), block.alias("j")).toDF(*sides[:-2], "fp", *sides[-2:])
+    return by_probe.groupBy(*sides).cogroup(by_index.groupBy(*group)).applyInPandas(compare, "a long, b long").where("a != b")
+
+
 def links(distinct: DataFrame, distance: int = 3) -> DataFrame:
-    """a, b: links between distinct fingerprints (column fp) within ``distance`` bits, enough to join what they all join.
+    """a, b, a < b: links between distinct fingerprints (column fp) that join exactly those that ``distance`` bits join.
 
-    ``distinct`` is best a written table; it is read several times.
+    Without hot buckets these are all pairs within ``distance`` bits; with some, a star for each component.
     """
+    found, hot = _found(distinct, distance)
+    return components(found).where("node != root").select(F.col("root").alias("a"), F.col("node").alias("b")) if hot else found
+
+
+def _found(distinct: DataFrame, distance: int) -> tuple[DataFrame, bool]:
+    """a, b, a < b: what probing and blocks find, and whether there are hot buckets. ``distinct`` is read several times."""
     total = distinct.count()
     drawn = distinct.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toPandas()["fp"].to_numpy(dtype=np.int64).view(np.uint64)
     plan = Allotment(drawn, total, distance)
@@ -216,31 +258,44 @@ def links(distinct: DataFrame, distance: int = 3) -> DataFrame:
     entries = written(distinct.select("fp").mapInArrow(keys, "probe boolean, part int, value long, fp long"), "entries")
     index, probes = entries.where("not probe").drop("probe"), entries.where("probe").drop("probe")
     key = ["part", "value"]
-    heavy = index.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LIGHT)
-    heavy = written(heavy.select(*key, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "heavy")
+    hot = _hot(index, key)
+    few = _light(index, probes, hot, key, distance).distinct()
+    if hot.isEmpty():
+        return few, False
 
-    light = index.join(heavy, key, "left_anti").withColumnRenamed("fp", "b")
-    apart = (F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
-    few = probes.withColumnRenamed("fp", "a").join(light, key).where(apart).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    # The bits outside each part, in distance + 1 groups.
+    outside = [np.array_split(np.setdiff1d(np.arange(64), group), distance + 1) for group in plan.groups]
 
-    # Every block of a heavy bucket's index meets every block of its probes.
-    block = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    group = [*key, "i", "j"]
-    many_i = index.join(heavy, key).select(*key, "fp", block.alias("i"), others.alias("j")).toDF(*key, "fp", "i", "j")
-    many_p = probes.join(heavy, key).select(*key, "fp", block.alias("j"), others.alias("i")).toDF("p_part", "p_value", "fp", "p_j", "p_i")
+    def again(batches):
+        """probe, part, value, sub, inner, fp: a row for each group of the other bits."""
+        for batch in batches:
+            part, fp = batch.column("part").to_numpy(), batch.column("fp").to_numpy().view(np.uint64)
+            for k in np.unique(part):
+                rows = np.flatnonzero(part == k)
+                taken = batch.take(pa.array(rows))
+                for sub, bits in enumerate(outside[k]):
+                    inner = part_values(fp[rows], bits).view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [taken.column("probe"), taken.column("part"), taken.column("value"), pa.array(np.full(len(rows), sub, dtype=np.int32)), pa.array(inner), taken.column("fp")],
+                        names=["probe", "part", "value", "sub", "inner", "fp"],
+                    )
 
-    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        a, b = left["fp"].to_numpy(np.int64).view(np.uint64), right["fp"].to_numpy(np.int64).view(np.uint64)
-        kept: list[tuple[int, int]] = []
-        for at in range(0, len(a), 256):
-            near = np.bitwise_count(a[at : at + 256, None] ^ b[None, :]) <= distance
-            kept += _star_links(a[at : at + 256].view(np.int64), b.view(np.int64), near)
-        kept = _forest(*np.array(kept, dtype=np.int64).reshape(-1, 2).T)
-        return pd.DataFrame(kept, columns=["a", "b"], dtype="int64")
+    # A probe that meets no index entry of a hot bucket is dropped by the join.
+    crowded = entries.join(hot.select(*key), key).select("probe", "part", "value", "fp")
+    split = written(crowded.mapInArrow(again, "probe boolean, part int, value long, sub int, inner long, fp long"), "split")
+    index, probes = split.where("not probe").drop("probe"), split.where("probe").drop("probe")
+    key = ["part", "value", "sub", "inner"]
+    full = _hot(index, key)
+    found = _light(index, probes, full, key, distance)
+    if not full.isEmpty():
+        found = found.union(_compared(index, probes, full, key, distance))
+    return few.union(found), True
 
-    many = many_p.groupBy("p_part", "p_value", "p_i", "p_j").cogroup(many_i.groupBy(*group)).applyInPandas(compare, "a long, b long")
-    return few.union(many.where("a != b")).distinct()
+
+def _classes(distinct: DataFrame, distance: int) -> DataFrame:
+    """fp, least, root: ``distinct`` (fp, least) with the smallest fingerprint that each leads to."""
+    found = components(_found(distinct, distance)[0])
+    return distinct.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(documents: DataFrame, distance: int = 3) -> DataFrame:
@@ -253,17 +308,29 @@ def near_duplicates(documents: DataFrame, distance: int = 3) -> DataFrame:
     """
     held = written(fingerprints(documents), "fingerprints")
     distinct = written(held.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    found = components(links(distinct, distance))
-    classes = distinct.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    classes = _classes(distinct, distance)
     roots = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     labelled = classes.join(roots, "root").select("fp", "component_id")
     return held.join(labelled, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(documents: DataFrame, distance: int = 3) -> DataFrame:
-    """``documents`` without the near-duplicates: of each component the rows of its smallest doc_id stay, all columns as they are.
+    """``documents`` without the near-duplicates: one row of each component stays, all columns as they are.
 
-    Rows of a component without any doc_id stay.
+    It is the row of the smallest doc_id (null after all others), of several those whose text hashes lowest; of rows that
+    share doc_id and text one stays. An empty table gives an empty one; further columns may have any names.
     """
-    kept = near_duplicates(documents, distance).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return documents.join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi").unionByName(documents.where(F.col("doc_id").isNull()))
+    # The two hashes of a row's id and text stand for it, so that nulls join and an id of many texts is no one key.
+    k1, k2, fp, rank = fresh(documents, "_k1", "_k2", "_fp", "_rank")
+    known = [F.col("doc_id").cast("long"), F.col("doc_id").isNull(), F.col("text").cast("string"), F.col("text").isNull()]
+    keyed = documents.withColumns({k1: F.xxhash64(*known), k2: F.xxhash64(*reversed(known))})
+    held = written(fingerprints(keyed, k1, k2), "fingerprints")
+    distinct = written(held.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    choice = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", k1, k2)).alias("row")
+    by_print = held.groupBy("fp").agg(choice)
+    classes = _classes(distinct, distance).select(F.col("fp").alias(fp), "root")
+    kept = by_print.join(classes, F.col("fp") == F.col(fp)).groupBy("root").agg(F.min("row").alias("row")).select(f"row.{k1}", f"row.{k2}")
+    # Repeated rows are alike, so any of them stays.
+    first = Window.partitionBy(k1, k2).orderBy(k1)
+    out = keyed.join(kept, [k1, k2], "left_semi").withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1)
+    return out.select(*[F.col(f"`{c}`") for c in documents.columns])

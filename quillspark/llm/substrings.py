@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import forget, written
+from quillspark.llm.common import forget, fresh, written
 from quillspark.llm.fm_index import FMIndex
 
 GRAM, HOT, SHARD_WORDS = 8, 400, 60_000
@@ -249,10 +249,11 @@ def dedup(documents: DataFrame, length: int = 50) -> DataFrame:
     names = ["n_words", "n_removed", "kept"]
     held = documents.drop(*names)
     keyed = held.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    ranges = repeated(keyed, length).toDF("_sub_id", "_sub_hash", "_sub_ranges")
-    joined = held.withColumn("_sub_own", F.xxhash64(F.col("text").cast("string"))).join(ranges, (F.col("doc_id").cast("long") == F.col("_sub_id")) & (F.col("_sub_own") == F.col("_sub_hash")), "left")
+    sub_id, sub_hash, sub_ranges, own = fresh(held, "_sub_id", "_sub_hash", "_sub_ranges", "_sub_own")
+    ranges = repeated(keyed, length).toDF(sub_id, sub_hash, sub_ranges)
+    joined = held.withColumn(own, F.xxhash64(F.col("text").cast("string"))).join(ranges, (F.col("doc_id").cast("long") == F.col(sub_id)) & (F.col(own) == F.col(sub_hash)), "left")
     columns = held.columns
-    joined = joined.select(*columns, "_sub_ranges")
+    joined = joined.select(*[F.col(f"`{c}`") for c in columns], sub_ranges)
     where = columns.index("text")
 
     def of(batches):
