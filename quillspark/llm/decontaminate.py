@@ -1,11 +1,14 @@
 """Benchmark decontamination with a positional inverted index, in DataFrame operations only.
 
-Every benchmark window (``width`` consecutive words; a shorter item is one window) is anchored at its rarest word, by the
-document frequencies of the whole corpus. Of the corpus, only the postings of anchor words are stored, each with the words
-around it, so that the lists of the other words of a window, moved by their offsets, are intersected where the rarest
-word's list is read: a posting and an anchor meet on the word, and the windows whose every offset agrees are the matches.
-
-Anchor words and vocabulary are broadcast while they number at most ``BROADCAST_WORDS``; beyond that they are joined.
+One pass tokenises the corpus and stores the postings (document, term, position) of every word that the benchmark has; a
+term is a word's 64-bit hash, and a document's key 128 bits of hash of its id and text. A
+window (``width`` consecutive benchmark words; a shorter item is one window) is looked up from its two rarest words: their
+lists, moved by the words' offsets in the item, are intersected, which leaves a few places (document, item, offset between
+the two). There the lists of all words around are intersected, and runs of ``width`` agreeing words are the exact matches.
+``proximity`` finds near matches on the same index.
+
+What is broadcast is counted first: vocabulary, rare words and documents with candidates are broadcast while they number at
+most ``BROADCAST_ROWS``; beyond that the whole vocabulary is indexed, and the others are joined.
 """
 
 from __future__ import annotations
@@ -13,93 +16,118 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import written
+from quillspark.llm.common import forget, fresh, written
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words whether A-Z are lower-cased or not: ASCII but letters and digits, one by one, which matches faster than ranges.
+GAP = "[" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: At most so many words are broadcast: a few MB.
-BROADCAST_WORDS = 200_000
+#: At most so many rows are broadcast: some ten MB.
+BROADCAST_ROWS = 400_000
+#: Stands behind the last word of each document in the index, so that every document and its number of words is there.
+END = " "
+DOC = ["k1", "k2"]
+
+
+def _split(text: Column) -> Column:
+    """Words of a text, not yet lower-cased: runs of digits, letters and non-ASCII characters. Null text has none."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
+
+
+def _lowered(word: Column) -> Column:
+    """A-Z lower-cased; where all is ASCII that is what ``lower`` does, and it is faster."""
+    return F.when(F.octet_length(word) == F.char_length(word), F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
 
 
 def words(text: Column) -> Column:
-    """Words of a text: A-Z lower-cased, runs of digits, a-z and non-ASCII characters. Null text has none."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    return F.filter(F.split(lowered, GAP), lambda w: w != "")
+    """Words of a text, A-Z lower-cased."""
+    return F.transform(_split(text), _lowered)
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """``df`` of distinct words, to be broadcast if its checked size allows."""
-    return F.broadcast(df) if df.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS else df
+    """``df`` to be broadcast if its checked size allows."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def _windows(items: DataFrame, width: int) -> DataFrame:
-    """item_id, words, start, size: one row per window of an item. ``items`` has item_id and words."""
-    n = F.size("words")
-    return items.where(n > 0).select(
-        "item_id", "words", F.least(n, F.lit(width)).alias("size"),
-        F.explode(F.sequence(F.lit(0), F.greatest(n - width, F.lit(0)))).alias("start"),
-    )
+def doc_key(documents: DataFrame) -> list[Column]:
+    """128 bits of hash of a row's id and text, nulls told apart; rows of one doc_id with different texts differ."""
+    known = [F.col("doc_id"), F.col("doc_id").isNull(), F.col("text"), F.col("text").isNull()]
+    return [F.xxhash64(*known), F.xxhash64(*known[::-1])]
+
+
+def _term(word: Column) -> Column:
+    return F.xxhash64(_lowered(word))
 
 
-def anchors(benchmark: DataFrame, documents: DataFrame, width: int = 13) -> DataFrame:
-    """word, before, after, phrases: each anchor word with the distinct phrases around it.
+def items(benchmark: DataFrame, width: int) -> DataFrame:
+    """item_id, item, n, size, at, term: a row for each word of each item with an id and words.
 
-    ``phrases`` holds for each window its item_id, the anchor's offset in it, and its words. Ties between equally rare
-    words go to the smaller word, then the smaller offset. Words that no document has make their window unmatchable, and
-    such windows are dropped here. Rows that share an item_id but differ in text keep each their windows.
+    ``item`` is a hash of id and words, so texts that share an item_id stay apart; ``size`` is the length of its windows.
     """
-    items = benchmark.where(F.col("item_id").isNotNull()).select("item_id", words(F.col("text")).alias("words")).distinct()
-    vocabulary = items.select(F.explode("words").alias("word")).distinct()
-    found = documents.select(F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
-    frequency = found.join(_small(vocabulary), "word").groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    each = (
-        _windows(items, width)
-        .select("item_id", "start", F.slice("words", F.col("start") + 1, F.col("size")).alias("phrase"))
-        .select("item_id", "start", "phrase", F.posexplode("phrase").alias("offset", "word"))
-        .join(frequency, "word", "left")
-    )
-    return (
-        each.groupBy("item_id", "start", "phrase")
-        .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "word", "offset")).alias("rarest"))
-        .where("rarest.df > 0")
-        .select("item_id", "start", "phrase", F.col("rarest.word").alias("word"), F.col("rarest.offset").alias("offset"))
+    held = benchmark.where(F.col("item_id").isNotNull()).select("item_id", words(F.col("text")).alias("words")).distinct()
+    n = F.size("words")
+    return held.where(n > 0).select(
+        "item_id", F.xxhash64("item_id", "words").alias("item"), n.alias("n"), F.least(n, F.lit(width)).alias("size"), F.posexplode(F.transform("words", _term)).alias("at", "term")
     )
 
 
-def postings(documents: DataFrame, terms: DataFrame, width: int = 13) -> DataFrame:
-    """doc_id, text_hash, n_words, word, position, context: the occurrences of ``terms`` (column word) in all documents.
+def index(documents: DataFrame, terms: DataFrame) -> DataFrame:
+    """k1, k2, term, position: the stored postings of ``terms`` (term), and the END of every document."""
+    # Keys come first: beside posexplode they would be computed anew for each word.
+    keyed = documents.select(*[k.alias(c) for k, c in zip(doc_key(documents), DOC, strict=True)], "text")
+    each = keyed.select(*DOC, F.posexplode(F.array_append(_split(F.col("text")), F.lit(END))).alias("position", "word"))
+    each = each.select(*DOC, _term(F.col("word")).alias("term"), "position")
+    vocabulary = terms.select("term").union(terms.sparkSession.range(1).select(F.xxhash64(F.lit(END)).alias("term"))).distinct()
+    small = vocabulary.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    # Beyond the bound, a join would shuffle all words; indexing all of them does not.
+    return written(each.join(F.broadcast(vocabulary), "term", "left_semi").select(*DOC, "term", "position") if small else each, "postings")
+
 
-    ``context`` has the up to ``width - 1`` words on either side; the word itself is at ``least(position, width - 1)``.
+def rarest(words_of: DataFrame, postings: DataFrame) -> DataFrame:
+    """item_id, item, n, size, start, ats: each window that may match, with the places of its two rarest words, rarest first.
+
+    Rarity is the length of a word's list; ties go to the smaller term, then the smaller place. A window with a word that no
+    document has cannot match and is left out.
     """
-    held = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words"))
-    each = held.select("doc_id", "text_hash", "words", F.posexplode("words").alias("position", "word"))
-    first = F.greatest(F.col("position") - (width - 1), F.lit(0))
-    around = [
-        "doc_id", "text_hash", "word", "position",
-        F.slice("words", first + 1, F.lit(2 * width - 1)).alias("context"), (F.col("position") - first).alias("at"),
-    ]
-    terms = terms.select("word").distinct()
-    if terms.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS:
-        return each.join(F.broadcast(terms), "word", "left_semi").select(*around)
-    # Joined by a shuffle, a posting must not carry its whole document along.
-    return each.select(*around).join(terms, "word", "left_semi")
-
-
-def matches(documents: DataFrame, benchmark: DataFrame, width: int = 13) -> DataFrame:
-    """doc_id, text_hash, item_id, start, first, size: each exact occurrence of a benchmark window in a document.
-
-    ``start`` is the window's place in its item, ``first`` in the document. Rows repeat if documents' rows do.
+    lists = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    known = words_of.join(lists, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    first = F.greatest(F.col("at") - F.col("size") + 1, F.lit(0))
+    each = known.withColumn("start", F.explode(F.sequence(first, F.least(F.col("at"), F.col("n") - F.col("size")))))
+    ranked = each.groupBy("item_id", "item", "n", "size", "start").agg(F.array_sort(F.collect_list(F.struct("df", "term", "at"))).alias("ranked"))
+    # A word that comes twice has one list; the second is that of another word, where there is one.
+    other = F.filter("ranked", lambda r: r["term"] != F.col("ranked")[0]["term"])
+    ats = F.array_distinct(F.array(F.col("ranked")[0]["at"], F.coalesce(F.try_element_at(other, F.lit(1)), F.col("ranked")[0])["at"]))
+    return ranked.where(F.col("ranked")[0]["df"] > 0).select("item_id", "item", "n", "size", "start", ats.alias("ats"))
+
+
+def candidates(postings: DataFrame, words_of: DataFrame, windows: DataFrame) -> DataFrame:
+    """k1, k2, item, shift, low, high: places where the two rarest words of a window may stand as in the item.
+
+    ``shift`` is a word's position in the document less its place in the item, ``low`` and ``high`` the first and last place
+    seen there. Each list is read once, for all windows that its word is rare in.
     """
-    # The anchors are read twice below, and each time would cost a pass over the corpus for the frequencies.
-    rare = written(anchors(benchmark, documents, width), "anchors")
-    found = postings(documents, rare, width)
-    begin = F.col("at") - F.col("offset")
-    agree = (begin >= 0) & (F.slice("context", F.greatest(begin, F.lit(0)) + 1, F.size("phrase")) == F.col("phrase"))
-    return found.join(rare.withColumnRenamed("word", "_word"), (F.col("word") == F.col("_word")) & agree).select(
-        "doc_id", "text_hash", "item_id", "start", (F.col("position") - F.col("offset")).alias("first"),
-        F.size("phrase").alias("size"),
-    )
+    rare = windows.select("item", F.explode("ats").alias("at"), F.size("ats").alias("need")).groupBy("item", "at").agg(F.min("need").alias("need"))
+    rare = rare.join(words_of.select("item", "at", "term"), ["item", "at"])
+    shifted = postings.join(_small(rare), "term").select(*DOC, "item", "need", (F.col("position") - F.col("at")).alias("shift"), "at")
+    met = shifted.groupBy(*DOC, "item", "shift").agg(F.min("at").alias("low"), F.max("at").alias("high"), F.min("need").alias("need"))
+    return met.where((F.col("need") == 1) | (F.col("low") < F.col("high"))).drop("need")
+
+
+def matches(postings: DataFrame, benchmark: DataFrame, width: int = 13) -> DataFrame:
+    """k1, k2, item_id, first, size: each exact occurrence of a benchmark window, from ``first`` on in the document."""
+    # Some hundred words a benchmark item; read several times below.
+    words_of = written(items(benchmark, width), "items")
+    windows = written(rarest(words_of, postings), "windows")
+    found = written(candidates(postings, words_of, windows), "candidates")
+    low, high = F.greatest(F.col("low") - F.col("size") + 1, F.lit(0)), F.least(F.col("high") + F.col("size") - 1, F.col("n") - 1)
+    lengths = words_of.select("item_id", "item", "n", "size").distinct()
+    asked = found.join(_small(lengths), "item").select(*DOC, "item_id", "item", "size", "shift", F.explode(F.sequence(low, high)).alias("at"))
+    asked = asked.join(_small(words_of.select("item", "at", "term")), ["item", "at"]).withColumn("position", F.col("shift") + F.col("at"))
+    # Only the lists of documents with candidates are intersected; the first key alone tells most of them.
+    near = postings.join(_small(found.select("k1").distinct()), "k1", "left_semi")
+    agreed = near.join(asked, [*DOC, "term", "position"]).groupBy(*DOC, "item_id", "item", "size", "shift").agg(F.array_sort(F.collect_set("at")).alias("ats"))
+    # A run of as many words as a window has begins wherever the word that many places on is that much further.
+    whole = F.filter("ats", lambda at, k: F.get("ats", k + F.col("size") - 1) == at + F.col("size") - 1)
+    return agreed.select(*DOC, "item_id", "size", "shift", F.explode(whole).alias("at")).select(*DOC, "item_id", (F.col("shift") + F.col("at")).alias("first"), "size")
 
 
 def proximity(documents: DataFrame, benchmark: DataFrame, width: int = 13, within: int = 12) -> DataFrame:
@@ -108,13 +136,35 @@ def proximity(documents: DataFrame, benchmark: DataFrame, width: int = 13, withi
     All words of the window occur among the ``within`` words on either side of ``position``. Exact matches are among them
     when ``within >= width - 1``.
     """
-    rare = written(anchors(benchmark, documents, width), "anchors")
-    found = postings(documents, rare, within + 1)
-    near = F.size(F.array_except("phrase", "context")) == 0
-    return (
-        found.join(rare.withColumnRenamed("word", "_word"), (F.col("word") == F.col("_word")) & near)
-        .select("doc_id", "item_id", "start", "position").distinct()
-    )
+    words_of = written(items(benchmark, width), "items")
+    postings = index(documents, words_of)
+    windows = written(rarest(words_of, postings), "windows")
+    inside = (F.col("at") >= F.col("start")) & (F.col("at") < F.col("start") + F.col("size"))
+    asked = windows.select("item", "start", "ats").join(words_of, "item").where(inside)
+    need = asked.groupBy("item_id", "item", "start").agg(F.count_distinct("term").alias("need"))
+    rare = windows.select("item", "start", F.col("ats")[0].alias("at")).join(words_of, ["item", "at"]).select("item", "start", "term")
+    spot = postings.join(_small(rare), "term").select(*DOC, "item", "start", F.col("position").alias("spot")).distinct()
+    # Positions within reach lie in the spot's stretch of the document or one beside it.
+    reach = F.lit(within + 1)
+    stretch = F.floor(F.col("spot") / reach)
+    terms = asked.select("item", "start", "term").distinct()
+    beside = spot.join(_small(terms), ["item", "start"]).withColumn("stretch", F.explode(F.array(stretch - 1, stretch, stretch + 1)))
+    near = postings.join(_small(spot.select("k1").distinct()), "k1", "left_semi").withColumn("stretch", F.floor(F.col("position") / reach))
+    seen = near.join(beside, [*DOC, "term", "stretch"]).where(F.abs(F.col("position") - F.col("spot")) <= within)
+    full = seen.groupBy(*DOC, "item", "start", "spot").agg(F.count_distinct("term").alias("have")).join(_small(need), ["item", "start"]).where("have = need")
+    ids = documents.select("doc_id", *[k.alias(c) for k, c in zip(doc_key(documents), DOC, strict=True)]).distinct()
+    return full.join(ids, DOC).select("doc_id", "item_id", "start", F.col("spot").alias("position")).distinct()
+
+
+def _judged(postings: DataFrame, benchmark: DataFrame, width: int, share: int) -> DataFrame:
+    """k1, k2, n_words, n_hit, hit_items, contaminated of the documents with matches."""
+    hits = written(matches(postings, benchmark, width).distinct(), "matches")
+    places = hits.select(*DOC, F.explode(F.sequence(F.col("first"), F.col("first") + F.col("size") - 1)).alias("place")).distinct()
+    n_hit = places.groupBy(*DOC).agg(F.count(F.lit(1)).alias("n_hit"))
+    by_item = hits.groupBy(*DOC).agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("hit_items"))
+    met = n_hit.join(by_item, DOC)
+    lengths = postings.where(F.col("term") == F.xxhash64(F.lit(END))).groupBy(*DOC).agg(F.max("position").cast("long").alias("n_words"))
+    return lengths.join(met, DOC, "left").withColumn("contaminated", F.coalesce(F.col("n_hit") * share >= F.col("n_words"), F.lit(False)))
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, width: int = 13, share: int = 20) -> DataFrame:
@@ -122,31 +172,35 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = 13, s
 
     A word inside any occurrence of a window is hit; a document is contaminated if words are hit and ``share * n_hit >=
     n_words``. Rows of the same doc_id are told apart by their texts; a repeated row is returned as often as it occurs.
-    Null texts and ids, empty tables and items without words give zero hits and the SHA-256 of the empty string. Columns
-    of ``documents`` that have the names of results are replaced.
+    Null texts and ids, empty tables and items without words give zero hits and the SHA-256 of the empty string; texts of any
+    length are read whole. Columns of ``documents`` that have the names of results are replaced, others may have any names.
     """
-    hits = matches(documents, benchmark, width).select("doc_id", "text_hash", "item_id", "first", "size").distinct()
-    by_item = hits.groupBy("doc_id", "text_hash").agg(
-        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("_con_items"),
-        F.size(F.array_distinct(F.flatten(F.collect_set(F.sequence(F.col("first"), F.col("first") + F.col("size") - 1))))).cast("long").alias("_con_hits"),
-    )
     names = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-    held = documents.drop(*names).withColumn("_con_hash", F.xxhash64("text")).withColumn(
-        "n_words", F.regexp_count(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), F.lit(WORD)).cast("long")
-    )
-    by_item = by_item.toDF("_con_id", "_con_text", "_con_items", "_con_hits")
-    joined = held.join(by_item, F.col("doc_id").eqNullSafe(F.col("_con_id")) & (F.col("_con_hash") == F.col("_con_text")), "left")
-    items = F.coalesce("_con_items", F.array().cast("array<string>"))
-    return (
-        joined.withColumn("n_hit", F.coalesce("_con_hits", F.lit(0)).cast("long"))
-        .withColumn("n_items", F.size(items).cast("long"))
-        .withColumn("items_sha256", F.sha2(F.array_join(items, ",").cast("binary"), 256))
-        .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
-        .select(*[c for c in documents.columns if c not in names], *names)
-    )
+    kept = [c for c in documents.columns if c.lower() not in names]
+    postings = index(documents, items(benchmark, width))
+    inner = fresh(documents, "_k1", "_k2", "_n_words", "_n_hit", "_hit_items", "_contaminated")
+    judged = _judged(postings, benchmark, width, share).select(*DOC, "n_words", "n_hit", "hit_items", "contaminated").toDF(*inner)
+    k1, k2, n_words, n_hit, hit_items, contaminated = inner
+    held = documents.withColumns(dict(zip(inner[:2], doc_key(documents), strict=True))).select(*[F.col(f"`{c}`") for c in kept], k1, k2)
+    found = F.coalesce(hit_items, F.array().cast("array<string>"))
+    return held.join(judged, [k1, k2], "left").select(
+        *[F.col(f"`{c}`") for c in kept], F.col(n_words).alias("n_words"), F.coalesce(n_hit, F.lit(0)).cast("long").alias("n_hit"), F.size(found).cast("long").alias("n_items"),
+        F.sha2(F.array_join(found, ",").cast("binary"), 256).alias("items_sha256"), F.col(contaminated).alias("contaminated"),
+    )
+
+
+def clean(documents: DataFrame, benchmark: DataFrame, width: int = 13, share: int = 20) -> DataFrame:
+    """The rows of ``documents`` that ``contamination`` does not find contaminated, all columns as they are; the same cases hold."""
+    postings = index(documents, items(benchmark, width))
+    k1, k2 = fresh(documents, "_k1", "_k2")
+    dirty = written(_judged(postings, benchmark, width, share).where("contaminated").select(*DOC).toDF(k1, k2), "contaminated")
+    forget(postings)
+    held = documents.withColumns(dict(zip((k1, k2), doc_key(documents), strict=True)))
+    return held.join(_small(dirty), [k1, k2], "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
 #: The same as ``contamination`` in DuckDB, for tables without repeated doc_ids.
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ORACLE_SQL = f"""
     WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM documents),
     b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM benchmark WHERE item_id IS NOT NULL),

@@ -164,7 +164,7 @@ def brute_decontamination(rows, bench):
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_decontamination(spark, docs, empty, monkeypatch, broadcast):
     if not broadcast:
-        monkeypatch.setattr(decontaminate, "BROADCAST_WORDS", 1)
+        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
     bench = spark.createDataFrame(bench_rows(), "item_id long, text string")
     out = decontaminate.contamination(docs, bench)
     assert set(docs.columns) <= set(out.columns)
