@@ -2,6 +2,7 @@
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,6 +42,31 @@ def test_nearest(spark, monkeypatch, shard, sample, block):
     assert hits >= 0.95 * 20 * len(want)
 
 
+@pytest.mark.parametrize("clustered", [True, False])
+def test_nearest_verifies_few_of_clustered_vectors(spark, small, clustered):
+    """Share of pairs verified, and recall: on clusters most are pruned, on the test table's vectors few can be."""
+    r = np.random.default_rng(3)
+    if clustered:
+        x = (r.standard_normal((40, 64))[r.integers(0, 40, size=4000)] + 0.1 * r.standard_normal((4000, 64))).astype(np.float32)
+    else:
+        x = np.array([v.embedding for v in spark.read.parquet(f"{small}/../sf0.1/embeddings.parquet").orderBy("vec_id").collect()], dtype=np.float32)
+    projection = srs.Projection(64, float(np.linalg.norm(x.astype(float), axis=1).max()), 8, 11)
+    rows = pd.DataFrame({"id": np.arange(len(x)), "vec": [v.tobytes() for v in x], "kth": -np.inf})
+    counted = []
+    got = srs.search_shard(rows[::20], rows, projection, 21, srs.chi_square_bound(8, 0.9), counted)
+    share = sum(counted) / (len(rows[::20]) * len(rows))
+    scores = x[::20].astype(float) @ x.T.astype(float)
+    hits = sum(len(set(g.vec_id) & set(np.argsort(-scores[q // 20], kind="stable")[:21].tolist())) for q, g in got.groupby("query_id"))
+    recall = hits / (21 * len(scores))
+    assert recall >= 0.9 and (share < 0.2 if clustered else share <= 1), (share, recall)
+
+
+def test_ids_with_several_vectors_count_once(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.5, 0.0]), (1, [1.0, 1.0]), (2, [3.0, 0.0]), (2, [2.0, 0.0]), (2, [2.0, 0.0])]
+    got = srs.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") == 0)
+    assert [tuple(r) for r in got.orderBy("rank").collect()] == [(0, 1, 2, 1.0), (0, 2, 1, 0.5)]
+
+
 def test_nearest_with_few_or_no_rows(spark):
     schema = "vec_id long, embedding array<float>"
     assert srs.nearest(spark.createDataFrame([], schema), F.col("id") % 20 == 0).count() == 0
