@@ -1,13 +1,16 @@
 """Quality by nearest-neighbour voting in a latent-semantic space.
 
-A document's terms are the trigrams of its character classes (layout, case, digits, symbols) and a few counts of word
-repetition. Square-rooted relative frequencies, weighted by inverse document frequency, are projected on the leading
-singular directions of a bounded sample of labelled documents. The sample's vectors are broadcast, every document's cosine
-to each of them is computed exactly, in blocks, and its nearest neighbours vote with their similarity as weight.
+A document's terms are its words, hashed to ``WORDS`` numbers, and trigrams of its character classes (layout, case, digits,
+symbols) with a few counts of word repetition. Either kind is tf-idf weighted (square-rooted relative frequencies, inverse
+document frequencies of the sample) and of length one before the two are joined, and a truncated SVD of a bounded sample of
+labelled documents projects them on its leading directions. The sample's vectors are broadcast, every document's cosine to
+each of them is computed exactly, in blocks, and its nearest neighbours vote with their similarity as weight.
 """
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
 from operator import eq
 
 import numpy as np
@@ -22,7 +25,9 @@ _CLASS = np.zeros(256, dtype=np.int32)
 for _k, _chars in ((1, b" \t"), (2, b"\n\r\x0b\x0c"), (3, bytes(range(97, 123))), (4, bytes(range(65, 91))), (5, b"0123456789"), (6, bytes(range(128, 256))), (7, b".,;:"), (8, b"!?"), (9, b"|"), (10, b"#$%&*+=<>@^_~\\/"), (11, b"\"'()[]{}`-")):
     _CLASS[list(_chars)] = _k
 CLASSES = 12
-TERMS = CLASSES**3 + 3
+#: Terms of characters come first, then those of words.
+CHARACTERS, WORDS = CLASSES**3 + 3, 1 << 13
+TERMS = CHARACTERS + WORDS
 
 
 def terms(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
@@ -32,12 +37,15 @@ def terms(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
     if not words:
         return None
     c = _CLASS[np.frombuffer(b"\n " + raw + b"\n", dtype=np.uint8)]
-    counts = np.bincount((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], minlength=TERMS).astype(np.float64)
+    counts = np.bincount((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], minlength=CHARACTERS).astype(np.float64)
     counts /= len(c) - 2
     n = len(words)
     counts[-3] = sum(map(eq, words, words[1:])) / n  # a word said twice in a row
     counts[-2] = sum(map(eq, words, words[2:])) / n
     counts[-1] = max(0.0, 1 - len(set(words)) / n - 0.3)  # few different words
+    said = Counter(raw.lower().split())
+    number = np.fromiter(map(zlib.crc32, said), np.int64, len(said)) & (WORDS - 1)
+    counts = np.concatenate([counts, np.bincount(number, weights=np.fromiter(said.values(), float, len(said)), minlength=WORDS) / n])
     at = np.flatnonzero(counts)
     return at, np.sqrt(counts[at])
 
@@ -46,20 +54,36 @@ class LatentVotes:
     """Latent-semantic vectors of labelled documents; the votes of the nearest ones score a document."""
 
     def __init__(self, sample: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, dims: int, neighbours: int, power: float):
+        seen = np.bincount(np.concatenate([at for at, _ in sample]), minlength=TERMS) if sample else np.zeros(TERMS)
+        self.idf = (np.log((1 + len(sample)) / (1 + seen)) + 1).astype(np.float32)
         x = np.zeros((len(sample), TERMS), dtype=np.float32)
         for row, (at, weight) in zip(x, sample, strict=True):
-            row[at] = weight
-        self.idf = (np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1).astype(np.float32)
-        x *= self.idf
-        x /= np.linalg.norm(x, axis=1, keepdims=True) + 1e-12
-        _, directions = np.linalg.eigh(x.T @ x)
-        self.directions = np.ascontiguousarray(directions[:, ::-1][:, :dims] * self.idf[:, None]).astype(np.float32)
+            row[at] = self.weighted(at, weight)
+        self.directions = self.leading(x, min(dims, len(x)))
         self.labels, self.neighbours, self.power = labels.astype(np.float32), min(neighbours, len(x)), power
         self.prior = float(labels.mean()) if len(labels) else 0.5
         self.vectors = self.projected(sample)
 
+    def weighted(self, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Weights with idf, characters' and words' each of length one."""
+        out = weight.astype(np.float32) * self.idf[at]
+        words = np.searchsorted(at, CHARACTERS)
+        for part in (out[:words], out[words:]):
+            part /= np.sqrt(part @ part) + 1e-12
+        return out
+
+    @staticmethod
+    def leading(x: np.ndarray, dims: int, rounds: int = 4, spare: int = 16) -> np.ndarray:
+        """Leading right singular vectors of ``x`` as columns, by subspace iteration."""
+        if not dims:
+            return np.zeros((x.shape[1], 0), dtype=np.float32)
+        q = np.random.default_rng(1).standard_normal((x.shape[1], min(dims + spare, len(x)))).astype(np.float32)
+        for _ in range(rounds):
+            q = np.linalg.qr(x.T @ (x @ q))[0]
+        return np.ascontiguousarray(q @ np.linalg.svd(x @ q, full_matrices=False)[2].T[:, :dims])
+
     def projected(self, documents: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        out = np.array([weight.astype(np.float32) @ self.directions[at] for at, weight in documents], dtype=np.float32).reshape(-1, self.directions.shape[1])
+        out = np.array([self.weighted(at, weight) @ self.directions[at] for at, weight in documents], dtype=np.float32).reshape(-1, self.directions.shape[1])
         return out / (np.linalg.norm(out, axis=1, keepdims=True) + 1e-12)
 
     def score(self, texts: list[str | None]) -> np.ndarray:
@@ -78,8 +102,8 @@ class LatentVotes:
         return np.clip(out, 0.0, 1.0)
 
 
-def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", rows: int = 3000, dims: int = 32, neighbours: int = 15, power: float = 16.0) -> LatentVotes:
-    """Fitted to at most ``rows`` labelled ids outside the held-out fold (see ``labelled_sample``); texts are read whole.
+def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", rows: int = 3000, dims: int = 48, neighbours: int = 15, power: float = 4.0) -> LatentVotes:
+    """Fitted to at most ``rows`` labelled texts outside the held-out fold (see ``labelled_sample``), which are read whole.
 
     Only the terms of the sample reach the driver, a few KB a document whatever its length.
     """
@@ -101,8 +125,9 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", rows: i
 def quality(documents: DataFrame, labels: DataFrame, threshold: float = 0.3, **parameters) -> DataFrame:
     """doc_id, held_out, score, predicted: one row per row of ``documents``; predicted is 1 if score >= threshold.
 
-    A text that is null or has no words scores the sample's share of label 1 (0.5 if the sample is empty); repeated rows
-    score alike; an empty table gives an empty one.
+    A text that is null or has no words scores the sample's share of label 1 (0.5 if the sample is empty); texts of any
+    length are read whole; repeated rows score alike; an empty table gives an empty one; labels other than 0 and 1 do not
+    count, and further columns are ignored.
     """
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return scored(texts, "score", fit(documents, labels, **parameters)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
