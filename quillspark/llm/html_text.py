@@ -1,8 +1,9 @@
 """Main text of web pages: flat text blocks, classified by a decision tree on words and link density of a block and its neighbours.
 
-The tree is MLlib's, fitted to the small labelled table below, and broadcast. One pass without a shuffle cuts each whole
-page into blocks, classifies them and joins the article's. Containers that name themselves (nav, footer, an element of class
-``ad``) are features too, so that a short paragraph of an article and a short advert are told apart.
+The tree is MLlib's, fitted to the small table of labelled blocks below, and broadcast. One pass without a shuffle cuts each
+whole page into blocks, classifies them and joins the article's. Beside the densities a block has the kind of its element,
+the standing of its container where that names itself (nav, footer, an element of class ``ad``), and the share of the page's
+unlinked words that such an article holds, which tells whether text outside of it matters.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.llm.common import fresh
 from quillspark.llm.trees import exported, leaves
 
 #: Elements that do not end a block.
@@ -26,7 +28,7 @@ CONTAINERS = frozenset("article main section div nav header footer aside form ul
 _BOILER_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
 _BOILER_NAMES = re.compile(
     r"(?:^|[_-])(?:ads?|advert\w*|alert|banner|breadcrumbs?|comments?|commentlist|complementary|consent|contentinfo|cookies?|copyright|dialog|disclaimer|disqus|footer|form|header|login"
-    r"|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo\w*|related|replies|respond|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[_-])",
+    r"|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo\w*|related|replies|respond|search(?:$|[_-](?:ba?r|box|button|field|form|input|nav|widget))|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[_-])",
     re.I,
 )
 #: Names like has-sidebar tell of what stands beside an element, not of what it is.
@@ -46,7 +48,9 @@ _TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-z][a-z0-9:-]*){_ATTRS}>|<[!?][^>
 _RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in _RAW}
 #: A slash right after an unquoted value belongs to the value.
 _UNQUOTED_SLASH = re.compile(r"""=\s*[^\s"'>]*/\Z""")
-FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "heading", "in_main", "in_boiler")
+FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "heading", "paragraph", "item", "in_main", "in_boiler", "main_share")
+#: Elements whose text is a paragraph, and one entry of a list.
+_PARAGRAPHS, _ITEMS = frozenset("p blockquote pre".split()), frozenset("li dt dd".split())
 
 
 def _standing(name: str, attributes: str, main: bool) -> tuple[bool, bool]:
@@ -60,14 +64,14 @@ def _standing(name: str, attributes: str, main: bool) -> tuple[bool, bool]:
     return article, boiler
 
 
-def blocks(html: str | None) -> list[tuple[str, float, bool, bool, bool]]:
-    """Text, link density, heading, in an article, in boilerplate: the non-empty text blocks of a page, in its order."""
-    out: list[tuple[str, float, bool, bool, bool]] = []
+def blocks(html: str | None) -> list[tuple[str, float, bool, bool, bool, bool, bool]]:
+    """Text, link density, heading, paragraph, item, in an article, in boilerplate: the non-empty text blocks of a page, in its order."""
+    out: list[tuple[str, float, bool, bool, bool, bool, bool]] = []
     # element, in an article, in boilerplate, how often other elements are open in it
     stack: list[tuple[str, bool, bool, dict[str, int]]] = [("", False, False, {})]
     dropped: list[str] = []  # an element that is left out, and those open in it
     parts: list[str] = []
-    state = {"link": False, "linked": 0, "heading": False, "aside": False}
+    state = {"link": False, "linked": 0, "heading": False, "paragraph": False, "item": False, "aside": False}
 
     def text(piece: str) -> None:
         if piece:
@@ -81,7 +85,7 @@ def blocks(html: str | None) -> list[tuple[str, float, bool, bool, bool]]:
             words = (unescape(whole) if "&" in whole else whole).split()
             if words:
                 joined = " ".join(words)
-                out.append((joined, min(1.0, state["linked"] / max(1, len(whole.strip()))), state["heading"], stack[-1][1], stack[-1][2] or state["aside"]))
+                out.append((joined, min(1.0, state["linked"] / max(1, len(whole.strip()))), state["heading"], state["paragraph"], state["item"], stack[-1][1], stack[-1][2] or state["aside"]))
             parts.clear()
         state["linked"] = 0
 
@@ -142,10 +146,11 @@ def blocks(html: str | None) -> list[tuple[str, float, bool, bool, bool]]:
                 main, boiler = stack[-1][1:3]
                 article, out_of_text = _standing(name, attributes, main)
                 stack.append((name, main or article, boiler or out_of_text, {}))
-            state["link"] = state["aside"] = False
+            state["link"] = state["aside"] = state["paragraph"] = state["item"] = False
         else:
             # Paragraphs, items and headings, often left open, stand for themselves until the next one begins.
             if name != "br":
+                state["paragraph"], state["item"] = not closing and name in _PARAGRAPHS, not closing and name in _ITEMS
                 state["aside"] = not closing and bool(attributes) and name not in ("body", "html") and _standing(name, attributes, True)[1]
             if re.fullmatch("h[1-6]", name):
                 state["heading"] = not closing
@@ -157,47 +162,59 @@ def blocks(html: str | None) -> list[tuple[str, float, bool, bool, bool]]:
     return out
 
 
-def measured(found: list[tuple[str, float, bool, bool, bool]]) -> np.ndarray:
+def measured(found: list[tuple[str, float, bool, bool, bool, bool, bool]]) -> np.ndarray:
     """FEATURES of the blocks of one page. Before the first and after the last stands an empty block."""
     x = np.zeros((len(found), len(FEATURES)))
     if len(x):
         x[:, 0] = [b[0].count(" ") + 1 for b in found]
         x[:, 1] = [b[1] for b in found]
         x[1:, 2:4], x[:-1, 4:6] = x[:-1, :2], x[1:, :2]
-        x[:, 6:] = [b[2:] for b in found]
+        x[:, 6:11] = [b[2:] for b in found]
+        said = x[:, 0] * (1 - x[:, 1]) * (1 - x[:, 10])
+        x[:, 11] = (said * x[:, 9]).sum() / max(said.sum(), 1e-9)
     return x
 
 
-#: Labelled blocks, in words: size of the block and its neighbours, share of links, container; the last says whether it is
-#: main text. Sizes: e none, s 1 to 9 words, m 10 to 24, l 25 and more. Links: 0 none, 1 some, 2 mostly.
-LABELLED = [
-    # block, before, after, heading, container, main
-    *((f"{s}0", b, a, h, "main", 1) for s in "sml" for b in ("e0", "s0", "l0", "s2", "m0") for a in ("e0", "s0", "l0", "m0", "s2") for h in (0, 1)),
-    *((f"{s}1", b, a, 0, "main", 1) for s in "sml" for b in ("s0", "l0") for a in ("s0", "l0")),
-    *((f"{s}2", b, a, 0, "main", 1) for s in "ml" for b in ("l0", "s0") for a in ("l0", "s0")),
-    *((f"s2", b, a, 0, "main", 0) for b in ("s2", "l0", "e0") for a in ("s2", "e0")),
-    *((f"{s}{k}", b, a, h, "boiler", 0) for s in "sml" for k in "012" for b in ("e0", "l0", "s2", "m0") for a in ("e0", "l0", "s2", "m0") for h in (0, 1)),
-    *((f"l{k}", b, a, 0, "none", 1) for k in "01" for b in ("e0", "s0", "s2", "m0", "l0") for a in ("e0", "s0", "s2", "m0", "l0")),
-    *(("m0", b, a, 0, "none", 1) for b in ("l0", "m0") for a in ("l0", "m0", "s0", "e0")),
-    *(("m0", b, a, 0, "none", 0) for b in ("s2", "s1") for a in ("s2", "s1", "e0")),
-    *(("s0", b, a, 0, "none", 1) for b in ("l0",) for a in ("l0", "m0")),
-    *(("s0", b, a, 0, "none", 0) for b in ("e0", "s0", "s2", "s1") for a in ("e0", "s0", "s2", "s1")),
-    *(("s0", b, a, 1, "none", 1) for b in ("e0", "s0", "s2", "l0", "m0") for a in ("l0", "m0")),
-    *(("s0", b, a, 1, "none", 0) for b in ("e0", "s2", "s0") for a in ("s2", "s0", "e0")),
-    *((f"{s}2", b, a, 0, "none", 0) for s in "sml" for b in ("e0", "s2", "l0") for a in ("e0", "s2", "l0")),
-    *((f"{s}1", b, a, 0, "none", 0) for s in "s" for b in ("e0", "s2", "s0") for a in ("e0", "s2", "s0")),
-]
+#: Labelled blocks of pages: element, with its container where that has a standing; words; share of them in links; + for
+#: main text. A line is a page. Containers: m an article, b boilerplate, - none of these.
+LABELLED = """
+- div 3 1 -|b li 1 1 -|b li 1 1 -|b li 2 1 -|m h1 8 0 +|m p 3 0 +|m p 45 0 +|m p 60 .05 +|m h2 3 0 +|m p 30 0 +|m li 4 0 +|m li 9 0 +|m li 6 1 +|m p 5 0 +|b p 14 0 -|b p 30 0 -|- div 6 0 -
+- div 2 0 -|b li 1 1 -|m h1 6 1 +|m p 12 1 +|m p 80 0 +|m h2 4 1 +|m p 25 .4 +|m p 2 0 +|m div 40 0 +|m div 5 0 +|m div 2 1 -|m div 3 1 -|m div 1 1 -|b div 9 .5 -|b p 20 0 -
+b li 1 1 -|b p 40 0 -|m h1 4 0 +|m p 2 0 +|m p 7 0 +|m p 4 0 +|m p 3 .3 +|b p 55 .1 -|b p 3 0 -|b h3 2 0 -|- p 9 0 -|- div 4 .5 -
+m h1 3 0 +|m p 6 0 +|b p 8 0 -|m p 6 0 +|b p 12 .2 -|m p 4 0 +|- p 40 0 -|- p 6 1 -
+- div 1 1 -|- div 2 1 -|- h2 4 0 +|- p 60 0 +|- p 35 0 +|- p 6 0 +|- p 50 .1 +|- h3 3 0 +|- p 28 0 +|- div 2 1 -|- div 4 0 -
+- li 1 1 -|- li 2 1 -|- li 1 1 -|- h1 7 0 +|- div 90 0 +|- div 45 .1 +|- div 30 0 +|- li 2 1 -|- li 3 1 -|- li 2 1 -
+- p 3 0 +|- p 3 0 +|- p 2 0 +
+- h1 2 0 +|- p 4 0 +|- p 7 0 +|- p 5 0 +|- p 12 0 +|- p 3 0 +
+- h1 5 0 +|- p 9 0 +|- p 14 .2 +|- h2 2 0 +|- p 8 0 +|- li 3 0 +|- li 7 0 +|- li 5 .3 +|- p 11 0 +
+- p 40 0 +|- p 2 0 +|- p 25 0 +|- p 8 0 +
+- div 60 0 +|- div 40 0 +|- div 4 0 -
+- div 20 0 +
+- div 3 0 -
+- div 1 0 -
+- p 12 0 +
+- p 30 .1 +
+- li 1 1 -|- li 1 1 -|- p 3 1 -|- p 5 0 +|- p 16 0 +|- p 4 0 +|- p 2 1 -|- div 3 0 -
+- div 2 1 -|- div 5 .6 -|- div 3 1 -|- div 2 0 -|- div 4 .5 -|- div 2 1 -
+- h3 2 1 -|- li 4 1 -|- li 5 1 -|- h3 2 0 -|- li 3 1 -|- li 6 1 -|- p 4 1 -
+b li 1 1 -|b li 1 0 -|b h2 3 0 -|b p 25 0 -|b p 60 0 -|b div 12 0 -|b div 35 .2 -|b li 9 0 -|b p 4 1 -|b h1 5 0 -
+b h1 4 0 -|b p 3 0 -|- p 30 0 +|- p 12 0 +|b p 18 0 -|- p 45 0 +|b li 2 1 -|b p 9 .4 -
+m p 15 0 +|m p 3 1 +|m p 9 0 +|m h2 2 1 +|m p 22 1 +|m p 5 0 +|m li 8 .2 +|m li 2 0 +|m div 8 .1 +|m div 15 .3 +
+"""
 
 
 def _examples() -> list[tuple[float, list[float]]]:
-    size = {"e": (0,), "s": (1, 3, 9), "m": (10, 16, 24), "l": (25, 40, 120)}
-    link = {"0": 0.0, "1": 0.2, "2": 0.9}
+    """Label and features of the labelled blocks; each page at half, whole and double length."""
     out = []
-    for block, before, after, heading, container, main in LABELLED:
-        for k in range(3):
-            n = [float(size[c[0]][k % len(size[c[0]])]) for c in (block, before, after)]
-            d = [link[c[1]] for c in (block, before, after)]
-            out.append((float(main), [n[0], d[0], n[1], d[1], n[2], d[2], float(heading), float(container == "main"), float(container == "boiler")]))
+    for page in LABELLED.strip().splitlines():
+        for times in (0.5, 1, 2):
+            found, labels = [], []
+            for row in page.split("|"):
+                holder, kind, words, linked, label = row.split()
+                n = max(1, round(int(words) * times))
+                found.append((" ".join(["w"] * n), float(linked), kind[0] == "h", kind == "p", kind == "li", holder == "m", holder == "b"))
+                labels.append(float(label == "+"))
+            out += zip(labels, measured(found).tolist(), strict=True)
     return out
 
 
@@ -211,12 +228,12 @@ def main_text(pages: DataFrame, column: str = "html") -> DataFrame:
     """All columns of ``pages`` but ``column``, and text, n_chars: the main text of each row's whole page.
 
     The blocks that the tree keeps are joined by one space, in page order; white space inside a block is one space,
-    character references are decoded. A null or empty page, or one without main text, gives an empty text. Repeated rows
-    are returned as often as they occur; columns called text or n_chars are replaced.
+    character references are decoded. A null or empty page, or one without main text, gives an empty text; pages of any
+    length are read whole. Repeated rows are returned as often as they occur; columns called text or n_chars are replaced.
     """
     tree = fit(pages.sparkSession)
     kept = [c for c in pages.columns if c not in ("text", "n_chars", column)]
-    source = pages.select(*kept, F.col(column).cast("string").alias("_html"))
+    source = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(column).cast("string").alias(fresh(pages, "_html")[0]))
 
     def of(batches):
         for batch in batches:

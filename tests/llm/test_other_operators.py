@@ -113,6 +113,24 @@ def test_named_elements(spark):
     assert text == "Title A short line. Goes on. And on. One item of it The end."
 
 
+def test_words_and_links_decide_where_no_name_does(spark):
+    pages = {
+        1: "<body><p>One short para.</p><p>Two short para.</p><p>Three short.</p></body>",
+        2: "<article><h1><a href=a>A linked heading</a></h1><p><a href=b>A wholly linked paragraph of the text</a></p><p>And one without.</p></article>",
+        3: "<article><p>Before it.</p><div class='search-results-story'><p>A block of the article that has an odd name</p></div></article><div class='search-box'>Type here</div>",
+        4: "<ul><li><a href=a>Home</a><li><a href=b>News</a></ul><h2>Short news</h2><p>It rains.</p><p>It has rained for three days now.</p><ul><li><a href=c>More</a></ul>",
+        5: "<div><a href=a>One</a> <a href=b>Two</a></div><div><a href=c>Three</a></div><div><a href=d>Four of it</a></div>",
+        6: "<div class='entry-title'>A title</div>" + "<p>" + "many words of the article " * 9 + "</p><p>Few words.</p>",
+    }
+    want = {
+        1: "One short para. Two short para. Three short.", 2: "A linked heading A wholly linked paragraph of the text And one without.",
+        3: "Before it. A block of the article that has an odd name", 4: "Short news It rains. It has rained for three days now.", 5: "",
+        6: "A title " + ("many words of the article " * 9) + "Few words.",
+    }
+    got = html_text.main_text(spark.createDataFrame(list(pages.items()), "page_id long, html string"))
+    assert {r.page_id: r.text for r in got.collect()} == want
+
+
 def test_dropped_elements_end_with_their_containers():
     said = lambda html: [b[0] for b in html_text.blocks(html)]
     two = "<p>Two long paragraph</p>"
