@@ -1,4 +1,4 @@
-"""A compressed FM-index over integer tokens: suffix order, Burrows-Wheeler transform, and a wavelet matrix of packed bits."""
+"""A compressed FM-index over integer tokens: Burrows-Wheeler transform in a wavelet matrix of packed bits, sampled suffixes."""
 
 from __future__ import annotations
 
@@ -29,7 +29,7 @@ class WaveletMatrix:
     """Ranks of symbols in a sequence: a level of packed bits for each bit of a symbol, highest first."""
 
     def __init__(self, symbols: np.ndarray, most: int):
-        self.levels = []
+        self.levels, self.size = [], len(symbols)
         self.base = np.zeros(most + 1, dtype=np.int64)  # where each symbol's run begins after the last level
         every, at = np.arange(most + 1), np.zeros(most + 1, dtype=np.int64)
         for bit in reversed(range(max(1, int(most).bit_length()))):
@@ -37,7 +37,7 @@ class WaveletMatrix:
             packed = np.packbits(ones, bitorder="little")
             words = np.zeros(len(ones) // 64 + 1, dtype="<u8")
             words.view(np.uint8)[: len(packed)] = packed
-            before = np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)[:-1]])
+            before = np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)[:-1]]).astype(np.int32)
             level = (bit, words, before, int(len(ones) - ones.sum()))
             self.levels.append(level)
             at = self._down(level, every, at)
@@ -51,6 +51,9 @@ class WaveletMatrix:
         ones = before[word] + np.bitwise_count(words[word] & _LOW[at & 63])
         return np.where((symbols >> bit) & 1, zeros + ones, at - ones)
 
+    def __len__(self) -> int:
+        return self.size
+
     def rank(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
         """For each pair, how often the symbol occurs before the place."""
         start = at
@@ -58,51 +61,96 @@ class WaveletMatrix:
             start = self._down(level, symbols, start)
         return start - self.base[symbols]
 
+    def read(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbol at each place, and how often it occurs before it."""
+        symbols = np.zeros(len(at), dtype=np.int64)
+        for level in self.levels:
+            bit, words = level[:2]
+            symbols |= ((words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64) << bit
+            at = self._down(level, symbols, at)
+        return symbols, at - self.base[symbols]
+
 
 class FMIndex:
-    """Index of texts of positive tokens, one after another, each ended by a separator."""
+    """Index of texts of positive tokens, one after another, each ended by a separator.
+
+    It keeps the wavelet matrix of the transform and of every ``SAMPLED``th suffix which text it belongs to; the texts and the
+    suffix order are dropped.
+    """
+
+    SAMPLED = 8
 
     def __init__(self, tokens: np.ndarray, lengths: np.ndarray):
         """``tokens``: the texts without separators; ``lengths``: of each text."""
-        ends = np.cumsum(lengths + 1) - 1
-        self.text = np.zeros(int(lengths.sum()) + len(lengths), dtype=np.int64)
-        word = np.ones(len(self.text), dtype=bool)
-        word[ends] = False
-        self.text[word] = tokens
-        self.begins = ends - lengths
+        text, begins = separated(tokens, lengths)
+        ends = begins + lengths
         # Separators sort before all tokens and differ from each other, so no match runs over one and no two suffixes tie.
-        distinct = self.text + len(lengths)
+        distinct = text + len(lengths)
         distinct[ends] = np.arange(len(lengths))
-        self.order = suffix_order(distinct)
-        most = int(self.text.max(initial=0))
-        self.wavelet = WaveletMatrix(self.text[self.order - 1], most)
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(self.text, minlength=most + 1))])
-
-    def windows(self, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Backward search of the ``length`` tokens up to each place of the text: matched, low, high.
-
-        A window whose interval of suffixes narrows to one is nowhere else in the text; its search ends there, with
-        ``matched`` false. For the others [low, high) are the suffixes that begin with the whole window.
+        order = suffix_order(distinct)
+        most = int(text.max(initial=0))
+        self.wavelet = WaveletMatrix(text[order - 1], most)
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=most + 1))])
+        # A step back leads from a suffix to the one before it; every text's first suffix is sampled, so no step leaves a text.
+        owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths + 1)
+        marked = ((np.arange(len(text)) - begins[owner]) % self.SAMPLED == 0)[order]
+        self.marks = WaveletMatrix(marked.astype(np.int64), 1)
+        self.owners = owner[order[marked]]
+
+    def matching(self, text: np.ndarray, ends: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Matching statistics of ``text`` (with separators) by backward search: length, low, high for each place in ``ends``.
+
+        ``length`` is that of the longest run of tokens up to the place, ``most`` at most, which the index has at two places or
+        more (a streamed text that is indexed itself has one of its own); [low, high) are the suffixes that begin with it.
         """
-        symbol = self.text[ends]
-        low, high = self.first[symbol].copy(), self.first[symbol + 1].copy()
-        alive = np.flatnonzero(high - low > 1)
-        for step in range(1, length):
+        length = np.zeros(len(ends), dtype=np.int64)
+        low, high = np.zeros(len(ends), dtype=np.int64), np.full(len(ends), len(self.marks), dtype=np.int64)
+        alive = np.arange(len(ends))
+        for step in range(most):
+            alive = alive[ends[alive] >= step]
+            symbol = text[ends[alive] - step]
+            alive, symbol = alive[symbol > 0], symbol[symbol > 0]
             if not len(alive):
                 break
-            symbol = self.text[ends[alive] - step]
-            both = self.first[np.tile(symbol, 2)] + self.wavelet.rank(np.tile(symbol, 2), np.concatenate([low[alive], high[alive]]))
-            low[alive], high[alive] = np.split(both, 2)
-            alive = alive[high[alive] - low[alive] > 1]
-        matched = np.zeros(len(ends), dtype=bool)
-        matched[alive] = True
-        return matched, low, high
+            twice = np.tile(symbol, 2)
+            both = self.first[twice] + self.wavelet.rank(twice, np.concatenate([low[alive], high[alive]]))
+            lower, higher = np.split(both, 2)
+            on = higher - lower > 1
+            alive = alive[on]
+            low[alive], high[alive], length[alive] = lower[on], higher[on], step + 1
+        return length, low, high
+
+    def texts(self, at: np.ndarray) -> np.ndarray:
+        """The text that each suffix belongs to, by steps back to a sampled one."""
+        at, out = at.copy(), np.zeros(len(at), dtype=np.int64)
+        left = np.arange(len(at))
+        while len(left):
+            marked, before = self.marks.read(at[left])
+            here = marked == 1
+            out[left[here]] = self.owners[before[here]]
+            left = left[~here]
+            symbol, rank = self.wavelet.read(at[left])
+            at[left] = self.first[symbol] + rank
+        return out
 
     def least(self, values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """The least value (one per text) among the suffixes of each interval; the intervals are equal or disjoint."""
-        owner = np.searchsorted(self.begins, self.order, side="right") - 1
-        by_suffix = np.append(values[owner], np.iinfo(np.int64).max)
         starts, which = np.unique(low, return_inverse=True)
+        if not len(starts):
+            return np.zeros(0, dtype=np.int64)
         stops = np.zeros(len(starts), dtype=np.int64)
         stops[which] = high
-        return np.minimum.reduceat(by_suffix, np.stack([starts, stops], axis=1).ravel())[::2][which] if len(starts) else np.zeros(0, dtype=np.int64)
+        sizes = stops - starts
+        begin = np.cumsum(sizes) - sizes
+        every = np.repeat(starts - begin, sizes) + np.arange(sizes.sum())
+        return np.minimum.reduceat(values[self.texts(every)], begin)[which]
+
+
+def separated(tokens: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts one after another, each ended by a zero, and where each begins."""
+    ends = np.cumsum(lengths + 1) - 1
+    text = np.zeros(int(lengths.sum()) + len(lengths), dtype=np.int64)
+    word = np.ones(len(text), dtype=bool)
+    word[ends] = False
+    text[word] = tokens
+    return text, ends - lengths

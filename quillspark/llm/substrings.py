@@ -3,9 +3,9 @@
 A window is ``length`` consecutive words. Its anchor, the least hash among its runs of ``GRAM`` words, depends on its words
 alone, so equal windows share an anchor and windows are sharded by it: consecutive windows of one anchor are a segment.
 Segments whose anchor only one document has cannot repeat and end there. The texts of the others, each kept once with its
-least doc_id, go to shards of about ``SHARD_WORDS`` words. A shard builds an FM-index over its texts, streams each text
-through it by backward search over the wavelet matrix, and reports where the matching length reaches the threshold and the
-least doc_id of the match is another one.
+least doc_id, go to shards of about ``SHARD_WORDS`` words. A shard builds a compressed FM-index over its texts and streams
+them through it: backward search over the wavelet matrix gives the matching statistic of every place, and where that reaches
+the threshold, the least doc_id among the match's suffixes is reported.
 
 An anchor with more than ``HOT`` different texts (a passage repeated in many contexts) is cut again, by the least hash among
 longer runs of words, of which the contexts have fewer in common; what only one text has ends there again. The last runs are
@@ -22,13 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import forget, fresh, written
-from quillspark.llm.fm_index import FMIndex
+from quillspark.llm.fm_index import FMIndex, separated
 
 GRAM, HOT, SHARD_WORDS = 8, 400, 60_000
 #: Words of a window that the runs of a hot anchor's second cut leave out.
 SPARE = 6
 #: Windows of a segment, and words that are hashed at a time.
 SEGMENT, STRETCH = 64, 100_000
+#: Places of a shard's texts that are searched at a time.
+STREAMED = 65_536
 #: An odd multiplier and its inverse modulo 2^64, for hashes of byte runs by differences of prefix sums.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -144,13 +146,15 @@ def _searched(texts: DataFrame, length: int, words: int) -> DataFrame:
         number: dict[bytes, int] = {}
         tokens = np.array([number.setdefault(w, len(number) + 1) for s in split for w in s], dtype=np.int64)
         index = FMIndex(tokens, lengths)
+        stream, begins = separated(tokens, lengths)
         n = lengths - length + 1
         owner = np.repeat(np.arange(len(n)), n)
-        ends = index.begins[owner] + length - 1 + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        matched, low, high = index.windows(ends, length)
+        ends = begins[owner] + length - 1 + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         values = rows["least"].to_numpy(np.int64)
         least = values[owner]
-        least[matched] = index.least(values, low[matched], high[matched])
+        run, low, high = (np.concatenate(c) for c in zip(*(index.matching(stream, ends[a : a + STREAMED], length) for a in range(0, len(ends), STREAMED)), strict=True))
+        above = run >= length
+        least[above] = index.least(values, low[above], high[above])
         runs, at = [], 0
         for k in n.tolist():
             own = least[at : at + k]

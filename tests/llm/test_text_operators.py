@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from quillspark.llm import components, decontaminate, knn_quality, packing, secrets, simhash, substrings, toxicity
-from quillspark.llm.fm_index import FMIndex, WaveletMatrix, suffix_order
+from quillspark.llm.fm_index import FMIndex, WaveletMatrix, separated, suffix_order
 
 WORDS = [a + b for a in ("ka", "lo", "mi", "nu", "pe", "ro", "sa", "tu") for b in ("ban", "der", "fil", "gor", "hum", "jet", "kli")]
 SCHEMA = "doc_id long, text string, lang string, score string, n_words string, _hash int"
@@ -243,20 +243,29 @@ def test_fm_index():
     lengths = np.array([30, 5, 1, 40])
     tokens = r.integers(1, 4, size=76)
     index = FMIndex(tokens, lengths)
-    text = index.text.tolist()
-    assert sorted(index.order) == list(range(80))
-    for size in (1, 2, 3, 5):
-        ends = np.array([e for e in range(size - 1, 80) if 0 not in text[e - size + 1 : e + 1]])
-        matched, low, high = index.windows(ends, size)
-        for e, m, a, b in zip(ends, matched, low, high):
-            places = [k for k in range(80 - size + 1) if text[k : k + size] == text[e - size + 1 : e + 1]]
-            assert m == (len(places) > 1)
-            if m:
-                assert sorted(index.order[a:b]) == places
+    text, begins = separated(tokens, lengths)
+    order = suffix_order(np.where(text, text + 4, np.cumsum(text == 0) - 1))
+    owner = np.searchsorted(begins, order, side="right") - 1
+    assert (index.texts(np.arange(80)) == owner).all()
+    said = text.tolist()
+    for most in (1, 2, 3, 5, 9):
+        ends = np.flatnonzero(text)
+        length, low, high = index.matching(text, ends, most)
+        for e, n, a, b in zip(ends, length, low, high):
+            places = lambda k: [s for s in range(80 - k + 1) if said[s : s + k] == said[e - k + 1 : e + 1]]
+            whole = [k for k in range(1, most + 1) if k <= e + 1 and 0 not in said[e - k + 1 : e + 1] and len(places(k)) > 1]
+            assert n == max(whole, default=0)
+            if n:
+                assert sorted(order[a:b]) == places(n)
+        full = length == most
+        values = np.array([7, 3, 9, 5])
+        assert (index.least(values, low[full], high[full]) == [values[owner[a:b]].min() for a, b in zip(low[full], high[full])]).all()
     symbols = r.integers(0, 9, size=300)
     wavelet = WaveletMatrix(symbols, 8)
     at, c = r.integers(0, 301, size=500), r.integers(0, 9, size=500)
     assert (wavelet.rank(c, at) == [(symbols[:k] == s).sum() for k, s in zip(at, c)]).all()
+    read, before = wavelet.read(np.arange(300))
+    assert (read == symbols).all() and (before == [(symbols[:k] == s).sum() for k, s in enumerate(symbols)]).all()
     assert suffix_order(np.array([2, 1, 2, 0])).tolist() == [3, 1, 2, 0]
 
 
