@@ -74,6 +74,18 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, rows: i
     return each.orderBy(F.xxhash64("doc_id"), "doc_id", "_hash").limit(rows).select("doc_id", "text", "label")
 
 
+def mapped(df: DataFrame, of, schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow(of, schema)`` for columns of any names; the batches' columns are told by their places."""
+    inside = [f"c{k}" for k in range(len(schema))]
+
+    def renamed(batches):
+        for batch in of(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, names=inside)
+
+    out = T.StructType([T.StructField(n, f.dataType) for n, f in zip(inside, schema.fields, strict=True)])
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))]).mapInArrow(renamed, out).toDF(*schema.names)
+
+
 def scored(documents: DataFrame, name: str, model) -> DataFrame:
     """``documents`` with the double column ``name``: what ``model.score`` gives for each batch of whole texts.
 
@@ -88,4 +100,4 @@ def scored(documents: DataFrame, name: str, model) -> DataFrame:
             scores = pa.array(sent.value.score(batch.column(where).to_pylist()), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, name])
 
-    return kept.mapInArrow(of, T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())]))
+    return mapped(kept, of, T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())]))

@@ -18,7 +18,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import fresh
+from quillspark.llm.common import fresh, mapped
 from quillspark.llm.trees import exported, leaves
 
 #: Elements that do not end a block.
@@ -247,5 +247,5 @@ def main_text(pages: DataFrame, column: str = "html") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*kept, "text"])
 
     fields = source.schema.fields[:-1]
-    out = source.mapInArrow(of, type(source.schema)([*fields]).add("text", "string"))
+    out = mapped(source, of, type(source.schema)([*fields]).add("text", "string"))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))

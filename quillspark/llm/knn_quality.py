@@ -83,7 +83,9 @@ class LatentVotes:
         return np.ascontiguousarray(q @ np.linalg.svd(x @ q, full_matrices=False)[2].T[:, :dims])
 
     def projected(self, documents: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        out = np.array([self.weighted(at, weight) @ self.directions[at] for at, weight in documents], dtype=np.float32).reshape(-1, self.directions.shape[1])
+        out = np.zeros((len(documents), self.directions.shape[1]), dtype=np.float32)
+        for row, (at, weight) in zip(out, documents, strict=True):
+            row[:] = self.weighted(at, weight) @ self.directions[at]
         return out / (np.linalg.norm(out, axis=1, keepdims=True) + 1e-12)
 
     def score(self, texts: list[str | None]) -> np.ndarray:

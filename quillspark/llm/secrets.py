@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillspark.llm.common import fresh, mapped
 from quillspark.llm.trees import exported, forest_score
 
 MASK = "[SECRET]"
@@ -186,13 +187,18 @@ def scan(documents: DataFrame, threshold: float = 0.5, mask: str = MASK) -> Data
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64()), pa.array(findings, kind), pa.array(masked, pa.string())], names=[*batch.schema.names, "n_candidates", "findings", "redacted"])
 
     schema = T.StructType([*kept.schema.fields, T.StructField("n_candidates", T.LongType()), T.StructField("findings", _FINDING), T.StructField("redacted", T.StringType())])
-    return kept.mapInArrow(of, schema)
+    return mapped(kept, of, schema)
 
 
 def redact(documents: DataFrame, **parameters) -> DataFrame:
     """``documents`` with their secrets masked; n_chars, where there is one, follows the text. All rows and columns stay."""
-    found = scan(documents, **parameters).withColumn("text", F.col("redacted"))
+    # Columns of the input that are called like scan's results stay.
+    results = ("n_candidates", "findings", "redacted")
+    own = [c for c in documents.columns if c.lower() in results]
+    aside = fresh(documents, *[f"_{c}" for c in own])
+    found = scan(documents.withColumnsRenamed(dict(zip(own, aside, strict=True))), **parameters).withColumn("text", F.col("redacted"))
     if "n_chars" in documents.columns:
         length = F.char_length("text").cast(documents.schema["n_chars"].dataType)
         found = found.withColumn("n_chars", F.when(F.size("findings") > 0, length).otherwise(F.col("n_chars")))
-    return found.select(*documents.columns)
+    names = dict(zip(own, aside, strict=True))
+    return found.select(*[F.col(f"`{names.get(c, c)}`").alias(c) for c in documents.columns])

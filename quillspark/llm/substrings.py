@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import forget, fresh, written
+from quillspark.llm.common import forget, fresh, mapped, written
 from quillspark.llm.fm_index import FMIndex, separated
 
 GRAM, HOT, SHARD_WORDS = 8, 400, 60_000
@@ -278,7 +278,7 @@ def dedup(documents: DataFrame, length: int = 50) -> DataFrame:
 
     schema = held.schema
     out = type(schema)(schema.fields[:]).add("n_words", "long").add("n_removed", "long").add("kept", "string")
-    return joined.mapInArrow(of, out)
+    return mapped(joined, of, out)
 
 
 #: The digest of ``dedup`` in DuckDB, for tables without null or repeated doc_ids.
