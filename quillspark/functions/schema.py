@@ -32,14 +32,18 @@ def _right_kind(v: Column, kind: str) -> Column:
     return seen == kind
 
 
+def bound(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def violations(record: Column, fields: list[Field]) -> Column:
     """Sorted messages ``path: what``: missing, wrong type (nothing is coerced), not allowed, out of range. Further keys are ignored.
 
     A field that is optional may be null or absent.
     """
-    found = []
-    for f in fields:
-        v = F.try_variant_get(record, f"$.{f.path}", "variant")
+
+    def message(f: Field, v: Column) -> Column:
         absent = v.isNull() | (F.schema_of_variant(v) == "VOID")
         said = F.when(absent, F.lit("missing") if f.required else F.lit(None).cast("string")).when(~_right_kind(v, f.kind), "wrong type")
         text = F.try_variant_get(v, "$", "string")
@@ -49,8 +53,13 @@ def violations(record: Column, fields: list[Field]) -> Column:
         for bound, outside in ((f.least, lambda a, b: a < b), (f.most, lambda a, b: a > b)):
             if bound is not None:
                 said = said.when(outside(value, F.lit(bound).cast("date" if f.kind == "DATE" else "double" if f.kind in ("BIGINT", "DOUBLE") else "string")), "out of range")
-        found.append(F.when(said.isNotNull(), F.concat(F.lit(f"{f.path}: "), said)))
-    return F.array_sort(F.array_compact(F.array(*found)))
+        return F.concat(F.lit(f"{f.path}: "), said)
+
+    def checked(r: Column, f: Field) -> Column:
+        return bound(F.try_variant_get(r, f"$.{f.path}", "variant"), lambda v: message(f, v))
+
+    # The record is parsed once and each field read from it once.
+    return F.array_sort(F.array_compact(bound(record, lambda r: F.array(*[checked(r, f) for f in fields]))))
 
 
 def corrected(value: Column, kind: str) -> Column:

@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 #: Columns that may identify a row, in order of preference.
 IDENTITY_COLUMNS = ["image_name", "file_name", "source_path", "gcs_object", "gcs_uri", "relative_path", "blob_name"]
 #: What marks a message as a passing failure of a service.
-TRANSIENT_MARKERS = ["429", "500", "502", "503", "504", "timeout", "timed out", "temporarily", "unavailable", "rate limit", "resource exhausted", "connection reset"]
+TRANSIENT_MARKERS = ["503", "unavailable", "resource_exhausted", "rate limit", "429", "internal", "deadline", "timed out", "timeout", "connection reset", "connection error", "temporarily", "backend error"]
+#: What marks a message as a failure that no retry mends.
+FATAL_MARKERS = ["token limit", "quota", "permission", "unauthorized", "forbidden", "invalid api key", "invalid_api_key", "billing"]
+#: States of batch jobs that ended well, and that failed.
+SUCCESS_STATES = ["JOB_STATE_SUCCEEDED", "SUCCEEDED", "ENDED"]
+FAILURE_STATES = ["JOB_STATE_FAILED", "FAILED", "ERRORED", "JOB_STATE_PARTIALLY_SUCCEEDED", "PARTIALLY_SUCCEEDED", "JOB_STATE_CANCELLED", "JOB_STATE_CANCELED", "CANCELLED", "CANCELED", "EXPIRED", "JOB_STATE_EXPIRED"]
 
 
 def blank_to_null(c: Column) -> Column:
@@ -34,6 +39,12 @@ def upgraded_identity(image_name: Column, *others: Column) -> Column:
     return F.coalesce(F.nullif(image_name, F.lit("")), row_identity(*others))
 
 
+def identity_pair(ref: Column) -> Column:
+    """Struct of image_name and file_name (the trimmed reference); a blank reference, or one without a name, raises."""
+    name = identity(ref)
+    return F.struct(F.when(name.isNotNull(), name).otherwise(F.raise_error(F.concat(F.lit("no identity in reference: "), F.coalesce(ref, F.lit("<null>")))).cast("string")).alias("image_name"), F.trim(ref).alias("file_name"))
+
+
 def object_key(ref: Column, bucket: str) -> Column:
     """Object of ``gs://bucket/object`` in this bucket, or a plain key without leading slashes; null if empty or elsewhere."""
     uri = F.regexp_extract(F.trim(ref), r"^gs://([^/]*)/?(.*)$", 1)
@@ -114,12 +125,12 @@ def state(c: Column) -> Column:
 
 
 def succeeded(c: Column) -> Column:
-    return F.upper(state(c)).isin("SUCCEEDED", "JOB_STATE_SUCCEEDED", "COMPLETED", "ENDED")
+    return F.upper(state(c)).isin(SUCCESS_STATES)
 
 
 def failed_state(c: Column) -> Column:
     """Failure states; a partial success is one."""
-    return F.upper(state(c)).isin("FAILED", "JOB_STATE_FAILED", "CANCELLED", "JOB_STATE_CANCELLED", "EXPIRED", "JOB_STATE_EXPIRED", "PARTIALLY_SUCCEEDED", "JOB_STATE_PARTIALLY_SUCCEEDED")
+    return F.upper(state(c)).isin(FAILURE_STATES)
 
 
 def location_of(batch: Column) -> Column:
@@ -148,10 +159,19 @@ def redacted(message: Column, secrets: list[str]) -> Column:
     return reduce(lambda m, s: F.replace(m, F.lit(s), F.lit("[redacted]")), (s for s in secrets if len(s) >= 8), message)
 
 
+def _marked(message: Column, markers: list[str]) -> Column:
+    low = F.lower(F.coalesce(message, F.lit("")))
+    return reduce(lambda a, b: a | b, (F.contains(low, F.lit(m)) for m in markers))
+
+
 def transient(message: Column) -> Column:
     """A failure that a retry may pass."""
-    low = F.lower(F.coalesce(message, F.lit("")))
-    return reduce(lambda a, b: a | b, (F.contains(low, F.lit(m)) for m in TRANSIENT_MARKERS))
+    return _marked(message, TRANSIENT_MARKERS)
+
+
+def fatal(message: Column) -> Column:
+    """A failure that ends the run."""
+    return _marked(message, FATAL_MARKERS)
 
 
 def backoff_seconds(attempt: Column, initial: float = 2.0, most: float = 30.0, jitter: Column | None = None) -> Column:

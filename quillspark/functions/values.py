@@ -31,14 +31,21 @@ def populated_variant(v: Column) -> Column:
     return v.isNotNull() & F.coalesce(F.when(kind == "VOID", False).when(kind == "STRING", F.trim(text) != "").when(text.isin("{}", "[]"), False).otherwise(True), F.lit(False))
 
 
+def _flag(c: Column, *spelled: str) -> Column:
+    """Text in one of its spellings, in any case; a boolean is itself, a number true unless zero."""
+    text = F.lower(F.trim(c.cast("string")))
+    number = text.try_cast("double")
+    return F.when(F.typeof(c).isin("string", "void"), text.isin(*spelled)).when(number.isNotNull(), number != 0).otherwise(text.isin("true"))
+
+
 def truthy(c: Column) -> Column:
-    """1, true, yes and y, in any case; null is false."""
-    return F.coalesce(F.lower(F.trim(c.cast("string"))).isin("1", "true", "yes", "y"), F.lit(False))
+    """Of text 1, true, yes and y, in any case; of numbers all but zero; null is false."""
+    return F.coalesce(_flag(c, "1", "true", "yes", "y"), F.lit(False))
 
 
 def row_failed(failed: Column, status: Column | None = None) -> Column:
-    """A failed flag, as text in any of its spellings; the status only where there is no flag."""
-    flag = F.lower(F.trim(failed.cast("string"))).isin("1", "true", "yes", "y", "failed", "error")
+    """A failed flag, as text in any of its spellings or as a number; the status only where there is no flag."""
+    flag = _flag(failed, "1", "true", "yes", "y", "failed", "error")
     by_status = F.lower(F.trim(status)).isin("failed", "error", "missing") if status is not None else F.lit(False)
     return F.coalesce(F.when(failed.isNotNull(), flag), by_status, F.lit(False))
 

@@ -28,14 +28,16 @@ def ledger(df: DataFrame, key: str, failed: Column, seq: str, keep_all: bool = F
     kept: a key's first row; replaced_failed_duplicate: the first success after only failures; skipped_duplicate: any other;
     with ``keep_all`` every later row is included_duplicate. Rows without a key are kept.
     """
+    # Rows without a key need no window, and would all meet in one task.
+    alone = df.where(F.col(key).isNull()).withColumns({"action": F.lit("kept"), "kept_seq": F.lit(None).cast(df.schema[seq].dataType)})
+    df = df.where(F.col(key).isNotNull())
     before = Window.partitionBy(key).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
     ok = F.when(~F.col("_failed"), F.col(seq))
     out = df.withColumn("_failed", failed).withColumns({"_first": F.min(seq).over(before), "_ok": F.min(ok).over(before)})
     later = F.when(F.lit(keep_all), "included_duplicate").when(F.col("_ok").isNull() & ~F.col("_failed"), "replaced_failed_duplicate").otherwise("skipped_duplicate")
-    keyed = F.col(key).isNotNull()
-    out = out.withColumn("action", F.when(keyed & F.col("_first").isNotNull(), later).otherwise("kept"))
-    kept = F.when(keyed, F.col("_first") if keep_all else F.coalesce("_ok", "_first"))
-    return out.withColumn("kept_seq", kept).drop("_failed", "_first", "_ok")
+    out = out.withColumn("action", F.when(F.col("_first").isNotNull(), later).otherwise("kept"))
+    kept = F.col("_first") if keep_all else F.coalesce("_ok", "_first")
+    return out.withColumn("kept_seq", kept).drop("_failed", "_first", "_ok").unionByName(alone)
 
 
 def combine_counts(df: DataFrame, key: str, failed: Column, seq: str) -> DataFrame:

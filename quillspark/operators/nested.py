@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillspark.operators.order import cut
+
 
 def lines(df: DataFrame, text: str, number: str = "line_number", value: str = "line") -> DataFrame:
     """One row a line of ``text``, numbered from 1; rows without text give none."""
@@ -42,21 +44,26 @@ def flattened(df: DataFrame) -> DataFrame:
     return df.select(*[c.alias(n) for n, c in flat_columns(df.schema)])
 
 
-def variant_leaves(df: DataFrame, key: str, column: str, depth: int = 6) -> DataFrame:
-    """key, path, kind, value: leaves of a VARIANT object of up to ``depth`` levels, paths dotted.
+def variant_leaves(df: DataFrame, key: str, column: str, depth: int | None = None) -> DataFrame:
+    """key, path, kind, value: leaves of a VARIANT object, paths dotted; ``depth`` stops after so many levels.
 
-    Arrays and empty objects stay leaves. A level is one explode, so nothing is parsed in Python.
+    Arrays and empty objects stay leaves. A level is one explode, so nothing is parsed in Python; without ``depth`` each level
+    is checkpointed, and they end when none holds objects.
     """
     view = df.select(F.col(key).alias("key"), F.lit("").alias("path"), F.col(column).alias("v"))
     leaves = None
-    for _ in range(depth):
+    level = 0
+    while depth is None or level < depth:
+        level += 1
         kind = F.schema_of_variant("v")
         inner = view.where(kind.startswith("OBJECT<") & (F.to_json("v") != "{}"))
         done = view.where(~(kind.startswith("OBJECT<") & (F.to_json("v") != "{}")))
         leaves = done if leaves is None else leaves.unionByName(done)
-        inner.createOrReplaceTempView("_variant_level")
-        each = df.sparkSession.sql("SELECT t.key, t.path AS above, e.key AS name, e.value AS v FROM _variant_level t, LATERAL variant_explode(t.v) e")
+        if depth is None and inner.isEmpty():
+            return leaves.select("key", "path", F.schema_of_variant("v").alias("kind"), F.coalesce(F.try_variant_get("v", "$", "string"), F.to_json("v")).alias("value"))
+        each = df.sparkSession.sql("SELECT t.key, t.path AS above, e.key AS name, e.value AS v FROM {inner} t, LATERAL variant_explode(t.v) e", inner=inner)
         view = each.select("key", F.when(F.col("above") == "", F.col("name")).otherwise(F.concat_ws(".", "above", "name")).alias("path"), "v")
+        view = cut(view) if depth is None else view
     return leaves.unionByName(view).select("key", "path", F.schema_of_variant("v").alias("kind"), F.coalesce(F.try_variant_get("v", "$", "string"), F.to_json("v")).alias("value"))
 
 

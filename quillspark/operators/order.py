@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` checkpointed to the folder of spark.checkpoint.dir; one of our own only where that is unset."""
+    """``df`` checkpointed to the folder of spark.checkpoint.dir; one of our own only where that is unset and all runs on this machine."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        own = os.path.join(tempfile.gettempdir(), "checkpoints", "quillspark")
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or own)
+        told = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not told and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(told or os.path.join(tempfile.gettempdir(), "checkpoints", "quillspark"))
     return df.checkpoint()
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.operators.order import cut
+
 PART = "array<struct<text:string,thought:boolean>>"
 CANDIDATES = "array<struct<content:struct<parts:array<struct<text:string,thought:boolean>>>,avgLogprobs:double,avg_logprobs:double>>"
 
@@ -43,34 +45,79 @@ def mean_logprob(response: Column) -> Column:
     return F.coalesce(first["avgLogprobs"], first["avg_logprobs"])
 
 
-def record_reason(record: Column) -> Column:
-    """Why a prediction record is no valid answer, in order of checks; ``valid`` otherwise. ``record`` is VARIANT.
+def _is_object(v: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+
+
+def _there(v: Column) -> Column:
+    return v.isNotNull() & (F.schema_of_variant(v) != "VOID")
+
+
+def record_columns(records: DataFrame, line: str) -> DataFrame:
+    """``records`` with _v, _key, _response, text, _said and reason of a JSON ``line``: each is parsed once, and read as a column.
+
+    ``reason`` says why a prediction record is no valid answer, in order of checks, or ``valid``. An answer is valid if its
+    text is a JSON object; field-level checks come after this.
+    """
+    out = records.withColumn("_v", parsed(F.col(line)))
+    out = out.withColumns({"_key": F.trim(F.try_variant_get("_v", "$.key", "string")), "_response": F.try_variant_get("_v", "$.response", "variant"), "_error": F.try_variant_get("_v", "$.error", "variant")})
+    out = out.withColumn("text", response_text(F.col("_response"))).withColumn("_said", F.try_parse_json("text"))
+    v, key = F.col("_v"), F.col("_key")
+    reason = (
+        F.when(v.isNull(), "invalid_jsonl_line").when(~_is_object(v), "invalid_record_type").when(key.isNull() | (key == ""), "missing_key").when(_there(F.col("_error")), "batch_error")
+        .when(~_there(F.col("_response")), "missing_response").when(F.col("text").isNull(), "empty_response_text").when(~_is_object(F.col("_said")), "schema_validation_failed").otherwise("valid")
+    )
+    return out.withColumn("reason", reason)
+
 
-    An answer is valid if its text is a JSON object; field-level checks come after this.
+def message_columns(records: DataFrame, line: str, keys: DataFrame) -> DataFrame:
+    """The same for records of the form custom_id, result: {type, message: {content: [{type, text}]}}.
+
+    ``keys`` (custom_id, key) gives the pages' keys; an unknown custom_id stands for itself, and none for no key. A result
+    that did not succeed is ``batch_<type>``.
     """
-    is_object = F.schema_of_variant(record).startswith("OBJECT")
-    key = F.trim(F.try_variant_get(record, "$.key", "string"))
-    error, response = F.try_variant_get(record, "$.error", "variant"), F.try_variant_get(record, "$.response", "variant")
-    text = response_text(response)
-    return (
-        F.when(record.isNull() | ~is_object, "invalid_record_type").when(key.isNull() | (key == ""), "missing_key")
-        .when(error.isNotNull() & (F.schema_of_variant(error) != "VOID"), "batch_error")
-        .when(response.isNull() | (F.schema_of_variant(response) == "VOID"), "missing_response")
-        .when(text.isNull(), "empty_response_text")
-        .when(F.try_parse_json(text).isNull() | ~F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), "schema_validation_failed").otherwise("valid")
+    out = records.withColumn("_v", parsed(F.col(line)))
+    out = out.withColumns({"_custom": F.nullif(F.trim(F.try_variant_get("_v", "$.custom_id", "string")), F.lit("")), "_result": F.try_variant_get("_v", "$.result", "variant")})
+    out = out.withColumns({"_type": F.lower(F.trim(F.try_variant_get("_result", "$.type", "string"))), "_message": F.try_variant_get("_result", "$.message", "variant")})
+    parts = F.from_json(F.to_json(F.try_variant_get("_message", "$.content", "variant")), "array<struct<type:string,text:string>>")
+    said = F.filter(F.coalesce(parts, F.array().cast("array<struct<type:string,text:string>>")), lambda p: F.coalesce(p["type"], F.lit("text")) == "text")
+    out = out.withColumn("text", F.nullif(F.trim(F.array_join(F.transform(said, lambda p: F.coalesce(p["text"], F.lit(""))), "")), F.lit(""))).withColumn("_said", F.try_parse_json("text"))
+    v = F.col("_v")
+    reason = (
+        F.when(v.isNull(), "invalid_jsonl_line").when(~_is_object(v), "invalid_record_type").when(~_is_object(F.col("_result")), "missing_result")
+        .when(F.coalesce(F.col("_type"), F.lit("")) != "succeeded", F.concat(F.lit("batch_"), F.coalesce(F.nullif("_type", F.lit("")), F.lit("unknown"))))
+        .when(~_is_object(F.col("_message")), "missing_response").when(F.col("text").isNull(), "empty_response_text").when(~_is_object(F.col("_said")), "schema_validation_failed").otherwise("valid")
     )
+    known = keys.select(F.col("custom_id").alias("_custom"), F.col("key").alias("_known"))
+    return out.withColumn("reason", reason).join(known, "_custom", "left").withColumn("_key", F.coalesce("_known", "_custom")).drop("_known")
 
 
 def collected(records: DataFrame, line: str, order: list[str]) -> tuple[DataFrame, DataFrame]:
     """(selected, rejected): of each key the earliest valid record, and the reasons of the keys without one.
 
-    ``selected`` has key, text, mean_logprob; ``rejected`` key, reason, n. Malformed lines are rejected as such.
+    ``selected`` has key, text, mean_logprob; ``rejected`` key, reason, n. Malformed lines are rejected as such. One aggregate
+    by key and reason is checkpointed, and both are read off it.
+    """
+    held = record_columns(records, line)
+    key = F.coalesce("_key", F.concat_ws("", F.lit("<line:"), F.concat_ws(":", *order), F.lit(">")))
+    rows = held.select(key.alias("key"), "reason", *order, "text", mean_logprob(F.col("_response")).alias("mean_logprob"))
+    per = cut(rows.groupBy("key", "reason").agg(F.count(F.lit(1)).alias("n"), F.min_by(F.struct("text", "mean_logprob"), F.struct(*order)).alias("_r")))
+    valid = per.where("reason = 'valid'")
+    return valid.select("key", "_r.*"), per.join(valid.select("key"), "key", "left_anti").select("key", "reason", "n")
+
+
+def retrieved(parsed_rows: DataFrame, key: str, output: str, line: str, strategy: str = "first_successful") -> DataFrame:
+    """``parsed_rows`` (valid answers) with file_key, status and duplicate_action under a duplicate strategy.
+
+    first_successful: a key's first row in the order of output and line is kept, later ones are duplicate_skipped;
+    provide_all: all are provided. Rows without a key all stay, under ``<batch:i-line:n>``.
     """
-    held = records.withColumn("_v", parsed(F.col(line)))
-    reason = F.when(F.col("_v").isNull(), "invalid_jsonl_line").otherwise(record_reason(F.col("_v")))
-    held = held.withColumns({"reason": reason, "key": F.coalesce(F.trim(F.try_variant_get("_v", "$.key", "string")), F.concat_ws("", F.lit("<line:"), F.concat_ws(":", *order), F.lit(">")))})
-    response = F.try_variant_get("_v", "$.response", "variant")
-    rows = held.select("key", "reason", *order, response_text(response).alias("text"), mean_logprob(response).alias("mean_logprob"))
-    best = rows.where("reason = 'valid'").groupBy("key").agg(F.min_by(F.struct("text", "mean_logprob"), F.struct(*order)).alias("_r")).select("key", "_r.*")
-    rejected = rows.join(best.select("key"), "key", "left_anti").groupBy("key", "reason").agg(F.count(F.lit(1)).alias("n"))
-    return best, rejected
+    fallback = F.concat(F.lit("<batch:"), F.col(output).cast("string"), F.lit("-line:"), F.col(line).cast("string"), F.lit(">"))
+    out = parsed_rows.withColumn("file_key", F.coalesce(F.nullif(F.trim(F.col(key)), F.lit("")), fallback))
+    if strategy == "provide_all":
+        return out.withColumns({"status": F.lit("success"), "duplicate_action": F.lit("provided")})
+    # The first place of a key comes from an aggregate, so a key with many rows is no hot task.
+    first = out.groupBy("file_key").agg(F.min(F.struct(output, line)).alias("_first"))
+    kept = F.col("_first") == F.struct(output, line)
+    out = out.join(first, "file_key").withColumns({"status": F.when(kept, "success").otherwise("duplicate_skipped"), "duplicate_action": F.when(kept, "kept").otherwise("kept_first_successful")})
+    return out.drop("_first")

@@ -22,10 +22,27 @@ def ucb_scores(state: DataFrame, blend: float = 0.5, weight: float = 0.25) -> Da
 
 
 def exact_sample(df: DataFrame, key: Column, fraction: float, seed: int = 7) -> DataFrame:
-    """Exactly max(1, min(n, round(n * fraction))) rows, drawn by a seeded hash of ``key``; halves round to even."""
-    n = df.count()
-    k = max(1, min(n, round(n * fraction)))
-    return df.orderBy(F.xxhash64(F.lit(seed), key), key).limit(k)
+    """Exactly max(1, min(n, round(n * fraction))) rows, drawn by a seeded hash of ``key``; halves round to even.
+
+    Rows are counted by the hash's first 16 bits: ranges below the last one are taken whole, and only of that the smallest
+    hashes are sought.
+    """
+    hashed = F.xxhash64(F.lit(seed), key)
+    first = F.shiftright(hashed, 48)
+    counts = sorted((r["part"], r["n"]) for r in df.groupBy(first.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+    n = sum(c for _, c in counts)
+    left = max(1, min(n, round(n * fraction)))
+    for part, here in counts:
+        if here >= left:
+            return df.where(first < part).union(df.where(first == part).orderBy(hashed, key).limit(left))
+        left -= here
+    return df
+
+
+def random_pick(pairs: DataFrame, done: DataFrame, keys: list[str], seed: int = 7) -> DataFrame:
+    """One row of ``pairs`` not in ``done``, each as likely: that of the least seeded hash of its keys; none if none is left."""
+    drawn = F.md5(F.concat_ws("|", F.lit(str(seed)), *keys).cast("binary"))
+    return unvalidated(pairs, done, keys).orderBy(drawn, *keys).limit(1)
 
 
 def unvalidated(pairs: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:

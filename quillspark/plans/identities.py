@@ -76,7 +76,7 @@ def q56_object_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (q04_identity_basename, q05_identity_coalesce, q19_input_dedupe_audit, q35_sbid_extract, q36_year_suffix_filter, q37_custom_id_hash, q47_fp_mode, q49_transient_error, q55_names_and_states, q56_object_keys)}
 
 _ID = "nullif(nullif(regexp_extract(regexp_replace(trim({0}), '/+$', ''), '[^/]*$'), ''), '.')"
-_MARKERS = " OR ".join(f"contains(lower(said), '{m}')" for m in text.TRANSIENT_MARKERS)
+_MARKERS = "regexp_matches(lower(said), '503|unavailable|resource_exhausted|rate limit|429|internal|deadline|timed out|timeout|connection reset|connection error|temporarily|backend error')"
 ORACLE_SQL = {
     "q04_identity_basename": f"SELECT {_ID.format('url')} AS name, count(*) AS n FROM pages GROUP BY 1 HAVING count(*) > 1 AND name IS NOT NULL",
     "q05_identity_coalesce": f"""

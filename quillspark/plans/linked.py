@@ -42,8 +42,8 @@ def q63_resolved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q64_retry_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") * 3).alias("source_a"), (F.col("o_orderkey") - 1).alias("source_b"))
-    return links.with_parent(jobs.where("o_orderkey % 4 != 0"), "o_orderkey", ["source_a", "source_b"]).select("o_orderkey", "parent")
+    jobs = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") * 3).alias("source_a"), F.when(F.col("o_orderkey") % 4 != 1, F.col("o_orderkey") - 1).alias("source_b"))
+    return links.with_parent(jobs, "o_orderkey", ["source_a", "source_b"]).select("o_orderkey", "parent")
 
 
 def q65_visible_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,8 +92,8 @@ ORACLE_SQL = {
     """,
     "q63_resolved_keys": "SELECT o_orderkey, coalesce(c_name, 'id' || o_custkey) AS key FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_custkey % 3 <> 0",
     "q64_retry_parents": """
-        WITH j AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 4 <> 0)
-        SELECT k AS o_orderkey, coalesce((SELECT p.k FROM j p WHERE p.k = j.k * 3), (SELECT p.k FROM j p WHERE p.k = j.k - 1)) AS parent FROM j
+        WITH j AS (SELECT o_orderkey AS k FROM orders)
+        SELECT k AS o_orderkey, coalesce((SELECT p.k FROM j p WHERE p.k = j.k * 3), (SELECT p.k FROM j p WHERE p.k = CASE WHEN j.k % 4 <> 1 THEN j.k - 1 END)) AS parent FROM j
     """,
     "q65_visible_datasets": """
         WITH s AS (SELECT l_orderkey AS run, CASE WHEN l_linenumber = 1 AND l_orderkey % 2 = 0 THEN 'current' ELSE 'legacy' END AS kind FROM lineitem)

@@ -20,7 +20,7 @@ def q79_stream_sampler(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events are decisions on their type as field, in a stream; the state that they leave scores the fields."""
     stream = log.event_stream(spark, sf_dir, table(spark, sf_dir, "events").schema, "events")
     score = F.when(F.col("value") > 10, F.when(F.col("value") > 50, 1.0).otherwise(0.5))
-    state = log.drained(log.field_state(stream.where("event_id % 3 = 0").withColumn("score", score), "event_type", "score"), spark, "q79_stream_sampler")
+    state = log.drained(log.field_state(stream.withColumn("score", score), "event_type", "score"), spark, "q79_stream_sampler")
     sizes = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("field")).agg(F.count(F.lit(1)).alias("size"))
     out = ucb_scores(sizes.join(state, "field"))
     return out.select("field", "size", "selected", "scored", F.round("score_sum", 6).alias("score_sum"), F.round("score", 6).alias("score"))
@@ -35,8 +35,8 @@ QUERIES = {f.__name__: f for f in (q50_stream_counter, q79_stream_sampler, q80_s
 ORACLE_SQL = {
     "q50_stream_counter": "SELECT event_type, count(*) AS n FROM events GROUP BY 1",
     "q79_stream_sampler": """
-        WITH f AS (SELECT event_type AS field, count(*) AS size, count(*) FILTER (event_id % 3 = 0) AS selected, count(*) FILTER (event_id % 3 = 0 AND value > 10) AS scored,
-                          coalesce(sum(CASE WHEN value > 50 THEN 1.0 ELSE 0.5 END) FILTER (event_id % 3 = 0 AND value > 10), 0) AS score_sum FROM events GROUP BY 1),
+        WITH f AS (SELECT event_type AS field, count(*) AS size, count(*) AS selected, count(*) FILTER (value > 10) AS scored,
+                          coalesce(sum(CASE WHEN value > 50 THEN 1.0 ELSE 0.5 END) FILTER (value > 10), 0) AS score_sum FROM events GROUP BY 1),
         t AS (SELECT *, count(*) OVER () AS g, CAST(sum(size) OVER () AS DOUBLE) AS n, CAST(sum(selected) OVER () AS DOUBLE) AS t FROM f)
         SELECT field, size, selected, scored, CAST(round(score_sum, 6) AS DOUBLE) AS score_sum,
                round(0.5 / g + 0.5 * size / n - selected / greatest(t, 1) + 0.25 * sqrt(2 * ln(greatest(t, 2)) / (scored + 1)), 6) AS score FROM t

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -13,21 +13,62 @@ def json_lines(spark: SparkSession, path: str, limit: int | None = None) -> Data
     return kept.limit(limit) if limit is not None else kept
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, line, value: every line of text files with its number in its file, from 1.
+
+    Lines are numbered within the blocks that a file is read in, and the sizes of the blocks before are added.
+    """
+    read = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("_at"), "value")
+    blocks = read.groupBy("file", "block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.withColumn("_before", before).drop("_n")
+    return read.join(blocks, ["file", "block"]).select("file", (F.col("_at") - F.col("_first") + F.col("_before") + 1).alias("line"), "value")
+
+
 def json_lines_strict(spark: SparkSession, path: str) -> DataFrame:
-    """The same, but a malformed or non-object line raises when it is read, naming the line's text."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
+    """The same, but a malformed or non-object line raises when it is read, naming its file and number."""
+    lines = numbered_lines(spark, path).where(F.trim("value") != "")
     v = F.try_parse_json("value")
     good = v.isNotNull() & F.schema_of_variant(v).startswith("OBJECT")
-    return lines.select(F.col("_metadata.file_path").alias("file"), F.when(good, v).otherwise(F.raise_error(F.concat(F.lit("no JSON object in line: "), F.substring("value", 1, 200)))).alias("value"))
+    return lines.select("file", F.when(good, v).otherwise(F.raise_error(F.concat(F.lit("no JSON object in line "), F.col("line").cast("string"), F.lit(" of "), F.col("file")))).alias("value"))
 
 
-def prediction_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, line, value: every non-blank line as text; malformed ones stay, to be reported.
+def preview(spark: SparkSession, path: str, limit: int, kind: str = "jsonl") -> DataFrame:
+    """The first ``limit`` rows: of JSONL the objects (file, line, value) among the first ``limit`` physical lines; of CSV comma-separated records."""
+    if kind == "csv":
+        return spark.read.csv(path, header=True, inferSchema=False).limit(limit)
+    lines = numbered_lines(spark, path).where(F.col("line") <= limit).withColumn("value", F.try_parse_json("value"))
+    return lines.where(F.col("value").isNotNull() & F.schema_of_variant("value").startswith("OBJECT"))
 
-    ``line`` orders the lines of a file; it numbers file blocks and rows within them, and is not gapless.
-    """
-    place = F.col("_metadata.file_block_start") * F.lit(2**20) + F.monotonically_increasing_id() % F.lit(2**33)
-    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), place.alias("line"), "value").where(F.trim("value") != "")
+
+def manifests(spark: SparkSession, root: str, name: str = "image_processing_manifest.jsonl") -> DataFrame:
+    """manifest_path, value: the objects of all manifests below a folder; none where it has none."""
+    read = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).format("text").schema("value string")
+    held = read.load(root).select(F.col("_metadata.file_path").alias("manifest_path"), F.try_parse_json("value").alias("value"))
+    return held.where(F.col("value").isNotNull() & F.schema_of_variant("value").startswith("OBJECT"))
+
+
+def batch_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """key, custom_id, mime_type of a strict manifest: a line without a key, or with an odd custom_id, raises."""
+    rows = json_lines_strict(spark, path)
+    got = lambda name: F.trim(F.try_variant_get("value", f"$.{name}", "string"))
+    said = lambda ok, c, what: F.when(ok, c).otherwise(F.raise_error(F.concat(F.lit(f"{what} in "), F.to_json("value"))).cast("string"))
+    key, custom = got("key"), got("custom_id")
+    return rows.select(
+        said(F.coalesce(key != "", F.lit(False)), key, "no key").alias("key"), said(F.coalesce(custom.rlike("^[A-Za-z0-9_-]{1,64}$"), F.lit(False)), custom, "no valid custom_id").alias("custom_id"),
+        F.coalesce(F.nullif(got("mime_type"), F.lit("")), F.lit("application/octet-stream")).alias("mime_type"),
+    )
+
+
+def requests_size(spark: SparkSession, path: str) -> DataFrame:
+    """One row: requests (lines that are not blank) and bytes of request files."""
+    files = spark.read.format("binaryFile").load(path).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+    return spark.read.text(path).where(F.trim("value") != "").agg(F.count(F.lit(1)).alias("requests")).join(files)
+
+
+def prediction_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, line, value: every non-blank line as text, with its number in the file; malformed ones stay, to be reported."""
+    return numbered_lines(spark, path).where(F.trim("value") != "")
 
 
 def delimited(spark: SparkSession, path: str, delimiter: str = "$") -> DataFrame:

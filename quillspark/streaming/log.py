@@ -31,14 +31,21 @@ def first_seen(stream: DataFrame, key: str, time: str, late: str = "1 day") -> D
     return stream.withColumn("_t", F.col(time).cast("timestamp")).withWatermark("_t", late).dropDuplicatesWithinWatermark([key]).drop("_t")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; one of our own only where that is unset and all runs on this machine."""
+    told = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not told and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return told or os.path.join(tempfile.gettempdir(), "checkpoints", "quillspark")
+
+
 def drained(df: DataFrame, spark: SparkSession, name: str, mode: str = "complete") -> DataFrame:
     """What is there now, through the stream's operators, as a Parquet table in the folder of spark.checkpoint.dir.
 
     Executors write the batches, and the stream's own checkpoint stands beside them, so nothing passes through the driver.
     In complete mode the last batch is the result; in append mode all are. Without input the table is empty.
     """
-    own = os.path.join(tempfile.gettempdir(), "checkpoints", "quillspark")
-    path = f"{spark.conf.get('spark.checkpoint.dir', None) or spark.sparkContext.getCheckpointDir() or own}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     write = "overwrite" if mode == "complete" else "append"
 
     spark.createDataFrame([], df.schema).write.parquet(f"{path}/table")
