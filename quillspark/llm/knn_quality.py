@@ -90,17 +90,19 @@ class LatentVotes:
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         """Score per text, 0 to 1; without words or labelled neighbours, the sample's share of label 1."""
-        documents = [terms(t) for t in texts]
-        out = np.full(len(documents), self.prior)
-        rows = np.array([k for k, d in enumerate(documents) if d is not None], dtype=np.int64)
+        out = np.full(len(texts), self.prior)
         if not self.neighbours:
             return out
-        for a in range(0, len(rows), 256):
-            some = rows[a : a + 256]
+        # A block of texts at a time, so that their terms never stand in memory for a whole batch.
+        for a in range(0, len(texts), 256):
+            documents = [terms(t) for t in texts[a : a + 256]]
+            some = np.array([k for k, d in enumerate(documents) if d is not None], dtype=np.int64)
+            if not len(some):
+                continue
             cosine = self.projected([documents[k] for k in some]) @ self.vectors.T
             near = np.argpartition(-cosine, self.neighbours - 1, axis=1)[:, : self.neighbours]
             weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 1e-6).astype(np.float64) ** self.power
-            out[some] = (weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1)
+            out[a + some] = (weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1)
         return np.clip(out, 0.0, 1.0)
 
 
