@@ -16,7 +16,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,12 +37,16 @@ _PEM = re.compile(
 #: Prefixes by which public services mark their keys.
 _MARKED = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_\w{20,}|xox[abprs]-|sk[-_](?:live|test|proj)?|AIza|eyJ[\w-]+\.|glpat-|npm_|pypi-|SG\.")
 _SECRET_WORDS = re.compile(rf"(?i)(?:{_KEY})[\w-]*[\"']?\s*(?::=|=>|=|:)?\s*[\"']?$")
-_BENIGN_WORDS = re.compile(r"(?i)(?:sha-?\d*|md5|checksum|digest|hash|commit|revision|rev|uuid|guid|etag|build|version|path|file|dir|url|href|src|id|isbn|doi|license)[\w-]*[\"']?\s*(?::=|=>|=|:)?\s*[\"']?$")
+_BENIGN = r"sha-?\d*|md5|checksum|digest|hash|commit|revision|rev|uuid|guid|etag|build|version|path|file|dir|url|href|src|id|isbn|doi|license"
+_BENIGN_WORDS = re.compile(rf"(?i)(?:{_BENIGN})[\w-]*[\"']?\s*(?::=|=>|=|:)?\s*[\"']?$")
+#: Up to such a word, what follows a value: a closing quote, a bracket or comment sign, "is the".
+_LEAD = r"(?i)[\"'\])}]*[\s,;:#(\[/<-]*(?:(?:is|as|was|are|for)\s+)?(?:(?:the|a|an|its|our|my|your)\s+)?"
+_SECRET_AFTER, _BENIGN_AFTER = re.compile(rf"{_LEAD}(?:{_KEY})\b"), re.compile(rf"{_LEAD}(?:{_BENIGN})\b")
 _HOLDER = re.compile(r"(?i)x{4,}|\*{3,}|your|example|changeme|placeholder|dummy|sample|redacted|<|\$\{|\.\.\.|todo|none$|null$|true$|false$|1234567")
 #: A dictionary of words that paths and identifiers are made of.
 DICTIONARY = frozenset("about access account action admin after api app application archive article assets auth author back base before begin between book bucket build cache call change check class client cloud code color column common company config connect console contact content context control copy core count create current data date default delete demo description design detail dev directory display doc docs document domain down download edit element email enable end engine entry error event example export file final first folder font form format function game general get global group handler header help history home host html http image images import index info input install item java json key language last layout level library license link list local location login main manager master media member menu message method model module month more name network news node number object open option order output package page param parent part password path people photo place player plugin policy post print private process product profile project public query question read record reference release report request resource response result return root sample save script search secret section security select server service session set setting share site size source start state static status storage string style support system table target team template test text theme time title token tool topic type update upload url user util value version video view web week window with word work world write year".split())
 _PIECES = re.compile(r"[A-Z]?[a-z]{3,}|[A-Z]{3,}")
-FEATURES = ("length", "transitions", "entropy", "digits", "upper", "vowels", "dictionary", "slashes", "dots", "separators", "hex", "marked", "secret_word", "benign_word", "placeholder", "uuid", "repeats")
+FEATURES = ("length", "transitions", "entropy", "digits", "upper", "vowels", "dictionary", "slashes", "dots", "separators", "hex", "marked", "secret_word", "benign_word", "secret_after", "benign_after", "placeholder", "uuid", "repeats")
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
@@ -71,7 +75,7 @@ def candidates(text: str) -> list[tuple[int, int]]:
 
 
 def features(text: str, a: int, b: int) -> list[float]:
-    value, before = text[a:b], text[max(0, a - 48) : a]
+    value, before, after = text[a:b], text[max(0, a - 48) : a], text[b : b + 48]
     n = len(value)
     kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "o" for c in value]
     counts = Counter(value)
@@ -81,7 +85,7 @@ def features(text: str, a: int, b: int) -> list[float]:
         float(min(n, 200)), sum(x != y for x, y in zip(kinds, kinds[1:])) / max(1, n - 1), -sum(k / n * math.log2(k / n) for k in counts.values()),
         kinds.count("d") / n, kinds.count("u") / n, sum(c in "aeiouAEIOU" for c in value) / max(1, letters), covered / n,
         value.count("/") / n, value.count(".") / n, sum(value.count(c) for c in "-_") / n, float(all(c in "0123456789abcdefABCDEF" for c in value)),
-        float(bool(_MARKED.match(value) or value.startswith("-----BEGIN"))), float(bool(_SECRET_WORDS.search(before))), float(bool(_BENIGN_WORDS.search(before))), float(bool(_HOLDER.search(value))),
+        float(bool(_MARKED.match(value) or value.startswith("-----BEGIN"))), float(bool(_SECRET_WORDS.search(before))), float(bool(_BENIGN_WORDS.search(before))), float(bool(_SECRET_AFTER.match(after))), float(bool(_BENIGN_AFTER.match(after))), float(bool(_HOLDER.search(value))),
         float(bool(re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", value))), max(counts.values()) / n,
     ]
 
@@ -146,11 +150,34 @@ def labelled_findings(rows: int = 1500, seed: int = 7) -> list[tuple[str, str, i
     return out
 
 
-def fit(spark: SparkSession, trees: int = 20, depth: int = 8) -> list[tuple[np.ndarray, ...]]:
-    rows = [(float(y), features(before + value, len(before), len(before) + len(value))) for before, value, y in labelled_findings()]
+def with_words_after(findings: list[tuple[str, str, int]], seed: int = 8) -> list[tuple[str, str, str, int]]:
+    """Text before, value, text after, label: each finding with words after it that tell nothing, and for every third a second one
+    whose telling words come after the value: those of its kind, none before it."""
+    r = random.Random(seed)
+    words = sorted(DICTIONARY - {"file", "hash", "id", "key", "path", "version", "build", "url", "license", "token", "secret", "password"})
+    plain = lambda: r.choice(["", "", "\n", ".", f" {r.choice(words)}", f", {r.choice(words)} {r.choice(words)}", f"\n{r.choice(words)}"])
+    lead = lambda: r.choice([" (", " # ", " is the ", " is our ", ", the ", " as "])
+    secret, benign = ["token", "api key", "password", "secret", "access key"], ["sha256", "md5", "checksum", "commit", "digest", "revision", "uuid", "hash"]
+    out = []
+    for k, (before, value, y) in enumerate(findings):
+        quote = before[-1:] if before[-1:] in ("'", '"') else ""
+        out.append((before, value, quote + plain(), y))
+        if k % 3 == 0 and y:
+            out.append(("", value, lead() + r.choice(secret), 1))
+        if k % 3 == 0 and (not y or re.fullmatch("[0-9a-f]{32,64}", value)):
+            out.append(("", value, lead() + r.choice(benign), 0))
+    return out
+
+
+def forest(spark: SparkSession, trees: int = 20, depth: int = 8) -> RandomForestClassificationModel:
+    """MLlib's forest over the labelled findings, in their text."""
+    rows = [(float(y), features(before + value + after, len(before), len(before) + len(value))) for before, value, after, y in with_words_after(labelled_findings())]
     table = spark.createDataFrame(rows, "label double, x array<double>").select("label", array_to_vector("x").alias("features"))
-    model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7).fit(table.coalesce(1))
-    return [exported(t) for t in model.trees]
+    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7).fit(table.coalesce(1))
+
+
+def fit(spark: SparkSession, **parameters) -> list[tuple[np.ndarray, ...]]:
+    return [exported(t) for t in forest(spark, **parameters).trees]
 
 
 _FINDING = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("length", T.IntegerType()), T.StructField("score", T.DoubleType())]))
