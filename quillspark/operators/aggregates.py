@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.values import populated
+from quillspark.operators.order import cut
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -16,26 +17,54 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def distribution(value: Column, digits: int = 6) -> list[Column]:
-    """Columns n, min, max, mean, median over non-null numbers; the median of an even count is the mean of the middle two."""
-    return [
-        F.count(value).alias("n"), F.round(F.min(value), digits).alias("min"), F.round(F.max(value), digits).alias("max"), F.round(F.avg(value), digits).alias("mean"), F.round(F.median(value), digits).alias("median")
-    ]
+    """Columns n, min, max, mean over non-null numbers; ``medians`` has the rest."""
+    return [F.count(value).alias("n"), F.round(F.min(value), digits).alias("min"), F.round(F.max(value), digits).alias("max"), F.round(F.avg(value), digits).alias("mean")]
+
+
+def medians(df: DataFrame, value: str, by: str | None = None, digits: int = 6) -> DataFrame:
+    """_g, _by, median: of all non-null numbers (``_g`` is 1) and, with ``by``, of each group (0); of an even count the mean of the middle two.
+
+    Equal numbers are counted first and dealt by ranges of group and number; only the ranges that hold a group's middle, two at
+    most, are ordered, so no task holds a whole group. A group without numbers has no row.
+    """
+    group = F.col(by) if by else F.lit(None).cast("string")
+    counts = df.where(F.col(value).isNotNull()).groupBy(group.alias("_by"), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_g", F.lit(0 if by else 1))
+    if by:
+        whole = counts.groupBy("_v").agg(F.sum("_n").alias("_n"))
+        counts = counts.unionByName(whole.withColumns({"_g": F.lit(1), "_by": F.lit(None).cast(df.schema[by].dataType)}))
+    ranged = cut(counts.repartitionByRange("_g", "_by", "_v").withColumn("_part", F.spark_partition_id()))
+    group = Window.partitionBy("_g", "_by")
+    sizes = ranged.groupBy("_g", "_by", "_part").agg(F.sum("_n").alias("_m"))
+    before = F.coalesce(F.sum("_m").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.withColumns({"_before": before, "_all": F.sum("_m").over(group)})
+    low, high = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
+    within = lambda place, start, n: (start <= place) & (place < start + n)
+    start, m = F.col("_before"), F.col("_m")
+    middle = sizes.where(within(low, start, m) | within(high, start, m)).select(F.col("_g").alias("_g2"), F.col("_by").alias("_by2"), F.col("_part").alias("_part2"), "_before", "_all")
+    held = ranged.join(middle, (F.col("_g") == F.col("_g2")) & F.col("_by").eqNullSafe(F.col("_by2")) & (F.col("_part") == F.col("_part2")))
+    upto = F.sum("_n").over(Window.partitionBy("_g", "_by", "_part").orderBy("_v"))
+    held = held.withColumn("_start", F.col("_before") + upto - F.col("_n"))
+    pick = lambda place: F.max(F.when(within(place, F.col("_start"), F.col("_n")), F.col("_v")))
+    return held.groupBy("_g", "_by").agg(F.round((pick(low) + pick(high)) / 2, digits).alias("median"))
 
 
 def distributions(df: DataFrame, value: str, by: str | None = None) -> DataFrame:
-    """A distribution over all rows (``grp`` is ``total``) and, with ``by``, over each group, in one pass."""
+    """n, min, max, mean, median, grp: over all rows (``grp`` is ``total``) and, with ``by``, over each group."""
+    middle = medians(df, value, by)
     if by is None:
-        return df.agg(*distribution(F.col(value))).withColumn("grp", F.lit("total"))
-    sets = df.groupingSets([[], [F.col(by)]], F.col(by)).agg(F.grouping_id().alias("_g"), *distribution(F.col(value)))
-    return sets.withColumn("grp", F.when(F.col("_g") == 1, "total").otherwise(F.col(by).cast("string"))).drop("_g", by)
+        return df.agg(*distribution(F.col(value))).join(F.broadcast(middle.select("median")), F.lit(True), "left").withColumn("grp", F.lit("total"))
+    sets = df.groupingSets([[], [F.col(by)]], F.col(by)).agg(F.grouping_id().alias("_s"), *distribution(F.col(value)))
+    held = sets.join(middle, (F.col("_s") == F.col("_g")) & F.col(by).eqNullSafe(F.col("_by")), "left")
+    return held.select("n", "min", "max", "mean", "median", F.when(F.col("_s") == 1, "total").otherwise(F.col(by).cast("string")).alias("grp"))
 
 
 def processing_summary(df: DataFrame, item: str, status: str, duration: str) -> DataFrame:
-    """One row: records, distinct non-blank items, statuses as a sorted text ``status=n``, and the duration's distribution."""
+    """One row: records, distinct non-blank items, the duration's distribution, and statuses as a sorted text ``status=n``."""
     counts = df.where(populated(F.col(status))).groupBy(F.col(status).alias("s")).agg(F.count(F.lit(1)).alias("k"))
     line = counts.agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "s", "k"))), ",").alias("statuses"))
     items = F.count_distinct(F.when(populated(F.col(item).cast("string")), F.col(item)))
-    return df.agg(F.count(F.lit(1)).alias("records"), items.alias("items"), *distribution(F.col(duration))).join(F.broadcast(line), F.lit(True))
+    one = df.agg(F.count(F.lit(1)).alias("records"), items.alias("items"), *distribution(F.col(duration)))
+    return one.join(F.broadcast(medians(df, duration).select("median")), F.lit(True), "left").join(F.broadcast(line), F.lit(True))
 
 
 def completeness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -116,7 +145,8 @@ def sample_keys(df: DataFrame, key: str, n: int) -> DataFrame:
 def integer_stats(df: DataFrame, value: str) -> DataFrame:
     """One row: n, total (0 of nothing), min, max, mean, median of whole numbers."""
     v = F.col(value)
-    return df.agg(F.count(v).alias("n"), F.coalesce(F.sum(v), F.lit(0)).cast("long").alias("total"), F.min(v).cast("long").alias("min"), F.max(v).cast("long").alias("max"), F.round(F.avg(v), 6).alias("mean"), F.round(F.median(v), 6).alias("median"))
+    one = df.agg(F.count(v).alias("n"), F.coalesce(F.sum(v), F.lit(0)).cast("long").alias("total"), F.min(v).cast("long").alias("min"), F.max(v).cast("long").alias("max"), F.round(F.avg(v), 6).alias("mean"))
+    return one.join(F.broadcast(medians(df, value).select("median")), F.lit(True), "left")
 
 
 def distinct_prefixes(paths: DataFrame, path: str, limit: int) -> DataFrame:

@@ -1,5 +1,8 @@
 """Edge cases of the operators that the test tables do not have."""
 
+import random
+import statistics
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,6 +101,22 @@ def test_distribution_of_nothing(spark):
     assert r.n == 0 and r["mean"] is None and r["median"] is None
 
 
+@pytest.mark.parametrize("parts", ["1", "7"])
+def test_medians_by_ranges(spark, parts):
+    """Groups of odd and even counts, ties, nulls, a group without numbers, a null group, and one with a third of all rows."""
+    r = random.Random(int(parts))
+    rows = [(g, r.choice([None, float(r.randrange(40)), r.random()])) for g, n in (("a", 1), ("b", 2), ("c", 301), ("d", 120), (None, 33), ("e", 90)) for _ in range(n)] + [("f", None), ("g", 3.0), ("g", 5.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = {x.grp: (x.n, x.median) for x in aggregates.distributions(df, "v", "g").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for g in ("a", "b", "c", "d", "e", "f", "g", None, "total"):
+        v = [x for k, x in rows if x is not None and (g == "total" or k == g)]
+        assert got[g] == (len(v), round(statistics.median(v), 6) if v else None), g
+
+
 def test_accuracy_conventions_differ(spark):
     df = spark.createDataFrame([("accept",), ("partial",), ("unsure",), ("whatever",)], "label string").withColumn("c", F.lit(" "))
     assert scoring.report_accuracy(df, "label").collect()[0].asDict() == {"n": 3, "accuracy": 0.666667}
