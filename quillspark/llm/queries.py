@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import chat, decontaminate, html_text, knn_quality, packing, secrets, simhash, srs, substrings, toxicity
+from quillspark.llm import chat, collocations, decontaminate, html_text, knn_quality, packing, secrets, simhash, srs, substrings, toxicity
 from quillspark.llm.common import table
 
 
@@ -59,6 +59,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, longest=4, top=2000, share=80)
+
+
 QUERIES = {
     "op1_srs": op1_srs,
     "op2_quality": op2_quality,
@@ -70,10 +74,12 @@ QUERIES = {
     "op8_substrings": op8_substrings,
     "op9_chat": op9_chat,
     "op10_packing": op10_packing,
+    "op11_collocations": op11_collocations,
 }
 
 ORACLE_SQL = {
     "op5_decontaminate": decontaminate.ORACLE_SQL,
     "op8_substrings": substrings.ORACLE_SQL,
     "op9_chat": chat.ORACLE_SQL,
+    "op11_collocations": collocations.ORACLE_SQL,
 }
