@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import chat, collocations, decontaminate, html_text, knn_quality, packing, secrets, simhash, srs, substrings, toxicity
+from quillspark.llm import best_fit, chat, collocations, decontaminate, html_text, knn_quality, packing, secrets, simhash, spelling, srs, substrings, toxicity
 from quillspark.llm.common import table
 
 
@@ -63,6 +63,14 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), least=30, longest=4, top=2000, share=80)
 
 
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), shortest=7, least=2, ratio=10, every=31)
+
+
 QUERIES = {
     "op1_srs": op1_srs,
     "op2_quality": op2_quality,
@@ -75,6 +83,8 @@ QUERIES = {
     "op9_chat": op9_chat,
     "op10_packing": op10_packing,
     "op11_collocations": op11_collocations,
+    "op12_best_fit": op12_best_fit,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE_SQL = {
@@ -82,4 +92,5 @@ ORACLE_SQL = {
     "op8_substrings": substrings.ORACLE_SQL,
     "op9_chat": chat.ORACLE_SQL,
     "op11_collocations": collocations.ORACLE_SQL,
+    "op13_spelling": spelling.ORACLE_SQL,
 }
