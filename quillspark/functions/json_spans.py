@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -80,3 +81,44 @@ def spans(text: Column) -> Column:
         return texts.map(leaf_spans)
 
     return of(text)
+
+
+LOGPROBS = "array<struct<leaf:string,logprob:double>>"
+
+
+def leaf_logprobs(text: str | None, offset: int | None, sizes: Sequence[int], logprobs: Sequence[float]) -> list[dict]:
+    """leaf, logprob: each leaf of a JSON text with the mean of the log-probabilities of its tokens, null without any.
+
+    ``sizes`` are the lengths of consecutive tokens, in whose text ``text`` begins at ``offset``. A token, clipped to the text,
+    counts for the leaf that it shares most characters with, of several the first. A pointer that occurs twice has its last
+    place. Empty without an offset, or if no leaf has a token.
+    """
+    spans_ = {s["leaf"]: (s["start"], s["stop"]) for s in leaf_spans(text)} if offset is not None else {}
+    leaves = sorted((start, stop, rank, leaf) for rank, (leaf, (start, stop)) in enumerate(spans_.items()) if stop > start)
+    found: dict[str, list[float]] = {}
+    first, end = 0, -(offset or 0)
+    for size, logprob in zip(sizes, logprobs, strict=True):
+        begin, end = max(0, end), end + size
+        stop = min(len(text or ""), end)
+        while first < len(leaves) and leaves[first][1] <= begin:
+            first += 1
+        best, most, k = None, (0, 0), first
+        while k < len(leaves) and leaves[k][0] < stop:
+            shared = (min(stop, leaves[k][1]) - max(begin, leaves[k][0]), -leaves[k][2])
+            if shared[0] > 0 and shared > most:
+                best, most = leaves[k][3], shared
+            k += 1
+        if best is not None:
+            found.setdefault(best, []).append(logprob)
+    return [{"leaf": leaf, "logprob": sum(found[leaf]) / len(found[leaf]) if leaf in found else None} for leaf in spans_] if found else []
+
+
+def logprobs(text: Column, offset: Column, sizes: Column, values: Column) -> Column:
+    """``leaf_logprobs`` of columns, in Arrow batches."""
+
+    @F.pandas_udf(LOGPROBS)
+    def of(texts: pd.Series, offsets: pd.Series, sizes: pd.Series, values: pd.Series) -> pd.Series:
+        rows = zip(texts, offsets, sizes, values, strict=True)
+        return pd.Series([leaf_logprobs(t, None if o is None or pd.isna(o) else int(o), s, v) for t, o, s, v in rows], dtype=object)
+
+    return of(text, offset, sizes, values)

@@ -18,6 +18,15 @@ SUCCESS_STATES = ["JOB_STATE_SUCCEEDED", "SUCCEEDED", "ENDED"]
 FAILURE_STATES = ["JOB_STATE_FAILED", "FAILED", "ERRORED", "JOB_STATE_PARTIALLY_SUCCEEDED", "PARTIALLY_SUCCEEDED", "JOB_STATE_CANCELLED", "JOB_STATE_CANCELED", "CANCELLED", "CANCELED", "EXPIRED", "JOB_STATE_EXPIRED"]
 
 
+#: What counts as white space at the ends of a text: the code points of class White_Space and the four separators.
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def stripped(c: Column) -> Column:
+    """A text without any white space at its ends, not blanks alone."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.functions.text import stripped
 from quillspark.operators.order import cut
+from quillspark.operators.skew import lookup
 
 PART = "array<struct<text:string,thought:boolean>>"
-CANDIDATES = "array<struct<content:struct<parts:array<struct<text:string,thought:boolean>>>,avgLogprobs:double,avg_logprobs:double>>"
+TOKENS = "array<struct<token:string,logProbability:double,log_probability:double>>"
+CHOSEN = f"struct<chosenCandidates:{TOKENS},chosen_candidates:{TOKENS}>"
+CANDIDATES = f"array<struct<content:struct<parts:{PART}>,avgLogprobs:double,avg_logprobs:double,logprobsResult:{CHOSEN},logprobs_result:{CHOSEN}>>"
 
 
 def parsed(line: Column) -> Column:
@@ -22,27 +26,49 @@ def candidates(response: Column) -> Column:
 
 def _texts(candidate: Column, thoughts: bool) -> Column:
     parts = F.coalesce(candidate["content"]["parts"], F.array().cast(PART))
-    wanted = F.filter(parts, lambda p: (F.coalesce(p["thought"], F.lit(False)) == thoughts) & (F.trim(F.coalesce(p["text"], F.lit(""))) != ""))
-    return F.transform(wanted, lambda p: F.trim(p["text"]))
+    wanted = F.filter(parts, lambda p: (F.coalesce(p["thought"], F.lit(False)) == thoughts) & (stripped(F.coalesce(p["text"], F.lit(""))) != ""))
+    return F.transform(wanted, lambda p: stripped(p["text"]))
+
+
+def candidates_text(held: Column, response: Column) -> Column:
+    joined = F.transform(F.coalesce(held, F.array().cast(CANDIDATES)), lambda c: F.array_join(_texts(c, False), ""))
+    first = F.try_element_at(F.filter(joined, lambda t: t != ""), F.lit(1))
+    return F.coalesce(first, F.nullif(stripped(F.try_variant_get(response, "$.text", "string")), F.lit("")))
+
+
+def candidates_thoughts(held: Column) -> Column:
+    every = F.flatten(F.transform(F.coalesce(held, F.array().cast(CANDIDATES)), lambda c: _texts(c, True)))
+    return F.nullif(F.array_join(every, "\n\n"), F.lit(""))
+
+
+def candidates_mean(held: Column) -> Column:
+    first = F.try_element_at(held, F.lit(1))
+    return F.coalesce(first["avg_logprobs"], first["avgLogprobs"])
 
 
 def response_text(response: Column) -> Column:
     """The stripped answer parts of the first candidate that has any, joined; else the response's own text; null if empty."""
-    joined = F.transform(F.coalesce(candidates(response), F.array().cast(CANDIDATES)), lambda c: F.array_join(_texts(c, False), ""))
-    first = F.try_element_at(F.filter(joined, lambda t: t != ""), F.lit(1))
-    return F.coalesce(first, F.nullif(F.trim(F.try_variant_get(response, "$.text", "string")), F.lit("")))
+    return candidates_text(candidates(response), response)
 
 
 def response_thoughts(response: Column) -> Column:
     """All thoughts of all candidates, joined by blank lines; null without any."""
-    every = F.flatten(F.transform(F.coalesce(candidates(response), F.array().cast(CANDIDATES)), lambda c: _texts(c, True)))
-    return F.nullif(F.array_join(every, "\n\n"), F.lit(""))
+    return candidates_thoughts(candidates(response))
 
 
 def mean_logprob(response: Column) -> Column:
     """The first candidate's mean log-probability, under either spelling."""
-    first = F.try_element_at(candidates(response), F.lit(1))
-    return F.coalesce(first["avgLogprobs"], first["avg_logprobs"])
+    return candidates_mean(candidates(response))
+
+
+def chosen_tokens(held: Column) -> Column:
+    """token, logprob: the tokens that the first of some ``candidates`` chose, in order; those without a text or a probability
+    are left out. Empty if there are none."""
+    first = F.try_element_at(held, F.lit(1))
+    result = F.coalesce(first["logprobs_result"], first["logprobsResult"])
+    chosen = F.coalesce(result["chosen_candidates"], result["chosenCandidates"], F.array().cast(TOKENS))
+    each = F.transform(chosen, lambda t: F.struct(t["token"].alias("token"), F.coalesce(t["log_probability"], t["logProbability"]).alias("logprob")))
+    return F.filter(each, lambda t: (t["token"] != "") & t["logprob"].isNotNull())
 
 
 def _is_object(v: Column) -> Column:
@@ -73,8 +99,8 @@ def record_columns(records: DataFrame, line: str) -> DataFrame:
 def message_columns(records: DataFrame, line: str, keys: DataFrame) -> DataFrame:
     """The same for records of the form custom_id, result: {type, message: {content: [{type, text}]}}.
 
-    ``keys`` (custom_id, key) gives the pages' keys; an unknown custom_id stands for itself, and none for no key. A result
-    that did not succeed is ``batch_<type>``.
+    ``keys`` (custom_id, key) gives the pages' keys; an unknown custom_id stands for itself, and none for no key. Of an id
+    with several keys the least counts. A result that did not succeed is ``batch_<type>``.
     """
     out = records.withColumn("_v", parsed(F.col(line)))
     out = out.withColumns({"_custom": F.nullif(F.trim(F.try_variant_get("_v", "$.custom_id", "string")), F.lit("")), "_result": F.try_variant_get("_v", "$.result", "variant")})
@@ -88,8 +114,10 @@ def message_columns(records: DataFrame, line: str, keys: DataFrame) -> DataFrame
         .when(F.coalesce(F.col("_type"), F.lit("")) != "succeeded", F.concat(F.lit("batch_"), F.coalesce(F.nullif("_type", F.lit("")), F.lit("unknown"))))
         .when(~_is_object(F.col("_message")), "missing_response").when(F.col("text").isNull(), "empty_response_text").when(~_is_object(F.col("_said")), "schema_validation_failed").otherwise("valid")
     )
-    known = keys.select(F.col("custom_id").alias("_custom"), F.col("key").alias("_known"))
-    return out.withColumn("reason", reason).join(known, "_custom", "left").withColumn("_key", F.coalesce("_known", "_custom")).drop("_known")
+    # One key an id: of several the least, so that no record is doubled.
+    known = keys.groupBy(F.col("custom_id").alias("_custom")).agg(F.min("key").alias("_known"))
+    held = lookup(out.withColumn("reason", reason), known, ["_custom"], "left")
+    return held.withColumn("_key", F.coalesce("_known", "_custom")).drop("_known")
 
 
 def collected(records: DataFrame, line: str, order: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -116,8 +144,8 @@ def retrieved(parsed_rows: DataFrame, key: str, output: str, line: str, strategy
     out = parsed_rows.withColumn("file_key", F.coalesce(F.nullif(F.trim(F.col(key)), F.lit("")), fallback))
     if strategy == "provide_all":
         return out.withColumns({"status": F.lit("success"), "duplicate_action": F.lit("provided")})
-    # The first place of a key comes from an aggregate, so a key with many rows is no hot task.
+    # The first place of a key comes from an aggregate, and comes back by a join that spreads keys with many rows.
     first = out.groupBy("file_key").agg(F.min(F.struct(output, line)).alias("_first"))
     kept = F.col("_first") == F.struct(output, line)
-    out = out.join(first, "file_key").withColumns({"status": F.when(kept, "success").otherwise("duplicate_skipped"), "duplicate_action": F.when(kept, "kept").otherwise("kept_first_successful")})
+    out = lookup(out, first, ["file_key"]).withColumns({"status": F.when(kept, "success").otherwise("duplicate_skipped"), "duplicate_action": F.when(kept, "kept").otherwise("kept_first_successful")})
     return out.drop("_first")

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def event_stream(spark: SparkSession, folder: str, schema, name: str, per_trigger: int = 1) -> DataFrame:
-    """A Parquet table of a folder as a stream of files; ``name`` is the table's file or folder."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"*{name}*").option("maxFilesPerTrigger", per_trigger).parquet(folder)
+def event_stream(spark: SparkSession, folder: str, schema, name: str, per_trigger: int | None = None) -> DataFrame:
+    """A Parquet table of a folder as a stream of files; ``name`` is the table's file or folder.
+
+    A batch takes all files that are there, or ``per_trigger`` of them.
+    """
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"*{name}*")
+    return (reader.option("maxFilesPerTrigger", per_trigger) if per_trigger else reader).parquet(folder)
 
 
 def running_counts(stream: DataFrame, column: str) -> DataFrame:
@@ -39,40 +45,82 @@ def shared_dir(spark: SparkSession) -> str:
     return told or os.path.join(tempfile.gettempdir(), "checkpoints", "quillspark")
 
 
-def drained(df: DataFrame, spark: SparkSession, name: str, mode: str = "complete") -> DataFrame:
+def drained(df: DataFrame, spark: SparkSession, name: str, mode: str = "complete", keys: list[str] | None = None) -> DataFrame:
     """What is there now, through the stream's operators, as a Parquet table in the folder of spark.checkpoint.dir.
 
-    Executors write the batches, and the stream's own checkpoint stands beside them, so nothing passes through the driver.
-    In complete mode the last batch is the result; in append mode all are. Without input the table is empty.
+    Executors write the batches, each to a folder of its own number, so a batch that runs again replaces itself; the stream's
+    checkpoint stands beside them, and nothing passes through the driver. With ``keys`` (those of an aggregate) only what a
+    batch changed is written, in update mode, and reading takes the last row of each key. Else in append mode all batches are
+    the result, and in complete mode the last one is. Without input the table is empty.
     """
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    write = "overwrite" if mode == "complete" else "append"
+    mode = "update" if keys else mode
+    last = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/table/_batch={number}")
+        last[:] = [number]
 
-    spark.createDataFrame([], df.schema).write.parquet(f"{path}/table")
-    query = (
-        df.writeStream.foreachBatch(lambda batch, number: batch.write.mode(write).parquet(f"{path}/table"))
-        .queryName(name).outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
-    )
+    query = df.writeStream.foreachBatch(write).queryName(name).outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.schema(df.schema).parquet(f"{path}/table")
+    if not last:
+        spark.createDataFrame([], df.schema).write.parquet(f"{path}/table/_batch=0")
+    if mode == "complete":
+        return spark.read.schema(df.schema).parquet(f"{path}/table/_batch={last[0] if last else 0}")
+    out = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_batch", T.LongType())]) if keys else df.schema).parquet(f"{path}/table")
+    if not keys:
+        return out.select(*df.columns)
+    rest = [c for c in df.columns if c not in keys]
+    return out.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_row")).select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def append_batches(stream: DataFrame, path: str, checkpoint: str, seen: str):
-    """Micro-batches appended to a Parquet dataset, without the keys (column ``seen``) that it has already."""
+def append_new(batch: DataFrame, path: str, batch_id: str, key: str, order: str, buckets: int = 64) -> DataFrame:
+    """Appends to the dataset at ``path`` the rows of ``batch`` whose key it has not: of each key the first in ``order``.
+
+    A ledger, hidden beside the data, holds the keys, in folders by bucket of their hash and by batch. Only the buckets that the batch
+    touches are read, and never what the batch itself wrote: run again, after a failure at any point, it writes the same rows
+    in the same place. Rows without a key are left out. Returns the keys that it took for known ones.
+    """
+    spark = batch.sparkSession
+    rows = batch.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*batch.columns), order).alias("_row")).select("_row.*").withColumn("_bucket", _bucket(key, buckets))
+    touched = [r["_bucket"] for r in rows.select("_bucket").distinct().collect()]  # at most ``buckets``
+    ledger = T.StructType().add(batch.schema[key]).add("_bucket", T.IntegerType()).add("_batch", T.StringType())
+    there = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_keys")
+    if there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
+        known = spark.read.schema(ledger).parquet(f"{path}/_keys").where(F.col("_bucket").isin(touched) & (F.col("_batch") != batch_id)).select(key, "_bucket")
+    else:
+        known = spark.createDataFrame([], ledger).select(key, "_bucket")
+    new = rows.join(known, [key, "_bucket"], "left_anti")
+    new.drop("_bucket").select(*batch.columns).write.mode("overwrite").parquet(f"{path}/_batch={batch_id}")
+    # The ledger follows the data: a batch that fails between them leaves keys out, and is run again.
+    written = spark.read.schema(batch.schema).parquet(f"{path}/_batch={batch_id}")
+    keys = written.select(key, _bucket(key, buckets).alias("_bucket"), F.lit(batch_id).alias("_batch")).repartition("_bucket")
+    keys.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket", "_batch").parquet(f"{path}/_keys")
+    return known
+
+
+def append_batches(stream: DataFrame, path: str, checkpoint: str, seen: str, order: str | None = None, buckets: int = 64):
+    """Micro-batches appended to a dataset (``appended`` reads it), without the keys (column ``seen``) that it has already.
+
+    Batches are told apart by their checkpoint and number, so that several streams, or one started anew, may follow each other.
+    """
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        try:
-            there = spark.read.parquet(path).select(seen)
-            batch = batch.join(there, seen, "left_anti")
-        except Exception as e:  # nothing written yet
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        batch.dropDuplicates([seen]).write.mode("append").parquet(path)
+        append_new(batch, path, f"{run}-{number}", seen, order or seen, buckets)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def appended(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The dataset that ``append_batches`` wrote, with ``_batch``: which batch a row came with."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("_batch", T.StringType())])).parquet(path)
+
+
 def field_state(decisions: DataFrame, field: str, score: str) -> DataFrame:
     """field, selected, scored, score_sum: what a sampler knows of each field, growing with every decision; complete mode."""
     return decisions.groupBy(F.col(field).alias("field")).agg(F.count(F.lit(1)).alias("selected"), F.count(score).alias("scored"), F.coalesce(F.sum(score), F.lit(0.0)).alias("score_sum"))

@@ -257,3 +257,104 @@ def test_links(spark):
             manifest.single_row(df).collect()
     record = manifest.manifest_records(objects, image_name=F.col("name"), extra=F.lit(1))
     assert record.columns == [*manifest.MANIFEST, "extra"]
+
+
+def test_joins_with_a_hot_key(spark):
+    """A third of all rows under one key, and some without: no task gets ten times the others' rows, and nothing changes."""
+    from quillspark.operators import skew
+
+    rows = spark.range(0, 60_000).select("id", F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 30 == 1, None).otherwise(F.col("id") % 5000).alias("k"))
+    dimension = spark.range(0, 4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
+    assert [r.k for r in skew.hot_keys(rows, ["k"]).collect()] == [0]
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        want = rows.join(dimension, "k", how)
+        got = skew.lookup(rows, dimension, ["k"], how)
+        assert sorted(got.columns) == sorted(want.columns)
+        c = sorted(want.columns)
+        assert got.select(c).exceptAll(want.select(c)).isEmpty() and want.select(c).exceptAll(got.select(c)).isEmpty() and got.count() == want.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        shuffled = rows.where("k IS NOT NULL").join(F.broadcast(skew.hot_keys(rows, ["k"])), "k", "left_anti").groupBy(F.pmod(F.hash("k"), F.lit(8))).count()
+        sizes = [r["count"] for r in shuffled.collect()]
+        assert max(sizes) < 10 * sorted(sizes)[len(sizes) // 2]
+        assert skew.lookup(rows, dimension.limit(0), ["k"]).count() == 0 and skew.lookup(rows.limit(0), dimension, ["k"], "left").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_confidence_of_fields(spark):
+    import json
+    import math
+
+    from quillspark.functions.json_spans import leaf_logprobs
+
+    def response(text_, tokens, spelling=("logprobsResult", "chosenCandidates", "logProbability")):
+        result, chosen, value = spelling
+        return json.dumps({"candidates": [{"content": {"parts": [{"text": text_}]}, result: {chosen: [{"token": t, value: p} for t, p in tokens]}}]})
+
+    answer = '{"a":"xy","b":[10,true]}'
+    cases = [
+        response(answer, [('{"a":"', -9), ("xy", -0.5), ('","b":[1', -1), ("0", -3), (",tr", -2), ("ue]}", -4)]),
+        response(f"\n {answer}\t", [("```json\n" + '{"a":"x', -9), ('y","', -0.25), ("", -7), (None, -7), ('b":[', -9), ("10,", -0.75), ("true", None), ("true]}\n```", 0)], ("logprobs_result", "chosen_candidates", "log_probability")),
+        response(answer, [("something else", -1)]), response("no json", [("no json", -1)]), response("  ", [("x", -1)]), response(answer, []), "{}", "null",
+    ]
+    df = spark.createDataFrame(list(enumerate(cases)), "k int, r string").withColumn("v", F.parse_json("r"))
+    held = [{p: (m.field_confidence_logprobs, round(m.field_confidence_ratio, 9)) if m.field_confidence_logprobs is not None else None for p, m in r.field_confidence_by_pointer.items()} for r in confidence.with_response_metadata(df, "v").orderBy("k").collect()]
+    sure = lambda x: (x, round(math.exp(x), 9))
+    # A token counts for the leaf that it shares most with, though most of it is punctuation.
+    assert held[0] == {"/a": sure(-0.5), "/b/0": sure(-2.0), "/b/1": sure(-3.0)}
+    assert held[1] == {"/a": sure(-4.625), "/b/0": sure(-0.75), "/b/1": sure(0.0)} and held[2:] == [{}] * 6
+    # Equal shares go to the first leaf; an empty value has no token; a pointer given twice has its last place.
+    assert leaf_logprobs('["ab","cd",""]', 0, [2, 2 + 3 + 2], [-5.0, -1.0]) == [{"leaf": "/0", "logprob": -1.0}, {"leaf": "/1", "logprob": None}, {"leaf": "/2", "logprob": None}]
+    assert leaf_logprobs('{"a":1,"a":23}', 0, [6, 6, 2], [-5.0, -1.0, -2.0]) == [{"leaf": "/a", "logprob": -1.5}]
+    assert leaf_logprobs("[1]", None, [3], [-1.0]) == [] == leaf_logprobs(None, 0, [3], [-1.0])
+
+
+def test_choices_go_on_after_a_restart(spark, tmp_path):
+    """The same decisions in one run, and in two with a stop between them, from the checkpoint: the state goes on."""
+    from quillspark.streaming import log, sampler
+
+    rows = [(s, k, [1.0, 0.0, None, 0.5][(k + s) % 4], s % 2) for s in range(6) for k in range(20)]
+    decisions = spark.createDataFrame(rows, "session long, place long, score double, dataset long")
+    catalogue = spark.createDataFrame([(0, "a", 9), (0, "b", 3), (0, "c", 2), (1, "x", 30)], "dataset long, field string, size int")
+    stream = lambda folder: sampler.choices(log.event_stream(spark, folder, decisions.schema, "part"), catalogue, "dataset", "session", "place", "score")
+    run = lambda folder, out: stream(folder).writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start().awaitTermination()
+    decisions.write.parquet(f"{tmp_path}/whole")
+    run(f"{tmp_path}/whole", f"{tmp_path}/one")
+    for part in (F.col("place") < 11, F.col("place") >= 11):
+        decisions.where(part).write.mode("append").parquet(f"{tmp_path}/parts")
+        run(f"{tmp_path}/parts", f"{tmp_path}/two")
+    one, two = ({tuple(r) for r in spark.read.parquet(f"{tmp_path}/{n}").collect()} for n in ("one", "two"))
+    assert one == two and len(one) == 120
+    mine = sorted(r for r in one if r[0] == 0)
+    assert [r[2] for r in mine[:3]] == ["a", "b", "c"] and sum(r[2] is None for r in mine) == 20 - 14 and {r[3] for r in mine if r[2] == "b"} == {0, 1, 2}
+
+
+def test_batches_run_again_append_nothing(spark, tmp_path):
+    from quillspark.streaming import log
+
+    path = str(tmp_path / "set")
+    df = spark.createDataFrame([(k % 40, k) for k in range(100)] + [(None, 7)], "key long, place long").repartition(4)
+    log.append_new(df, path, "x-0", "key", "place", buckets=8)
+    more = spark.createDataFrame([(3, 1000), (777, 1001), (777, 1002)], "key long, place long")
+    for _ in range(2):
+        known = log.append_new(more, path, "x-1", "key", "place", buckets=8)
+    rows = {(r.key, r.place, r._batch) for r in log.appended(spark, path, df.schema).collect()}
+    assert rows == {(k, k, "x-0") for k in range(40)} | {(777, 1001, "x-1")} and spark.read.parquet(path).count() == 41
+    # Of the ledger only the buckets of keys 3 and 777 are read.
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "_bucket" in plan.split("PartitionFilters")[1].split("]")[0]
+    buckets = {r["_bucket"] for r in spark.createDataFrame([(3,), (777,)], "key long").select(log._bucket("key", 8).alias("_bucket")).collect()}
+    assert known.select("_bucket").distinct().count() <= len(buckets) < 8
+    # A batch that failed after its data and before its keys is whole when it is run again.
+    log.append_new(more.limit(0), path, "x-2", "key", "place", buckets=8)
+    assert log.appended(spark, path, df.schema).count() == 41
+
+
+def test_first_seen(spark, tmp_path):
+    from quillspark.streaming import log
+
+    df = spark.createDataFrame([(k % 5, f"2024-01-01 0{k % 9}:00:00") for k in range(30)], "key long, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+    df.write.parquet(str(tmp_path / "in"))
+    out = log.drained(log.first_seen(log.event_stream(spark, str(tmp_path / "in"), df.schema, "part"), "key", "ts"), spark, "t_first", "append")
+    assert sorted(r.key for r in out.collect()) == [0, 1, 2, 3, 4]
