@@ -1,6 +1,7 @@
 """Secret scans: candidate strings by pattern, false positives removed by a random forest.
 
-Candidates are values assigned to a name that speaks of a secret, and long runs of key characters. The forest (MLlib's,
+Candidates are values of a name that speaks of a secret (in quotes to the closing one, of any length), passwords in addresses
+and options, blocks of private keys, and long runs of key characters; they are found in time linear in the text. The forest (MLlib's,
 fitted to labelled findings that are drawn from rules with a fixed seed, then broadcast) judges each by its length,
 character transitions, dictionary coverage, likeness to a path, and the words beside it. One pass without a shuffle finds,
 scores and masks the secrets of each whole text.
@@ -27,16 +28,23 @@ from quillspark.llm.trees import exported, forest_score
 
 MASK = "[SECRET]"
 _KEY = r"token|secret|passwd|password|passphrase|pwd|api[_-]?key|apikey|access[_-]?key|private[_-]?key|auth|bearer|credential|signature|key"
-_KEYED = re.compile(rf"(?i:{_KEY})[\w-]{{0,30}}[\"']?[^\S\n]*(:=|=>|=|:|[^\S\n])[^\S\n]*[\"']?([^\s\"'<>,;()]{{8,}})")
+#: A name, and what stands between it and its value; possessive, so that blanks are read once.
+_NAME = re.compile(rf"(?i:{_KEY})[\w-]{{0,30}}+[\"']?([^\S\n]*+)(:=|=>|==?|:)?+[^\S\n]*+")
+_BARE = re.compile(r"[^\s\"'<>,;()]*+")
+_QUOTED = {q: re.compile(rf"((?:[^\n\\{q}]++|\\.)*+){q}") for q in "\"'"}
+#: User and password before a host, and as an option of a command.
+_USERS = re.compile(r"://[^\s/:@\"'<>]*+:([^\s/@\"'<>]++)@|(?<!\S)(?:-u|--user)[=\s][^\S\n]*+[\"']?[^\s:\"']++:([^\s\"']++)")
+_WORD = re.compile(rf"(?i:{_KEY})")
 _LONG = re.compile(r"[A-Za-z0-9+/_=.\-]{20,}")
 # To the END line, or without one before the next BEGIN, headers and what follows them up to a hyphen.
 _PEM = re.compile(
-    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
-    r"(?:(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z ]{0,40}PRIVATE KEY-----|(?:\s*+(?:Proc-Type|DEK-Info)[^\S\n]*+:[^\n]*+)*+[^-]*+)"
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+    r"(?:(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?-----|(?:\s*+(?:Proc-Type|DEK-Info)[^\S\n]*+:[^\n]*+)*+[^-]*+)"
 )
 #: Prefixes by which public services mark their keys.
 _MARKED = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_\w{20,}|xox[abprs]-|sk[-_](?:live|test|proj)?|AIza|eyJ[\w-]+\.|glpat-|npm_|pypi-|SG\.")
 _SECRET_WORDS = re.compile(rf"(?i)(?:{_KEY})[\w-]*[\"']?\s*(?::=|=>|=|:)?\s*[\"']?$")
+_PASSWORD_WORDS = re.compile(r"(?i)(?:pass(?:wd|word|phrase)?|pwd|secret|://[^\s/:@]*|-u\s+\S+|--user[=\s]+\S+)[\w-]*[\"']?\s*(?::=|=>|=|:)?\s*[\"']?$")
 _BENIGN = r"sha-?\d*|md5|checksum|digest|hash|commit|revision|rev|uuid|guid|etag|build|version|path|file|dir|url|href|src|id|isbn|doi|license"
 _BENIGN_WORDS = re.compile(rf"(?i)(?:{_BENIGN})[\w-]*[\"']?\s*(?::=|=>|=|:)?\s*[\"']?$")
 #: Up to such a word, what follows a value: a closing quote, a bracket or comment sign, "is the".
@@ -46,21 +54,36 @@ _HOLDER = re.compile(r"(?i)x{4,}|\*{3,}|your|example|changeme|placeholder|dummy|
 #: A dictionary of words that paths and identifiers are made of.
 DICTIONARY = frozenset("about access account action admin after api app application archive article assets auth author back base before begin between book bucket build cache call change check class client cloud code color column common company config connect console contact content context control copy core count create current data date default delete demo description design detail dev directory display doc docs document domain down download edit element email enable end engine entry error event example export file final first folder font form format function game general get global group handler header help history home host html http image images import index info input install item java json key language last layout level library license link list local location login main manager master media member menu message method model module month more name network news node number object open option order output package page param parent part password path people photo place player plugin policy post print private process product profile project public query question read record reference release report request resource response result return root sample save script search secret section security select server service session set setting share site size source start state static status storage string style support system table target team template test text theme time title token tool topic type update upload url user util value version video view web week window with word work world write year".split())
 _PIECES = re.compile(r"[A-Z]?[a-z]{3,}|[A-Z]{3,}")
-FEATURES = ("length", "transitions", "entropy", "digits", "upper", "vowels", "dictionary", "slashes", "dots", "separators", "hex", "marked", "secret_word", "benign_word", "secret_after", "benign_after", "placeholder", "uuid", "repeats")
+FEATURES = ("length", "transitions", "entropy", "digits", "upper", "vowels", "dictionary", "slashes", "dots", "separators", "hex", "marked", "secret_word", "benign_word", "secret_after", "benign_after", "placeholder", "uuid", "repeats", "blanks", "password_word")
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
     """Start and end of each candidate in a text, disjoint and in order; where two overlap the one that starts first, then the longer."""
     spans = [m.span() for m in _PEM.finditer(text)]
-    for m in _KEYED.finditer(text):
-        a = m.start(2)
-        value = m[2].rstrip(".!?#$%&*|")
+    spans += [m.span(m.lastindex) for m in _USERS.finditer(text)]
+    at = 0
+    while m := _NAME.search(text, at):
+        at = a = m.end()
+        if not (m[1] or m[2]) or a == len(text):
+            continue
+        quoted = _QUOTED[text[a]].match(text, a + 1) if text[a] in _QUOTED else None
+        if quoted:
+            a, b = quoted.span(1)
+        else:
+            a += text[a] in _QUOTED
+            b = _BARE.match(text, a).end()
+        value = text[a:b] if quoted else text[a:b].rstrip(".!?#$%&*|")
         # After a mere blank, a value without a digit is the next word of a sentence.
-        if len(value) >= 8 and (not m[1].isspace() or any(c.isdigit() for c in value)):
-            spans.append((a, a + len(value)))
+        if m[2] or any(c.isdigit() for c in value):
+            # "authorization: bearer x": the value is a name itself.
+            at = a if _WORD.fullmatch(value) else b
+            if value.strip() and at == b:
+                spans.append((a, a + len(value)))
     for m in _LONG.finditer(text):
         value = m[0].strip(".-=/")
-        if len(value) >= 20 and any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
+        digits, letters = any(c.isdigit() for c in value), any(c.isalpha() for c in value)
+        mixed = len(value) >= 32 and not value.islower() and not value.isupper() or len(value) >= 40 and value.isalpha()
+        if len(value) >= 20 and letters and (digits or mixed):
             a = text.index(value, m.start())
             # An assignment without blanks is a name, a sign and a value.
             name, sign, rest = value.partition("=")
@@ -87,6 +110,7 @@ def features(text: str, a: int, b: int) -> list[float]:
         value.count("/") / n, value.count(".") / n, sum(value.count(c) for c in "-_") / n, float(all(c in "0123456789abcdefABCDEF" for c in value)),
         float(bool(_MARKED.match(value) or value.startswith("-----BEGIN"))), float(bool(_SECRET_WORDS.search(before))), float(bool(_BENIGN_WORDS.search(before))), float(bool(_SECRET_AFTER.match(after))), float(bool(_BENIGN_AFTER.match(after))), float(bool(_HOLDER.search(value))),
         float(bool(re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", value))), max(counts.values()) / n,
+        value.count(" ") / n, float(bool(_PASSWORD_WORDS.search(before))),
     ]
 
 
@@ -147,6 +171,25 @@ def labelled_findings(rows: int = 1500, seed: int = 7) -> list[tuple[str, str, i
         else:
             value = r.choice((digitless, plain, secret)[k % 4])()
             out.append(("" if value.startswith("-----") else r.choice(names) + r.choice(signs), value, int(k % 4 != 1)))
+    # What is short, quoted, in an address or in a run of letters; half of it harmless.
+    quote, private = [' = "', '="', ": '", "='"], ["password", "passwd", "PASSWORD", "db_password", "passphrase", "pwd", "secret"]
+    said = lambda n: " ".join(r.choice((coined(), r.choice(words))) for _ in range(n))
+    short = [
+        lambda: (r.choice(private) + r.choice(signs), r.choice((coined(), r.choice(words))) + pick(dig, r.randrange(1, 4))), lambda: (r.choice(private) + r.choice(signs), pick(low + up + dig, r.randrange(5, 9))),
+        lambda: (r.choice(private) + r.choice(quote), said(r.randrange(1, 4)) + " " + pick(low + dig, r.randrange(1, 4)) + " " + said(r.randrange(1, 4))), lambda: (r.choice(private) + r.choice(quote), pick(low + up + dig + "<>,;()!", r.randrange(10, 24))),
+        lambda: (r.choice(["postgres", "https", "mysql", "redis"]) + "://" + coined() + ":", pick(low + up + dig, r.randrange(8, 20))), lambda: (r.choice(["curl -u ", "--user ", "--user="]) + coined() + ":", pick(low + up + dig, r.randrange(8, 20))),
+        lambda: (r.choice(private) + r.choice(signs), "".join(r.choice((coined(), r.choice(words))).title() for _ in range(3))), lambda: (r.choice(["", "use ", said(2) + " "]), pick(low + up, r.randrange(32, 64))),
+        lambda: ("", f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: x\n\n{pick(low + up + dig, 64)}\n=ab1Z\n-----END PGP PRIVATE KEY BLOCK-----"),
+    ]
+    idle = [
+        lambda: (r.choice(names) + r.choice([": ", "=", " ", " = "]), pick(dig, r.randrange(1, 6))), lambda: (r.choice(names) + r.choice(signs), r.choice(words)), lambda: (r.choice(names) + r.choice([": ", "="]), coined()),
+        lambda: (r.choice(["key", "token", "signature", "auth", "key_name"]) + r.choice(quote), said(r.randrange(2, 6))), lambda: (r.choice(["key", "token", "signature", "credential"]) + r.choice(quote), said(2) + " " + pick(dig, r.randrange(1, 4)) + " " + said(2)),
+        lambda: (r.choice(private) + r.choice([": ", ' = "']), said(r.randrange(1, 5))), lambda: (r.choice(["", "see ", said(2) + " "]), r.choice(["", "com", "org"]) + "".join(r.choice(words).title() for _ in range(r.randrange(5, 9)))),
+        lambda: (r.choice(["", "see "]), r.choice("._-/").join(r.choice(words) for _ in range(r.randrange(6, 10)))), lambda: (r.choice(["", said(2) + " "]), r.choice((pick("ab", 1), r.choice("xz-="))) * r.randrange(40, 60)),
+        lambda: (r.choice(["key ", "token ", "the key "]), r.choice(words) + pick(dig, r.randrange(1, 3))),
+    ]
+    for k in range(rows):
+        out.append((*r.choice((short, idle)[k % 2])(), 1 - k % 2))
     return out
 
 
