@@ -1,5 +1,7 @@
 """Vectors, pages, conversations, the registry and the pipeline."""
 
+import time
+
 import duckdb
 import numpy as np
 import pandas as pd
@@ -147,6 +149,64 @@ def test_dropped_elements_end_with_their_containers():
     assert said(f"<p>One</p><script>if (a < b) '</div>'{two}") == ["One"]
 
 
+def test_articles_are_whole_and_comments_go(spark):
+    """Readers' comments, articles themselves or not, go; lists, short last blocks and linked items of an article stay."""
+    words = "plain words of the article " * 6
+    pages = {
+        f"<article><p>{words}</p><article class='comment'><p>I think that this is very good</p></article><div class='user-review'><p>Five stars of five from me</p></div><p>The end.</p></article>": f"{words}The end.",
+        f"<article class='post has-comments'><p>{words}</p><section itemprop='comment'><p>Well said by all of you</p></section></article>": words.strip(),
+        f"<article><p>{words}</p><ul><li>One entry of it</li><li>x</li></ul></article>": f"{words}One entry of it x",
+        f"<article><p>{words}</p><ul><li><a href=a>First linked entry</a></li><li><a href=b>Second linked entry</a></li></ul><p>More of it.</p></article>": f"{words}First linked entry Second linked entry More of it.",
+        f"<div>{words}</div><div>The second of these three paragraphs.</div><div>Third one short.</div>": f"{words}The second of these three paragraphs. Third one short.",
+        f"<div>{words}</div><div>{words}</div><div>&copy; 2024 Example Press</div>": f"{words}{words}".strip(),
+        "<div id='content'>Hi.</div>": "Hi.", f"<main><h1>T</h1><div>{words}</div><p>End</p></main><div>Made in a small town</div>": f"T {words}End",
+        f"<nav><li><a href=a>Home</a></nav><div class='post-content'><blockquote>{words}</blockquote><table><tr><td>1</td><td><a href=q>two</a></td></tr></table></div><div class='comments'><article><p>{words}</p></article></div>": f"{words}1 two",
+    }
+    got = html_text.main_text(spark.createDataFrame(list(enumerate(pages)), "page_id long, html string")).orderBy("page_id").collect()
+    assert [r.text for r in got] == list(pages.values())
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "</section>" * 100_000, "<div>" * 100_000 + "<button>" + "</x>" * 100_000, "<svg>" + "<g>" * 100_000 + "</p>" * 100_000, "<div><b>" * 100_000 + "<button>" + "</i>" * 100_000, "<div><b>" * 50_000 + "</b>" * 50_000 + "</div>" * 50_000])
+def test_deep_pages_take_linear_time(page):
+    began = time.process_time()
+    html_text.blocks(page)
+    assert time.process_time() - began < 8
+
+
+def test_pages_as_a_plain_parser_reads_them(spark, small):
+    """The standard library's parser on the whole table: what an article holds outside of scripts and styles, block by block."""
+    from html.parser import HTMLParser
+
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.deep, self.off, self.blocks = 0, 0, [""]
+
+        def handle_starttag(self, tag, attrs):
+            self.deep += tag == "article"
+            self.off += tag in ("script", "style")
+            if tag not in ("a", "b", "i", "em", "strong", "span"):
+                self.blocks.append("")
+
+        def handle_endtag(self, tag):
+            self.deep -= tag == "article"
+            self.off -= tag in ("script", "style")
+            if tag not in ("a", "b", "i", "em", "strong", "span"):
+                self.blocks.append("")
+
+        def handle_data(self, data):
+            if self.deep and not self.off:
+                self.blocks[-1] += data
+
+    rows = {r.page_id: r.html for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
+    got = {r.page_id: r.text for r in queries.op7_html(spark, small).collect()}
+    assert got.keys() == rows.keys() and rows
+    for page_id, page in rows.items():
+        plain = Plain()
+        plain.feed(page)
+        assert got[page_id] == " ".join(" ".join(b.split()) for b in plain.blocks if b.strip())
+
+
 def test_long_attributes_stay_out_of_the_text():
     said = lambda html: [b[0] for b in html_text.blocks(html)]
     value = "a > b " * 2000
@@ -183,7 +243,7 @@ def test_native_operators_run_no_python(spark, small):
 
 
 def test_registry(spark, small):
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     out = queries.QUERIES["op1_srs"](spark, small)
     assert out.columns[:4] == ["query_id", "rank", "vec_id", "score"] and out.count() == 500
 
