@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.operators.order import with_index
+from quillspark.operators.skew import lookup
 
 
 def first_successful(df: DataFrame, key: str, failed: Column, seq: str) -> DataFrame:
@@ -28,16 +29,14 @@ def ledger(df: DataFrame, key: str, failed: Column, seq: str, keep_all: bool = F
     kept: a key's first row; replaced_failed_duplicate: the first success after only failures; skipped_duplicate: any other;
     with ``keep_all`` every later row is included_duplicate. Rows without a key are kept.
     """
-    # Rows without a key need no window, and would all meet in one task.
     alone = df.where(F.col(key).isNull()).withColumns({"action": F.lit("kept"), "kept_seq": F.lit(None).cast(df.schema[seq].dataType)})
-    df = df.where(F.col(key).isNotNull())
-    before = Window.partitionBy(key).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
-    ok = F.when(~F.col("_failed"), F.col(seq))
-    out = df.withColumn("_failed", failed).withColumns({"_first": F.min(seq).over(before), "_ok": F.min(ok).over(before)})
-    later = F.when(F.lit(keep_all), "included_duplicate").when(F.col("_ok").isNull() & ~F.col("_failed"), "replaced_failed_duplicate").otherwise("skipped_duplicate")
-    out = out.withColumn("action", F.when(F.col("_first").isNotNull(), later).otherwise("kept"))
-    kept = F.col("_first") if keep_all else F.coalesce("_ok", "_first")
-    return out.withColumn("kept_seq", kept).drop("_failed", "_first", "_ok").unionByName(alone)
+    rows = df.where(F.col(key).isNotNull()).withColumn("_failed", failed)
+    # What came before a row follows from its key's first row and first success, so no key's rows are gathered.
+    firsts = rows.groupBy(key).agg(F.min(seq).alias("_first"), F.min(F.when(~F.col("_failed"), F.col(seq))).alias("_ok"), F.count(F.lit(1)).alias("_n"))
+    first, ok = (F.when(F.col(c) < F.col(seq), F.col(c)) for c in ("_first", "_ok"))
+    later = F.when(F.lit(keep_all), "included_duplicate").when(ok.isNull() & ~F.col("_failed"), "replaced_failed_duplicate").otherwise("skipped_duplicate")
+    out = lookup(rows, firsts, [key], size="_n").withColumns({"action": F.when(first.isNotNull(), later).otherwise("kept"), "kept_seq": first if keep_all else F.coalesce(ok, first)})
+    return out.select(*alone.columns).unionByName(alone)
 
 
 def combine_counts(df: DataFrame, key: str, failed: Column, seq: str) -> DataFrame:
@@ -59,8 +58,8 @@ def duplicate_audit(df: DataFrame, key: str, order: str) -> DataFrame:
     Keys that are null are no duplicates.
     """
     placed = with_index(df.select(key, order), order, key).withColumn("index", F.col("index") + 1)
-    kept = placed.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("index").alias("kept_index"))
-    return placed.join(kept, key).where("index > kept_index").select(key, order, "kept_index", F.col("index").alias("skipped_index"))
+    kept = placed.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("index").alias("kept_index"), F.count(F.lit(1)).alias("_n"))
+    return lookup(placed.where(F.col(key).isNotNull()), kept, [key], size="_n").where("index > kept_index").select(key, order, "kept_index", F.col("index").alias("skipped_index"))
 
 
 def first_reason(df: DataFrame, key: str, reason: str, seq: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.operators.aggregates import value_counts
+from quillspark.operators.order import with_index
+from quillspark.operators.skew import lookup
 
 
 def error_summary(errors: DataFrame, reason: str, item: str, order: str, examples: int = 5) -> DataFrame:
@@ -66,10 +68,15 @@ def newest_events(events: DataFrame, job: str, wanted: str | int, order: str, li
 
 
 def versions(records: DataFrame, job: str, version: str) -> DataFrame:
-    """``records`` with place: 1 for a job's newest version, and so on."""
-    from pyspark.sql import Window
+    """``records`` with place: 1 for a job's newest version, and so on, a null version last; a null job is a job too.
 
-    return records.withColumn("place", F.row_number().over(Window.partitionBy(job).orderBy(F.desc(version))).cast("long"))
+    Rows are numbered in one global order, and a job's places counted back from its last, so no job's rows meet in one task.
+    """
+    held = with_index(records, job, version, name="_number")
+    last = held.groupBy(job).agg(F.max("_number").alias("_last"), F.count(F.lit(1)).alias("_n"))
+    known = lookup(held.where(F.col(job).isNotNull()), last, [job], size="_n")
+    none = held.where(F.col(job).isNull()).join(F.broadcast(last.where(F.col(job).isNull()).drop(job)), F.lit(True))
+    return known.unionByName(none).withColumn("place", (F.col("_last") - F.col("_number") + 1).cast("long")).select(*records.columns, "place")
 
 
 def by_run(records: DataFrame, run: str, legacy: str, order: str) -> DataFrame:
