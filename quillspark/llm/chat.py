@@ -31,15 +31,18 @@ def _hashed(conversations: DataFrame) -> DataFrame:
 
 
 def prefixes(hashed: DataFrame) -> DataFrame:
-    """conv_id, turn, a, b: the hash of each conversation up to and with each of its turns."""
+    """conv_id, turn, a, b, whole: the hash of each conversation up to and with each of its turns; whole at the last of them."""
     block = F.floor(F.col("turn") / BLOCK)
     held = hashed.withColumn("block", block)
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = held.groupBy("conv_id", "block").agg(F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
-    blocks = blocks.select("conv_id", "block", *(F.coalesce(F.bit_xor(c).over(before), F.lit(0)).alias(f"{c}0") for c in "ab"))
+    blocks = held.groupBy("conv_id", "block").agg(F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"), F.max("turn").alias("top"))
+    # The last turn of the last block; so no conversation's turns need to meet its length in one task.
+    top = F.when(F.isnull(F.lead("block").over(Window.partitionBy("conv_id").orderBy("block"))), F.col("top"))
+    blocks = blocks.select("conv_id", "block", top.alias("top"), *(F.coalesce(F.bit_xor(c).over(before), F.lit(0)).alias(f"{c}0") for c in "ab"))
     upto = Window.partitionBy("conv_id", "block").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
     rolled = held.select("conv_id", "block", "turn", *(F.bit_xor(c).over(upto).alias(c) for c in "ab"))
-    return rolled.join(blocks, ["conv_id", "block"]).select("conv_id", "turn", *(F.col(c).bitwiseXOR(F.col(f"{c}0")).alias(c) for c in "ab"))
+    whole = F.coalesce(F.col("turn") == F.col("top"), F.lit(False)).alias("whole")
+    return rolled.join(blocks, ["conv_id", "block"]).select("conv_id", "turn", *(F.col(c).bitwiseXOR(F.col(f"{c}0")).alias(c) for c in "ab"), whole)
 
 
 def maximal(conversations: DataFrame) -> DataFrame:
@@ -48,8 +51,7 @@ def maximal(conversations: DataFrame) -> DataFrame:
     whole = hashed.groupBy("conv_id").agg(F.max("turn").alias("turn"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
     alone = whole.groupBy("turn", "a", "b").agg(F.min("conv_id").alias("conv_id"))
     # What is shorter than its conversation is a proper prefix; equal prefixes of many conversations meet as one row.
-    rolled = prefixes(hashed).join(whole.select("conv_id", F.col("turn").alias("last")), "conv_id")
-    proper = rolled.where(F.col("turn") < F.col("last")).select("turn", "a", "b").distinct()
+    proper = prefixes(hashed).where("not whole").select("turn", "a", "b").distinct()
     return alone.join(proper, ["turn", "a", "b"], "left_anti").select("conv_id")
 
 
@@ -58,7 +60,8 @@ def chat_format(conversations: DataFrame) -> DataFrame:
 
     Turns are rendered by turn number (nulls first), ties by role, then text; repeated rows once. A null role is rendered as
     ``user``, a null text as empty, and ``<|`` within role or text is broken up, so that no text can pose as markup. Rows
-    without a conv_id are left out; an empty table gives an empty one; further columns are ignored.
+    without a conv_id are left out; an empty table gives an empty one; further columns are ignored. Different rows of one turn
+    number, or of none, stay together in one rendered row, however many they are.
     """
     conversations = conversations.select("conv_id", "turn", "role", "text")
     kept = conversations.join(maximal(conversations), "conv_id", "left_semi")

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import forget, fresh, mapped, written
+from quillspark.operators.skew import lookup
 from quillspark.llm.fm_index import FMIndex, separated
 
 GRAM, HOT, SHARD_WORDS = 8, 400, 60_000
@@ -207,13 +208,13 @@ def _answers(texts: DataFrame, length: int, grams: list[int]) -> DataFrame:
     on; the last of ``grams`` is ``length``, and of whole windows no anchor is hot.
     """
     hot = written(texts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("anchor"), "hot") if grams else None
-    plain = texts.join(hot, "anchor", "left_anti") if hot else texts
+    plain = lookup(texts, hot, ["anchor"], "left_anti") if hot else texts
     words = plain.agg(F.sum(F.col("windows") + (length - 1))).first()[0] or 0
     out = _searched(plain.select("k1", "k2", "text", "least", F.xxhash64("anchor").alias("spread")), length, words)
     if hot is None or hot.isEmpty():
         return out
-    cut = written(_keyed(_cut_again(texts.join(hot, "anchor"), length, grams[0])), "cut")
-    pieces = written(cut.join(cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")), "anchor"), "pieces")
+    cut = written(_keyed(_cut_again(lookup(texts, hot, ["anchor"]), length, grams[0])), "cut")
+    pieces = written(lookup(cut, cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")), ["anchor"], size="n"), "pieces")
     forget(cut)
     # A piece whose anchor no other has is nowhere else: its windows' least doc_id is that of its text.
     alone = pieces.where("n = 1").select("s1", "s2", F.array(F.struct(F.col("at").alias("a"), (F.col("at") + F.col("windows")).alias("b"), "least")).alias("runs"))
@@ -231,7 +232,7 @@ def repeated(documents: DataFrame, length: int = 50) -> DataFrame:
     """
     segments = written(_cut(documents, length), "segments")
     twice = segments.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("anchor")
-    found = written(_keyed(_with_text(documents, segments.join(twice, "anchor"), length)), "found")
+    found = written(_keyed(_with_text(documents, lookup(segments, twice, ["anchor"]), length)), "found")
     forget(segments)
     texts = written(_distinct(found.withColumn("least", F.col("doc_id"))), "texts")
     answers = written(_answers(texts, length, [max(GRAM, length - SPARE), length]), "answers")
