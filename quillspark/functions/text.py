@@ -13,6 +13,12 @@ IDENTITY_COLUMNS = ["image_name", "file_name", "source_path", "gcs_object", "gcs
 TRANSIENT_MARKERS = ["503", "unavailable", "resource_exhausted", "rate limit", "429", "internal", "deadline", "timed out", "timeout", "connection reset", "connection error", "temporarily", "backend error"]
 #: What marks a message as a failure that no retry mends.
 FATAL_MARKERS = ["token limit", "quota", "permission", "unauthorized", "forbidden", "invalid api key", "invalid_api_key", "billing"]
+#: What models' names begin with, by provider.
+MODEL_STARTS = {
+    "gemini": ["gemini-", "models/gemini-", "publishers/google/models/gemini-"],
+    "anthropic": ["claude-", "anthropic/claude-"],
+    "openai": ["openai/", "models/gpt-", "gpt-", "o1", "o3", "o4", "o5"],
+}
 #: States of batch jobs that ended well, and that failed.
 SUCCESS_STATES = ["JOB_STATE_SUCCEEDED", "SUCCEEDED", "ENDED"]
 FAILURE_STATES = ["JOB_STATE_FAILED", "FAILED", "ERRORED", "JOB_STATE_PARTIALLY_SUCCEEDED", "PARTIALLY_SUCCEEDED", "JOB_STATE_CANCELLED", "JOB_STATE_CANCELED", "CANCELLED", "CANCELED", "EXPIRED", "JOB_STATE_EXPIRED"]
@@ -148,8 +154,15 @@ def location_of(batch: Column) -> Column:
 
 
 def provider_of(model: Column) -> Column:
-    m = F.lower(F.trim(model))
-    return F.when(m.startswith("claude"), "anthropic").when(m.rlike("^(gpt|o[0-9])"), "openai").when(m.startswith("gemini"), "google")
+    """The provider that a model's name tells, null if none."""
+    m = F.lower(stripped(model))
+    starts = lambda names: F.coalesce(m.rlike("^(" + "|".join(names) + ")"), F.lit(False))
+    return F.coalesce(*[F.when(starts(names), provider) for provider, names in MODEL_STARTS.items()])
+
+
+def provider_of_batch(name: Column) -> Column:
+    """The provider that a batch's name tells: one that numbers its batches, or one that names them as resources; else null."""
+    return F.when(name.startswith("msgbatch_"), "anthropic").when(name.startswith("projects/") | name.contains("/locations/") | name.startswith("batches/"), "gemini")
 
 
 def page_number(name: Column) -> Column:
@@ -184,7 +197,8 @@ def fatal(message: Column) -> Column:
 
 
 def backoff_seconds(attempt: Column, initial: float = 2.0, most: float = 30.0, jitter: Column | None = None) -> Column:
-    base = F.least(F.lit(initial) * F.pow(F.lit(2.0), attempt - 1), F.lit(most))
+    """Seconds to wait after an attempt, from 1: doubled each time up to ``most``; an attempt below 1 waits like the first."""
+    base = F.least(F.lit(initial) * F.pow(F.lit(2.0), F.greatest(attempt - 1, F.lit(0))), F.lit(max(initial, most)))
     return base + jitter if jitter is not None else base
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import failed_state, state, succeeded
+from quillspark.functions.text import chunk_label, failed_state, provider_of_batch, state, succeeded
 
 
 def state_rollup(chunks: DataFrame, job: str, status: str) -> DataFrame:
@@ -76,3 +76,44 @@ def cost_estimate(df: DataFrame, expected: str, rate: float) -> DataFrame:
 
 def retrieved_state(missing: Column) -> Column:
     return F.when(missing == 0, "retrieved_complete").otherwise("retrieved_partial")
+
+
+def run_providers(runs: DataFrame, batches: DataFrame, run: str, provider: str, name: str, fallback: str | None = None) -> DataFrame:
+    """run, provider, source, mixed: the provider of each run: its own, if known, else what all of its batches' names tell,
+    else ``fallback``. ``mixed`` are two batch names that tell unlike things (or one that tells none), where that decided.
+
+    One aggregate over the batches, which keeps a witness of each provider; runs without batches have their own or the fallback.
+    """
+    told = provider_of_batch(F.col(name))
+    per = batches.groupBy(run).agg(
+        F.min(told).alias("_least"), F.max(told).alias("_most"), F.count_if(told.isNull()).alias("_odd"),
+        F.min_by(name, told).alias("_a"), F.max_by(name, told).alias("_b"), F.min(F.when(told.isNull(), F.col(name))).alias("_c"),
+    )
+    own = F.lower(F.trim(F.col(provider)))
+    own = F.when(own.isin("gemini", "anthropic"), own)
+    agreed = (F.col("_least") == F.col("_most")) & (F.col("_odd") == 0)
+    held = runs.join(per, run, "left")
+    clash = F.when(own.isNull() & ~agreed, F.array_compact(F.array("_a", F.when(F.col("_odd") > 0, F.col("_c")).otherwise(F.col("_b")))))
+    source = F.when(own.isNotNull(), "record").when(agreed, "batches").when(F.lit(fallback).isNotNull(), "fallback")
+    return held.select(run, F.coalesce(own, F.when(agreed, F.col("_least")), F.lit(fallback)).alias("provider"), source.alias("source"), clash.alias("mixed"))
+
+
+def chunk_entries(chunks: DataFrame, job: str, index: str, **given: Column) -> DataFrame:
+    """job, and the fields of a chunk's record: its index, the job's number of chunks, its label, and ``given`` ones."""
+    totals = chunks.groupBy(job).agg(F.count(F.lit(1)).alias("total_chunks"))
+    held = chunks.join(totals, job)
+    return held.select(job, F.col(index).cast("long").alias("chunk_index"), "total_chunks", chunk_label(F.col(index), F.col("total_chunks")).alias("chunk_label"), *[c.alias(n) for n, c in given.items()])
+
+
+def job_records(entries: DataFrame, job: str) -> DataFrame:
+    """job, num_batches, request_count, request_bytes, batch_job_names: a job's record of its chunk entries, names in their order."""
+    names = F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "batch_job_name"))), lambda c: c["batch_job_name"])
+    return entries.groupBy(job).agg(F.count(F.lit(1)).alias("num_batches"), F.sum("request_count").alias("request_count"), F.sum("request_bytes").alias("request_bytes"), names.alias("batch_job_names"))
+
+
+def tasks(log: DataFrame, key: str, updated: str, limit: int) -> DataFrame:
+    """The last state of each task of a log of changes, created and started when it first was, newest first."""
+    rest = [c for c in log.columns if c not in (key, updated, "created_at", "started_at")]
+    first = lambda c: F.min_by(c, F.when(F.nullif(F.col(c), F.lit("")).isNotNull(), F.col(updated))).alias(c)
+    now = log.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.max_by(c, updated).alias(c) for c in rest], first("created_at"), first("started_at"), F.max(updated).alias(updated))
+    return now.orderBy(F.desc(updated), key).limit(max(1, limit))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import failed_state, identity, succeeded
+from quillspark.operators import nested
 from quillspark.operators.nested import flat_columns
 
 
@@ -35,6 +36,20 @@ def datapoints(rows: DataFrame, index: DataFrame, key: Column, name: str, fields
     return held.join(known, F.col("_key") == F.col("_name"), "left_semi").select(F.col("_key").alias("name"), "cell.field", "cell.value")
 
 
+def eligible_leaves(rows: DataFrame, key: str, value: str, paths: set[str]) -> DataFrame:
+    """key, path, value: of each row's VARIANT the leaves that may be validated: in the schema (``paths``, dotted), not null,
+    no array and no object; an empty text is one. Rows may have unlike leaves."""
+    leaves = nested.variant_leaves(rows, key, value, depth=max((p.count(".") + 1 for p in paths), default=1))
+    return leaves.where(F.col("path").isin(paths) & ~F.col("kind").rlike("^(VOID|ARRAY|OBJECT)")).select("key", "path", "value")
+
+
+def variant_datapoints(rows: DataFrame, key: str, value: str, index: DataFrame, name: str, paths: set[str]) -> DataFrame:
+    """name, field, value: the eligible leaves of the rows whose image is known. A row without identity has none."""
+    known = index.select(F.col(name).alias("key")).where("key IS NOT NULL").distinct()
+    held = rows.where(F.col(key).isNotNull()).join(known, F.col(key) == F.col("key"), "left_semi")
+    return eligible_leaves(held, key, value, paths).select(F.col("key").alias("name"), F.col("path").alias("field"), "value")
+
+
 def resolved_keys(results: DataFrame, mapping: DataFrame, custom: str = "custom_id", key: str = "key") -> DataFrame:
     """``results`` with their key; an id that the mapping lacks stands for itself.
 

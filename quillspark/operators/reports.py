@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.operators.aggregates import value_counts
+from quillspark.operators.aggregates import distributions, value_counts
 from quillspark.operators.order import with_index
+from quillspark.operators.scoring import metric_summary, run_summary
 from quillspark.operators.skew import lookup
 
 
@@ -62,6 +63,44 @@ def dashboard(datasets: DataFrame, validations: DataFrame, rows: str, updated: s
     return one.join(F.broadcast(labels))
 
 
+#: Counters of processing records, and the columns that they count.
+COUNTERS = {"status_counts": "status", "source_counts": "source", "failure_reasons": "failure_reason", "duplicate_actions": "duplicate_action"}
+
+
+def processing_counters(records: DataFrame, image: str = "image_name") -> DataFrame:
+    """section, name, n: all counters of processing records from one scan: each record's facts are unpivoted, so that they
+    are counted together; blank ones do not count. ``records`` and ``images`` (distinct names) are sections of one row."""
+    text = lambda c: F.when(F.trim(F.col(c).cast("string")) != "", F.col(c).cast("string"))
+    facts = F.array(F.struct(F.lit("records").alias("section"), F.lit("").alias("name")), *[F.struct(F.lit(s).alias("section"), text(c).alias("name")) for s, c in {**COUNTERS, "images": image}.items() if c in records.columns])
+    counts = records.select(F.explode(facts).alias("f")).where("f.name IS NOT NULL").groupBy("f.section", "f.name").agg(F.count(F.lit(1)).alias("n"))
+    one = F.col("section") == "images"
+    # A row an image is left of the images; they are counted by a second aggregate, which combines first.
+    return counts.groupBy("section", F.when(one, F.lit("")).otherwise(F.col("name")).alias("name")).agg(F.sum(F.when(one, 1).otherwise(F.col("n"))).alias("n"))
+
+
+def dashboard_bundle(datasets: DataFrame, validations: DataFrame, records: DataFrame, rows: str, updated: str, dataset: str) -> dict[str, DataFrame]:
+    """The parts of a dashboard: ``counts`` (section, name, n), ``measures`` (attempts and generation_seconds, where there are
+    such columns), ``runs`` and ``metrics`` of the validations, and ``latest``, the newest dataset.
+
+    Records are read once for all counters, validations once for labels, runs and metrics each.
+    """
+    one = datasets.agg(F.count(F.lit(1)).alias("dataset_count"), F.coalesce(F.sum(rows), F.lit(0)).cast("long").alias("dataset_rows"))
+    held = one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("section"), F.lit("").alias("name"), F.col(c).cast("long").alias("n")) for c in one.columns])).alias("s")).select("s.*")
+    labels = validations.groupBy(F.coalesce(F.lower("label"), F.lit("")).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    # Each label counts for itself, if it is not blank, and for the number of all.
+    both = F.array(F.struct(F.lit("validation_label_counts").alias("section"), F.col("name").alias("label")), F.struct(F.lit("validation_count").alias("section"), F.lit("").alias("label")))
+    labels = labels.select(F.explode(both).alias("s"), "n").where("s.section = 'validation_count' OR trim(s.label) <> ''").groupBy("s.section", F.col("s.label").alias("name")).agg(F.sum("n").alias("n"))
+    counts = held.unionByName(labels).unionByName(processing_counters(records))
+    measures = None
+    for c in ("attempts", "generation_seconds"):
+        if c in records.columns:
+            own = distributions(records.where(F.col(c).isNotNull()), c).drop("grp").withColumn("measure", F.lit(c))
+            measures = own if measures is None else measures.unionByName(own)
+    latest = datasets.orderBy(F.desc(updated), dataset).limit(1).select(dataset)
+    runs = run_summary(validations, "_validation_run", "label", "_validation_place", {"dataset_file": "dataset_file", "validator_id": "validator_id"})
+    return {"counts": counts, "measures": measures, "runs": runs, "metrics": metric_summary(validations, "label", "column_name"), "latest": latest}
+
+
 def newest_events(events: DataFrame, job: str, wanted: str | int, order: str, limit: int) -> DataFrame:
     """The last ``max(1, limit)`` events of one job, newest first."""
     return events.where(F.col(job) == wanted).orderBy(F.desc(order)).limit(max(1, limit))

@@ -134,6 +134,27 @@ def collected(records: DataFrame, line: str, order: list[str]) -> tuple[DataFram
     return valid.select("key", "_r.*"), per.join(valid.select("key"), "key", "left_anti").select("key", "reason", "n")
 
 
+def collect_stats(records: DataFrame, line: str, file: str) -> DataFrame:
+    """stat, n: the counts of a collection over all of its files, from one scan: output files and rows, valid candidates and
+    those of them that are not a key's first, rejected ones by reason, and keys: seen, valid, and only rejected.
+
+    Counts of 0 are there but for reasons that do not occur. Files without rows do not count.
+    """
+    held = record_columns(records.where(F.trim(line) != ""), line)
+    key = F.nullif(F.col("_key"), F.lit(""))
+    per = cut(held.groupBy(F.col(file).alias("file"), key.alias("key"), "reason").agg(F.count(F.lit(1)).alias("n")))
+    valid = F.col("reason") == "valid"
+    keys = per.where("key IS NOT NULL").groupBy("key").agg(F.bool_or(valid).alias("ok"), F.sum(F.when(valid, F.col("n")).otherwise(0)).alias("n"))
+    by_key = keys.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("valid_response_candidates"), F.coalesce(F.sum(F.when(F.col("ok"), F.col("n") - 1)), F.lit(0)).alias("duplicate_valid_candidates"),
+        F.count(F.lit(1)).alias("unique_observed_keys"), F.count_if("ok").alias("unique_valid_keys"), F.count_if(~F.col("ok")).alias("unique_rejected_only_keys"),
+    )
+    by_file = per.groupBy("file").agg(F.sum("n").alias("n")).agg(F.count(F.lit(1)).alias("output_files"), F.coalesce(F.sum("n"), F.lit(0)).alias("output_rows"))
+    long = lambda one: one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("stat"), F.col(c).cast("long").alias("n")) for c in one.columns])).alias("s")).select("s.*")
+    reasons = per.where(~valid).groupBy(F.concat(F.lit("rejected:"), F.col("reason")).alias("stat")).agg(F.sum("n").alias("n"))
+    return long(by_key).unionByName(long(by_file)).unionByName(reasons)
+
+
 def retrieved(parsed_rows: DataFrame, key: str, output: str, line: str, strategy: str = "first_successful") -> DataFrame:
     """``parsed_rows`` (valid answers) with file_key, status and duplicate_action under a duplicate strategy.
 

@@ -36,9 +36,12 @@ CATALOGUE = ["image_name", "patient.name", "File-Name", "total_tokens", "hospita
 
 
 def q11_schema_vs_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = spark.createDataFrame([(n,) for n in CATALOGUE], "path string")
+    """Each part is called by one of the catalogue's names, in another writing."""
+    k = F.col("p_partkey")
+    name = F.element_at(F.array(*map(F.lit, CATALOGUE)), (k % len(CATALOGUE) + 1).cast("int"))
+    names = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.repeat(F.lit(" "), (k % 3).cast("int")), name).alias("path"))
     kind = values.schema_field(F.col("path"), ["image_name", "file_name"], ["failed"], ["token", "seconds"])
-    return names.select("path", text.field_name(F.col("path")).alias("normalised"), text.leaf(text.field_name(F.col("path"))).alias("leaf"), kind.alias("kind"))
+    return names.select("p_partkey", "path", text.field_name(F.col("path")).alias("normalised"), text.leaf(text.field_name(F.col("path"))).alias("leaf"), kind.alias("kind"))
 
 
 def q17_first_failure_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,8 +94,8 @@ ORACLE_SQL = {
                row_number() OVER (ORDER BY round(populated / rows * 100, 4), column_name) AS rank FROM u
     """,
     "q11_schema_vs_metadata": f"""
-        WITH c AS (SELECT unnest([{", ".join(f"'{n}'" for n in CATALOGUE)}]) AS path),
-        n AS (SELECT path, regexp_replace(regexp_replace(lower(trim(path)), '[\\s_-]+', '_', 'g'), '^_+|_+$', '', 'g') AS normalised FROM c),
+        WITH c AS (SELECT p_partkey, repeat(' ', p_partkey % 3) || [{", ".join(f"'{n}'" for n in CATALOGUE)}][p_partkey % {len(CATALOGUE)} + 1] AS path FROM part),
+        n AS (SELECT p_partkey, path, regexp_replace(regexp_replace(lower(trim(path)), '[\\s_-]+', '_', 'g'), '^_+|_+$', '', 'g') AS normalised FROM c),
         l AS (SELECT *, regexp_extract(normalised, '[^.]*$') AS leaf FROM n)
         SELECT *, CASE WHEN normalised IN ('image_name', 'file_name') OR leaf IN ('image_name', 'file_name') THEN 'identifier'
                        WHEN normalised = 'failed' OR leaf = 'failed' OR contains(normalised, 'token') OR contains(normalised, 'seconds') THEN 'metadata' ELSE 'schema' END AS kind FROM l

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import csv
+import io
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillspark.functions.text import IDENTITY_COLUMNS, row_identity
+
 
 def json_lines(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """file, value (VARIANT): the objects of a JSONL dataset; blank, malformed and non-object lines are skipped."""
@@ -41,6 +47,24 @@ def preview(spark: SparkSession, path: str, limit: int, kind: str = "jsonl") ->
     return lines.where(F.col("value").isNotNull() & F.schema_of_variant("value").startswith("OBJECT"))
 
 
+def processing_records(spark: SparkSession, path: str) -> DataFrame:
+    """file, value: the objects of one manifest; none where there is no such file."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], "file string").select("file", F.try_parse_json("file").alias("value"))
+    return json_lines(spark, path)
+
+
+def image_coverage(spark: SparkSession, path: str) -> DataFrame:
+    """One row: row_count (non-blank lines, malformed ones too) and names (distinct identities) of a JSONL dataset, from one
+    scan: a row a name and one for what has none meet, and are counted."""
+    value = F.try_parse_json("value")
+    named = row_identity(*[F.try_variant_get("v", f"$.{c}", "string") for c in IDENTITY_COLUMNS])
+    lines = spark.read.text(path).where(F.trim("value") != "").select(value.alias("v")).select(named.alias("name"))
+    per = lines.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.count("name").alias("names"))
+
+
 def manifests(spark: SparkSession, root: str, name: str = "image_processing_manifest.jsonl") -> DataFrame:
     """manifest_path, value: the objects of all manifests below a folder; none where it has none."""
     read = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).format("text").schema("value string")
@@ -76,12 +100,73 @@ def delimited(spark: SparkSession, path: str, delimiter: str = "$") -> DataFrame
     return spark.read.csv(path, header=True, sep=delimiter, inferSchema=False, nullValue=None, emptyValue="", quote='"', escape='"', multiLine=True)
 
 
-def validations(spark: SparkSession, path: str) -> DataFrame:
-    """All ``*_validations.csv`` below a folder, with _validation_path, _validation_run and _validation_mtime; labels lower case."""
-    read = spark.read.csv(path, header=True, inferSchema=False, pathGlobFilter="*_validations.csv", recursiveFileLookup=True, enforceSchema=False, multiLine=True)
-    meta = F.col("_metadata.file_path")
-    out = read.select("*", meta.alias("_validation_path"), F.element_at(F.split(meta, "/"), -2).alias("_validation_run"), F.col("_metadata.file_modification_time").alias("_validation_mtime"))
-    return out.withColumn("label", F.coalesce(F.lower(F.col("label")), F.lit("nan")))
+CELLS = "path string, modified timestamp, place long, cells map<string,string>, error string"
+
+
+def headed_files(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+    """path, modified, place, cells, error: the records of all comma-separated files below a folder, each by its own header.
+
+    ``cells`` maps a file's column names, in its order, to texts; cells beyond the header are dropped, missing ones null.
+    ``place`` counts a file's records from 1. A file that cannot be read or decoded gives one row with its error and no
+    cells, after the records before it, and does not disturb the others. Quoted cells may hold line ends, so a file is read by
+    one task; files are at most 2 GB. Without files, or without the folder, there are no rows.
+    """
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], CELLS)
+
+    def of(batches):
+        for batch in batches:
+            for name, when, body in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                rows: list[tuple] = []
+                try:
+                    for place, cells in enumerate(csv.DictReader(io.StringIO(body.decode("utf-8-sig"), newline="")), 1):
+                        rows.append((name, when, place, [(k, v) for k, v in cells.items() if k is not None], None))
+                except (ValueError, csv.Error) as e:
+                    rows.append((name, when, None, None, f"{type(e).__name__}: {e}"))
+                for k in range(0, len(rows), 10_000):
+                    columns = list(zip(*rows[k : k + 10_000], strict=True))
+                    kinds = [pa.string(), pa.timestamp("us", "UTC"), pa.int64(), pa.map_(pa.string(), pa.string()), pa.string()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["path", "modified", "place", "cells", "error"])
+
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    return read.select("path", "modificationTime", "content").mapInArrow(of, CELLS)
+
+
+def headings(rows: DataFrame) -> list[str]:
+    """The names of all columns of ``headed_files``, in the order in which the files, by path, first have them."""
+    names = rows.select("path", F.posexplode(F.map_keys("cells")).alias("at", "name")).groupBy("name").agg(F.min(F.struct("path", "at")).alias("first"))
+    return [r["name"] for r in names.orderBy("first").collect()]  # a row a column
+
+
+def validations(spark: SparkSession, path: str, glob: str = "*_validations.csv") -> DataFrame:
+    """Decisions of all validation files below a folder: the union of their columns, as texts, then _validation_path, _run,
+    _mtime (seconds) and _place. Files that cannot be read are left out; a column that a file lacks is null there."""
+    rows = headed_files(spark, path, glob).where("error IS NULL")
+    run = F.element_at(F.split("path", "/"), -2)
+    meta = [F.col("path").alias("_validation_path"), run.alias("_validation_run"), F.unix_micros("modified").cast("double") / 1e6, F.col("place").alias("_validation_place")]
+    meta[2] = meta[2].cast("string").alias("_validation_mtime")
+    return rows.select(*[F.col("cells")[n].alias(n) for n in headings(rows)], *meta)
+
+
+def report_validations(spark: SparkSession, path: str, glob: str = "*_validations.csv") -> DataFrame:
+    """The same for reports: labels in lower case, blank ones ``nan``. No files, or none with column_name, raise."""
+    rows = validations(spark, path, glob)
+    if "column_name" not in rows.columns:
+        raise ValueError(f"no validations with a column_name below {path}")
+    label = F.col("label") if "label" in rows.columns else F.lit(None).cast("string")
+    return rows.withColumn("label", F.lower(F.coalesce(F.nullif(label, F.lit("")), F.lit("nan"))))
+
+
+def united(sources: dict[str, DataFrame]) -> DataFrame:
+    """The sources' rows with _source (a name) and _order (its place): all columns by name, in first-seen order, null where a
+    source lacks one. Columns of one name should be of one type."""
+    out = None
+    for order, (name, df) in enumerate(sources.items()):
+        held = df.withColumns({"_source": F.lit(name), "_order": F.lit(order)})
+        out = held if out is None else out.unionByName(held, allowMissingColumns=True)
+    rest = [c for c in out.columns if c not in ("_source", "_order")]
+    return out.select(*rest, "_source", "_order")
 
 
 def request_keys(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -113,7 +198,3 @@ def row_count(spark: SparkSession, path: str, kind: str) -> int:
     if kind == "jsonl":
         return spark.read.text(path).where(F.trim("value") != "").count()
     return delimited(spark, path).count() if kind == "csv" else 0
-
-
-def event_rows(lines: Column) -> Column:
-    return F.try_parse_json(lines)

@@ -86,3 +86,71 @@ def test_violations_are_found_once(spark):
     got = df.select(schema.violations(F.parse_json("t"), fields).alias("v"))
     assert [r.v for r in got.collect()] == [["a: out of range", "b.c: not allowed"], ["a: wrong type"], ["a: missing"], []]
     assert got._jdf.queryExecution().executedPlan().toString().count("parse_json") <= 2
+
+
+def test_files_with_unlike_headers(spark, tmp_path):
+    """Three headers, quoted line ends, a broken file, an empty one, and others beside them: each file by its own header."""
+    for run, body in (("r1", b'label,column_name\r\nAccept,"a,b"\r\nreject,"two\nlines"\r\n'), ("r2", "﻿label,image_name,column_name\nunsure,x.png,c,more\né,y\n".encode()), ("r3", b"label\n\xff\xfe\n"), ("r4", b"")):
+        (tmp_path / run).mkdir()
+        (tmp_path / run / f"{run}_validations.csv").write_bytes(body)
+    (tmp_path / "r1" / "other.csv").write_text("x\n1\n")
+    rows = files.headed_files(spark, str(tmp_path), "*_validations.csv").collect()
+    assert [r.error.split(":")[0] for r in rows if r.error] == ["UnicodeDecodeError"] and len(rows) == 5
+    got = files.validations(spark, str(tmp_path))
+    assert got.columns == ["label", "column_name", "image_name", "_validation_path", "_validation_run", "_validation_mtime", "_validation_place"]
+    assert {(r.label, r.column_name, r.image_name, r._validation_run, r._validation_place) for r in got.collect()} == {
+        ("Accept", "a,b", None, "r1", 1), ("reject", "two\nlines", None, "r1", 2), ("unsure", "c", "x.png", "r2", 1), ("é", None, "y", "r2", 2),
+    }
+    assert sorted(r.label for r in files.report_validations(spark, str(tmp_path)).collect()) == ["accept", "reject", "unsure", "é"]
+    assert files.validations(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(ValueError, match="column_name"):
+        files.report_validations(spark, str(tmp_path / "none"))
+
+
+def test_selections(spark):
+    import fnmatch
+
+    from quillspark.sources import selection
+
+    names = ["a.png", "p/a.png", "p/b_fp/c.PNG", "p/", "p/._a.png", "p/.png", "p/a.b.tiff", "p/x[1].png", "p/xy\nz.png", "px/a.png", None, "p/fp_fp.png"]
+    bases = spark.createDataFrame([(n,) for n in sorted({*[n.split("/")[-1] for n in names if n], "]", "x]", "b", "a", "[1"})], "b string")
+    for glob in ("*", "a*", "?", "[ab]*", "[!ab]*", "*.png", "x[[]1]*", "x[]]", "a.b*", "*[1", "[a-c].png", "[!a-c].png", "x\\d*", "**"):
+        for name, fits in bases.select("b", F.col("b").rlike(selection.glob_pattern(glob))).collect():
+            assert fits == fnmatch.fnmatchcase(name, glob), (glob, name)
+    assert [selection.prefix(x) for x in (None, " ", "/", "/a/b/ ", "a")] == ["", "", "", "a/b/", "a/"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = lambda **k: sorted(r.name for r in selection.selected(df, "name", **k).collect())
+    assert got(under="p") == ["p/.png", "p/a.b.tiff", "p/a.png", "p/b_fp/c.PNG", "p/fp_fp.png", "p/x[1].png", "p/xy\nz.png"]
+    assert got(under="p/", extensions={"png"}) == ["p/a.png", "p/b_fp/c.PNG", "p/fp_fp.png", "p/x[1].png", "p/xy\nz.png"] and got(under="p", glob="xy*") == ["p/xy\nz.png"]
+    assert [r.name for r in selection.inputs(df, "name", "p", "*.PNG", mode="only_fp").collect()] == ["p/b_fp/c.PNG"]
+    assert "p/b_fp/c.PNG" not in [r.name for r in selection.inputs(df, "name", "p", mode="exclude_fp").collect()] and len(selection.inputs(df, "name", "p", "*.png", recursive=False).collect()) == 6
+    with pytest.raises(Exception, match="no files matched"):
+        selection.inputs(df, "name", "p", "nothing*").collect()
+    with pytest.raises(ValueError, match="no mode"):
+        selection.inputs(df, "name", "p", mode="other")
+
+
+def test_united_sources_and_csv_previews(spark, tmp_path):
+    a, b = spark.createDataFrame([(1, "x")], "k int, a string"), spark.createDataFrame([("y", 2)], "b string, k int")
+    out = files.united({"first": a, "second": b})
+    assert out.columns == ["k", "a", "b", "_source", "_order"] and sorted(map(tuple, out.collect()), key=str) == [(1, "x", None, "first", 0), (2, None, "y", "second", 1)]
+    (tmp_path / "t.csv").write_text("a,b$c\n1,2\n3,4\n5,6\n")
+    assert [tuple(r) for r in files.preview(spark, str(tmp_path / "t.csv"), 2, "csv").collect()] == [("1", "2"), ("3", "4")]
+    assert files.row_count(spark, str(tmp_path / "t.csv"), "csv") == 3 and files.row_count(spark, str(tmp_path / "t.csv"), "other") == 0
+    (tmp_path / "m.csv").write_text("﻿name; SBID ;Year\nx;7;1900\ny;7;1901\nz;q;1902\nw;8;\n")
+    assert {tuple(r) for r in files.year_lookup(spark, str(tmp_path / "m.csv")).collect()} == {(7, 1901)}
+
+
+def test_moves_that_meet(spark):
+    from quillspark.operators import layout
+
+    folders = spark.createDataFrame([("submit_20240101_000000",), ("20240101_000000",), ("local",), ("notes",), ("retrieve_a",), (None,)], "name string")
+    plan = {r["from"]: (r["to"], r.reason) for r in layout.move_plan(folders, "name", spark.createDataFrame([("retrieves/a",)], "to string")).collect()}
+    assert plan == {"submit_20240101_000000": ("submits/20240101_000000", None), "20240101_000000": ("local/20240101_000000", None), "notes": (None, "unrecognised"), "retrieve_a": (None, "destination exists")}
+    moves = spark.createDataFrame([("20240101_000000", "local/20240101_000000")], "from string, to string")
+    refs = spark.createDataFrame([(1, "runs/20240101_000000/d"), (2, "runs/submit_20240101_000000/d"), (3, "20240101_000000"), (4, None), (5, "runs/20240101_000000/d")], "k int, p string")
+    got = {r.k: (r.p, r.fixed) for r in layout.rewritten(refs, "p", moves).collect()}
+    # Only a whole component is a folder's name.
+    assert got == {1: ("runs/local/20240101_000000/d", True), 2: ("runs/submit_20240101_000000/d", False), 3: ("20240101_000000", False), 4: (None, False), 5: ("runs/local/20240101_000000/d", True)}
+    known = layout.documented(spark.createDataFrame([("local", "20240102_030405_x", None, ""), ("other", "y", "z", None)], "folder string, name string, kind string, created string"), "name", "kind", "created")
+    assert {(r.kind, r.created) for r in known.collect()} == {("local", "2024-01-02T03:04:05"), ("z", "")}
