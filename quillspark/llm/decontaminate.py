@@ -5,7 +5,8 @@ term is a word's 64-bit hash, and a document's key 128 bits of hash of its id an
 window (``width`` consecutive benchmark words; a shorter item is one window) is looked up from its two rarest words: their
 lists, moved by the words' offsets in the item, are intersected, which leaves a few places (document, item, offset between
 the two). There the lists of all words around are intersected, and runs of ``width`` agreeing words are the exact matches.
-``proximity`` finds near matches on the same index.
+A window that several items have is looked for in one of them only, and the items come last: a template in thousands of
+benchmark items costs what it costs in one. ``proximity`` finds near matches on the same index.
 
 What is broadcast is counted first: vocabulary, rare words and documents with candidates are broadcast while they number at
 most ``BROADCAST_ROWS``; beyond that the whole vocabulary is indexed, and the others are joined.
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import forget, fresh, written
+from quillspark.operators.skew import lookup
 
 #: What stands between words whether A-Z are lower-cased or not: ASCII but letters and digits, one by one, which matches faster than ranges.
 GAP = "[" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
@@ -82,16 +84,28 @@ def index(documents: DataFrame, terms: DataFrame) -> DataFrame:
     return written(each.join(F.broadcast(vocabulary), "term", "left_semi").select(*DOC, "term", "position") if small else each, "postings")
 
 
-def rarest(words_of: DataFrame, postings: DataFrame) -> DataFrame:
+def distinct_windows(words_of: DataFrame) -> DataFrame:
+    """w1, w2, item, start, item_id, here: every window of every item, under 128 bits of hash of its words; ``here`` is true at
+    one item and start of each different window."""
+    texts = words_of.groupBy("item", "size").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "term"))), lambda w: w["term"]).alias("terms"), F.min("item_id").alias("item_id"))
+    starts = F.sequence(F.lit(0), F.size("terms") - F.col("size"))
+    each = texts.select("item", "item_id", F.explode(F.transform(starts, lambda s: F.struct(s.alias("start"), F.slice("terms", s + 1, F.col("size")).alias("w")))).alias("x"))
+    each = each.select("item", "item_id", "x.start", F.xxhash64("x.w").alias("w1"), F.xxhash64(F.size("x.w"), F.reverse("x.w")).alias("w2"))
+    first = each.groupBy("w1", "w2").agg(F.min(F.struct("item", "start")).alias("first"), F.count(F.lit(1)).alias("n"))
+    return lookup(each, first, ["w1", "w2"], size="n").select("w1", "w2", "item", "start", "item_id", (F.col("first") == F.struct("item", "start")).alias("here"))
+
+
+def rarest(words_of: DataFrame, postings: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """item_id, item, n, size, start, ats: each window that may match, with the places of its two rarest words, rarest first.
 
-    Rarity is the length of a word's list; ties go to the smaller term, then the smaller place. A window with a word that no
+    With ``only`` (item, start) just those windows are looked at. Rarity is the length of a word's list; ties go to the smaller term, then the smaller place. A window with a word that no
     document has cannot match and is left out.
     """
     lists = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     known = words_of.join(lists, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
     first = F.greatest(F.col("at") - F.col("size") + 1, F.lit(0))
     each = known.withColumn("start", F.explode(F.sequence(first, F.least(F.col("at"), F.col("n") - F.col("size")))))
+    each = each if only is None else each.join(_small(only), ["item", "start"], "left_semi")
     ranked = each.groupBy("item_id", "item", "n", "size", "start").agg(F.array_sort(F.collect_list(F.struct("df", "term", "at"))).alias("ranked"))
     # A word that comes twice has one list; the second is that of another word, where there is one.
     other = F.filter("ranked", lambda r: r["term"] != F.col("ranked")[0]["term"])
@@ -112,22 +126,29 @@ def candidates(postings: DataFrame, words_of: DataFrame, windows: DataFrame) ->
     return met.where((F.col("need") == 1) | (F.col("low") < F.col("high"))).drop("need")
 
 
-def matches(postings: DataFrame, benchmark: DataFrame, width: int = 13) -> DataFrame:
-    """k1, k2, item_id, first, size: each exact occurrence of a benchmark window, from ``first`` on in the document."""
+def matches(postings: DataFrame, benchmark: DataFrame, width: int = 13) -> tuple[DataFrame, DataFrame]:
+    """(k1, k2, w1, w2, first, size: each exact occurrence of a benchmark window, from ``first`` on in the document;
+    w1, w2, item_ids: the items of each window), both written."""
     # Some hundred words a benchmark item; read several times below.
     words_of = written(items(benchmark, width), "items")
-    windows = written(rarest(words_of, postings), "windows")
+    known = written(distinct_windows(words_of), "known")
+    windows = written(rarest(words_of, postings, known.where("here").select("item", "start")), "windows")
     found = written(candidates(postings, words_of, windows), "candidates")
     low, high = F.greatest(F.col("low") - F.col("size") + 1, F.lit(0)), F.least(F.col("high") + F.col("size") - 1, F.col("n") - 1)
-    lengths = words_of.select("item_id", "item", "n", "size").distinct()
-    asked = found.join(_small(lengths), "item").select(*DOC, "item_id", "item", "size", "shift", F.explode(F.sequence(low, high)).alias("at"))
+    lengths = words_of.select("item", "n", "size").distinct()
+    asked = found.join(_small(lengths), "item").select(*DOC, "item", "size", "shift", F.explode(F.sequence(low, high)).alias("at"))
     asked = asked.join(_small(words_of.select("item", "at", "term")), ["item", "at"]).withColumn("position", F.col("shift") + F.col("at"))
     # Only the lists of documents with candidates are intersected; the first key alone tells most of them.
     near = postings.join(_small(found.select("k1").distinct()), "k1", "left_semi")
-    agreed = near.join(asked, [*DOC, "term", "position"]).groupBy(*DOC, "item_id", "item", "size", "shift").agg(F.array_sort(F.collect_set("at")).alias("ats"))
+    agreed = near.join(asked, [*DOC, "term", "position"]).groupBy(*DOC, "item", "size", "shift").agg(F.array_sort(F.collect_set("at")).alias("ats"))
     # A run of as many words as a window has begins wherever the word that many places on is that much further.
     whole = F.filter("ats", lambda at, k: F.get("ats", k + F.col("size") - 1) == at + F.col("size") - 1)
-    return agreed.select(*DOC, "item_id", "size", "shift", F.explode(whole).alias("at")).select(*DOC, "item_id", (F.col("shift") + F.col("at")).alias("first"), "size")
+    runs = agreed.select(*DOC, "item", "size", "shift", F.explode(whole).alias("start"))
+    hits = runs.join(_small(known.select("item", "start", "w1", "w2")), ["item", "start"]).select(*DOC, "w1", "w2", (F.col("shift") + F.col("start")).alias("first"), "size").distinct()
+    hits, owners = written(hits, "matches"), written(known.groupBy("w1", "w2").agg(F.collect_set(F.col("item_id").cast("string")).alias("item_ids")), "owners")
+    for df in (words_of, known, windows, found):
+        forget(df)
+    return hits, owners
 
 
 def proximity(documents: DataFrame, benchmark: DataFrame, width: int = 13, within: int = 12) -> DataFrame:
@@ -158,11 +179,15 @@ def proximity(documents: DataFrame, benchmark: DataFrame, width: int = 13, withi
 
 def _judged(postings: DataFrame, benchmark: DataFrame, width: int, share: int) -> DataFrame:
     """k1, k2, n_words, n_hit, hit_items, contaminated of the documents with matches."""
-    hits = written(matches(postings, benchmark, width).distinct(), "matches")
+    hits, owners = matches(postings, benchmark, width)
     places = hits.select(*DOC, F.explode(F.sequence(F.col("first"), F.col("first") + F.col("size") - 1)).alias("place")).distinct()
     n_hit = places.groupBy(*DOC).agg(F.count(F.lit(1)).alias("n_hit"))
-    by_item = hits.groupBy(*DOC).agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("hit_items"))
-    met = n_hit.join(by_item, DOC)
+    # Documents with the same windows have the same items: they are put together once for each such set of windows.
+    sets = hits.groupBy(*DOC).agg(F.array_sort(F.collect_set(F.struct("w1", "w2"))).alias("ws")).withColumns({"s1": F.xxhash64("ws"), "s2": F.xxhash64(F.reverse("ws"))})
+    sets = written(sets, "sets")
+    each = sets.groupBy("s1", "s2").agg(F.first("ws").alias("ws")).select("s1", "s2", F.explode("ws").alias("w")).select("s1", "s2", "w.*")
+    by_set = each.join(_small(owners), ["w1", "w2"]).select("s1", "s2", F.explode("item_ids").alias("item_id")).groupBy("s1", "s2").agg(F.array_sort(F.collect_set("item_id")).alias("hit_items"))
+    met = n_hit.join(sets.select(*DOC, "s1", "s2").join(_small(by_set), ["s1", "s2"]).drop("s1", "s2"), DOC)
     lengths = postings.where(F.col("term") == F.xxhash64(F.lit(END))).groupBy(*DOC).agg(F.max("position").cast("long").alias("n_words"))
     return lengths.join(met, DOC, "left").withColumn("contaminated", F.coalesce(F.col("n_hit") * share >= F.col("n_words"), F.lit(False)))
 
@@ -179,7 +204,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = 13, s
     kept = [c for c in documents.columns if c.lower() not in names]
     postings = index(documents, items(benchmark, width))
     inner = fresh(documents, "_k1", "_k2", "_n_words", "_n_hit", "_hit_items", "_contaminated")
-    judged = _judged(postings, benchmark, width, share).select(*DOC, "n_words", "n_hit", "hit_items", "contaminated").toDF(*inner)
+    judged = written(_judged(postings, benchmark, width, share).select(*DOC, "n_words", "n_hit", "hit_items", "contaminated").toDF(*inner), "judged")
+    forget(postings)
     k1, k2, n_words, n_hit, hit_items, contaminated = inner
     held = documents.withColumns(dict(zip(inner[:2], doc_key(documents), strict=True))).select(*[F.col(f"`{c}`") for c in kept], k1, k2)
     found = F.coalesce(hit_items, F.array().cast("array<string>"))

@@ -418,3 +418,21 @@ def test_labelled_findings_are_told_apart(spark):
     from quillspark.llm.trees import forest_score
 
     assert ((forest_score(forest, x) >= 0.5) == [y == 1 for _, _, y in fresh]).mean() >= 0.97
+
+
+def test_a_template_of_many_items_is_looked_for_once(spark):
+    """A passage that all items have: what the index is asked does not grow with their number, and all of them are found."""
+    template = " ".join(f"t{k}" for k in range(20))
+    rows = [(k, f"{template} x{k} y{k}" if k % 2 else f"only {template}") for k in range(40)] + [(100, "t1 t2 t3 nothing of it"), (101, None)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    asked, found = [], []
+    for n in (10, 600):
+        benchmark = spark.createDataFrame([(k, " ".join([f"a{k}b{j}" for j in range(15)] + [template] + [f"c{k}d{j}" for j in range(15)])) for k in range(n)], "item_id long, text string")
+        words_of = decontaminate.items(benchmark, 13).cache()
+        postings = decontaminate.index(documents, words_of)
+        only = decontaminate.distinct_windows(words_of).where("here").select("item", "start")
+        asked.append(decontaminate.candidates(postings, words_of, decontaminate.rarest(words_of, postings, only)).count())
+        found.append({(r.doc_id, r.n_hit, r.n_items) for r in decontaminate.contamination(documents, benchmark).where("n_hit > 0").collect()})
+    # All windows of the template itself are one item's, whatever the number of items.
+    assert asked[0] == asked[1] <= 2 * 40
+    assert found == [{(k, 20, n) for k in range(40)} for n in (10, 600)]
