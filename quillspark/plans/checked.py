@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions import schema
-from quillspark.operators import aggregates, jobs
+from quillspark.operators import aggregates, jobs, walks
 from quillspark.sources.tables import table
 
 
@@ -45,6 +45,11 @@ def q74_tuned_workers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.select("user_id", F.array_join(schema.tuned_workers(F.col("rates"), 8, 4, 1, 24, ratio=1.0), ",").alias("workers"))
 
 
+def q124_worker_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, a row an event: users with any number of rates, whose steps are composed chunk by chunk."""
+    return walks.tuned(table(spark, sf_dir, "events"), "user_id", "event_id", "value", 8, 4, 1, 24, ratio=1.0)
+
+
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") % 200).alias("job"), F.col("l_linenumber").alias("chunk")).agg(F.count(F.lit(1)).alias("requests"), F.max("l_returnflag").alias("flag"))
 
@@ -72,7 +77,7 @@ def q78_status_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("status", "changed").agg(F.count(F.lit(1)).alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (q70_integer_stats, q71_distinct_prefixes, q72_ordered_distinct, q73_schema_validation, q74_tuned_workers, q75_request_totals, q76_state_counts, q77_linked_chunks, q78_status_update)}
+QUERIES = {f.__name__: f for f in (q70_integer_stats, q71_distinct_prefixes, q72_ordered_distinct, q73_schema_validation, q74_tuned_workers, q124_worker_steps, q75_request_totals, q76_state_counts, q77_linked_chunks, q78_status_update)}
 
 _CHUNKS = "c AS (SELECT l_orderkey % 200 AS job, l_linenumber AS chunk, count(*) AS requests FROM lineitem GROUP BY 1, 2)"
 ORACLE_SQL = {
@@ -91,6 +96,12 @@ ORACLE_SQL = {
               UNION ALL SELECT e.user_id, e.i, e.value, greatest(1, least(24, w.workers + CASE WHEN e.value >= w.value THEN 4 ELSE -4 END)) FROM w JOIN e ON e.user_id = w.user_id AND e.i = w.i + 1)
         SELECT user_id, string_agg(CAST(workers AS VARCHAR), ',' ORDER BY i) AS workers FROM w GROUP BY 1
     """,
+    "q124_worker_steps": """
+        WITH RECURSIVE e AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events),
+        w AS (SELECT user_id, event_id, i, value, 12 AS workers FROM e WHERE i = 1
+              UNION ALL SELECT e.user_id, e.event_id, e.i, e.value, greatest(1, least(24, w.workers + CASE WHEN e.value >= w.value THEN 4 ELSE -4 END)) FROM w JOIN e ON e.user_id = w.user_id AND e.i = w.i + 1)
+        SELECT user_id, event_id, value, workers FROM w
+    """,
     "q75_request_totals": f"""
         WITH {_CHUNKS}, s AS (SELECT job, sum(requests) AS n FROM c WHERE chunk <= 5 GROUP BY 1)
         SELECT h.job, CAST(CASE WHEN h.job % 4 = 0 THEN h.job + 1000 ELSE n END AS BIGINT) AS total FROM (SELECT unnest(range(0, 220)) AS job) h LEFT JOIN s USING (job)

@@ -358,3 +358,24 @@ def test_first_seen(spark, tmp_path):
     df.write.parquet(str(tmp_path / "in"))
     out = log.drained(log.first_seen(log.event_stream(spark, str(tmp_path / "in"), df.schema, "part"), "key", "ts"), spark, "t_first", "append")
     assert sorted(r.key for r in out.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_walks_in_chunks(spark):
+    """Users of 1 to 700 rates, in chunks of 4 and of 256, against a plain loop."""
+    import random
+
+    from quillspark.operators import walks
+
+    r = random.Random(2)
+    rows = [(u, k, None if r.random() < 0.05 else round(r.uniform(1, 9), 2)) for u, n in ((1, 1), (2, 700), (None, 30), (4, 5), (5, 4)) for k in range(n)]
+    want = {}
+    for u in {u for u, _, _ in rows}:
+        workers, last = 8, None
+        for _, k, rate in sorted(x for x in rows if x[0] == u):
+            move = 4 if last is None or (rate is not None and rate >= last * 1.05) else -4 if rate is not None and rate * 1.05 < last else 0
+            workers, last = max(1, min(24, workers + move)), rate
+            want[u, k] = workers
+    df = spark.createDataFrame(rows, "u long, k long, rate double").repartition(3)
+    for chunk in (4, 256):
+        assert {(x.u, x.k): x.workers for x in walks.tuned(df, "u", "k", "rate", 8, 4, 1, 24, chunk=chunk).collect()} == want
+    assert walks.tuned(df.limit(0), "u", "k", "rate", 8, 4, 1, 24).count() == 0
