@@ -68,4 +68,5 @@ def tuned(df: DataFrame, user: str, order: str, rate: str, start: int, step: int
     move = F.when(last.isNull() | (now >= last * ratio), step).when(now * ratio < last, -step).otherwise(0)
     begin = F.lit(max(least, min(most, start + step)))
     steps = rows.select("_i", F.when(first, 0).otherwise(move).alias("a"), F.when(first, begin).otherwise(least).alias("lo"), F.when(first, begin).otherwise(most).alias("hi"))
-    return held.join(walked(steps, "_i", chunk), "_i").select(user, order, rate, F.col("value").cast("int").alias("workers"))
+    workers = walked(steps, "_i", chunk).select("_i", F.col("value").cast("int").alias("_workers"))
+    return held.join(workers, "_i").select(user, order, rate, F.col("_workers").alias("workers"))
