@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.plans import answers, checked, coverage, duplicates, identities, linked, records, reported, stored, streams, summaries, validation
+from quillspark.plans import answers, checked, coverage, duplicates, identities, linked, records, reported, scanned, stored, streams, summaries, validation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-for _module in (coverage, summaries, identities, duplicates, validation, records, linked, checked, reported, streams, answers, stored):
+for _module in (coverage, summaries, identities, duplicates, validation, records, linked, checked, reported, streams, answers, stored, scanned):
     QUERIES.update(_module.QUERIES)
     ORACLE_SQL.update(_module.ORACLE_SQL)
