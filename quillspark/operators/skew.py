@@ -9,27 +9,25 @@ from pyspark.sql import functions as F
 
 #: A key counts as hot from this share of all rows on, so there are at most as many hot keys as its inverse.
 SHARE = 1 / 1000
-#: Keys with fewer rows than this are never hot: a task of so many rows is no burden.
-FEWEST = 5_000
 
 
 def any_null(on: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.isnull(c) for c in on])
 
 
-def hot_keys(rows: DataFrame, on: list[str], share: float = SHARE, fewest: int = FEWEST) -> DataFrame:
-    """The keys that hold more than ``share`` of all rows and more than ``fewest``: at most 1 / ``share`` of them, so that
-    they may be broadcast. Rows with a null key count in the total, but null is no key."""
-    return _many(rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n_of_key")), on, share, fewest)
+def hot_keys(rows: DataFrame, on: list[str], share: float = SHARE) -> DataFrame:
+    """The keys that hold more than ``share`` of all rows, at any size of the table: at most 1 / ``share`` of them, so that they
+    may be broadcast. Rows with a null key count in the total, but null is no key."""
+    return _many(rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n_of_key")), on, share)
 
 
-def _many(counts: DataFrame, on: list[str], share: float, fewest: int) -> DataFrame:
+def _many(counts: DataFrame, on: list[str], share: float) -> DataFrame:
     total = counts.agg(F.sum("_n_of_key").alias("_n_of_all"))
-    many = F.col("_n_of_key") > F.greatest(F.lit(fewest), F.col("_n_of_all") * share)
+    many = F.col("_n_of_key") > F.col("_n_of_all") * share
     return counts.where(~any_null(on)).crossJoin(F.broadcast(total)).where(many).select(*on)
 
 
-def lookup(rows: DataFrame, dimension: DataFrame, on: list[str], how: str = "inner", share: float = SHARE, fewest: int = FEWEST, size: str | None = None) -> DataFrame:
+def lookup(rows: DataFrame, dimension: DataFrame, on: list[str], how: str = "inner", share: float = SHARE, size: str | None = None) -> DataFrame:
     """``rows`` joined with ``dimension``, which has at most one row for a key, without a task that gets a whole hot key.
 
     Hot keys are counted first, with an aggregate that combines before the shuffle; where ``dimension`` is an aggregate of
@@ -38,7 +36,7 @@ def lookup(rows: DataFrame, dimension: DataFrame, on: list[str], how: str = "inn
     nothing, are not shuffled at all. ``how`` is inner, left, left_semi or left_anti. ``rows`` is read several times: give a table
     that is cheap to read again. Repeated rows stay; an empty side gives what the join gives. Columns are those of the join.
     """
-    hot = _many(dimension.select(*on, F.col(size).alias("_n_of_key")), on, share, fewest) if size else hot_keys(rows, on, share, fewest)
+    hot = _many(dimension.select(*on, F.col(size).alias("_n_of_key")), on, share) if size else hot_keys(rows, on, share)
     own = dimension.join(F.broadcast(hot), on, "left_semi")
     known = rows.where(~any_null(on))
     out = known.join(F.broadcast(hot), on, "left_anti").join(dimension, on, how)
