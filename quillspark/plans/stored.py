@@ -65,7 +65,7 @@ def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = _runs(spark, sf_dir)
     there = runs.where("c_custkey % 7 = 0").select(layout.destination(F.col("name")).alias("to"))
-    return layout.move_plan(runs.unionByName(runs.limit(0)), "name", there)
+    return layout.move_plan(runs, "name", there)
 
 
 def q110_move_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,8 +77,8 @@ def q111_rewritten_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = _runs(spark, sf_dir).withColumnRenamed("c_custkey", "o_custkey")
     refs = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").join(runs, "o_custkey")
     refs = refs.select("o_orderkey", F.concat(F.lit("runs/"), "name", F.lit("/data/"), F.when(F.col("o_orderkey") % 9 == 0, F.col("name")).otherwise("d.jsonl")).alias("dataset_path"))
-    out = layout.rewritten(refs.unionByName(refs.limit(1).select(F.lit(-1).cast("long").alias("o_orderkey"), F.lit(None).cast("string").alias("dataset_path"))), "dataset_path", _plan(spark, sf_dir))
-    return out.select("o_orderkey", "dataset_path", "fixed")
+    none = spark.range(-1, 0).select(F.col("id").alias("o_orderkey"), F.lit(None).cast("string").alias("dataset_path"))
+    return layout.rewritten(refs.unionByName(none), "dataset_path", _plan(spark, sf_dir)).select("o_orderkey", "dataset_path", "fixed")
 
 
 def q112_newest_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,9 +139,9 @@ def q118_dashboard_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q119_variant_datapoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with unlike leaves: of the schema's the scalars that are not null, an empty text too; arrays and others are none."""
     k = F.col("s_suppkey")
-    record = F.when(k % 3 == 0, F.struct(F.struct(F.col("s_name").alias("name"), F.lit("").alias("note"), F.array(k).alias("ids")).alias("patient"), F.lit(True).alias("failed")).cast("string")).otherwise(F.lit(None))
-    record = F.when(k % 3 == 0, F.to_json(F.struct(F.struct(F.col("s_name").alias("name"), F.lit("").alias("note"), F.array(k).alias("ids")).alias("patient"), F.lit("m").alias("model")))).when(
-        k % 3 == 1, F.to_json(F.struct(F.struct(F.struct(F.col("s_nationkey").alias("id")).alias("age"), F.lit(None).cast("string").alias("note")).alias("patient"), k.alias("ward")), {"ignoreNullFields": "false"})).otherwise('{"patient":"x","ward":[1]}')
+    one = F.to_json(F.struct(F.struct(F.col("s_name").alias("name"), F.lit("").alias("note"), F.array(k).alias("ids")).alias("patient"), F.lit("m").alias("model")))
+    two = F.to_json(F.struct(F.struct(F.struct(F.col("s_nationkey").alias("id")).alias("age"), F.lit(None).cast("string").alias("note")).alias("patient"), k.alias("ward")), {"ignoreNullFields": "false"})
+    record = F.when(k % 3 == 0, one).when(k % 3 == 1, two).otherwise('{"patient":"x","ward":[1]}')
     rows = table(spark, sf_dir, "supplier").select(F.concat(k.cast("string"), F.lit(".png")).alias("image"), F.parse_json(record).alias("v"))
     index = table(spark, sf_dir, "part").select(F.concat((F.col("p_partkey") * 2).cast("string"), F.lit(".png")).alias("name"))
     return links.variant_datapoints(rows, "image", "v", index, "name", {"patient.name", "patient.note", "patient.ids", "patient.age.id", "ward"})
