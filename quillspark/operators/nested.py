@@ -23,7 +23,10 @@ def page_lines(df: DataFrame, column: str = "page_lines") -> DataFrame:
 
 
 def gathered(df: DataFrame, key: str, order: str, fields: list[str], name: str = "items") -> DataFrame:
-    """The inverse: a row a key with its rows as an array of structs in ``order``."""
+    """The inverse: a row a key with its rows as an array of structs in ``order``.
+
+    A key's rows become one value, so they must fit into a task: for pages and conversations, not for keys without bound.
+    """
     return df.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct(order, *[f for f in fields if f != order]))), lambda s: s).alias(name))
 
 

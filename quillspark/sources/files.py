@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import IDENTITY_COLUMNS, row_identity
+from quillspark.sources.tables import exists
 
 
 def json_lines(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
@@ -49,8 +50,7 @@ def preview(spark: SparkSession, path: str, limit: int, kind: str = "jsonl") ->
 
 def processing_records(spark: SparkSession, path: str) -> DataFrame:
     """file, value: the objects of one manifest; none where there is no such file."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+    if not exists(spark, path):
         return spark.createDataFrame([], "file string").select("file", F.try_parse_json("file").alias("value"))
     return json_lines(spark, path)
 
@@ -111,8 +111,7 @@ def headed_files(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFra
     cells, after the records before it, and does not disturb the others. Quoted cells may hold line ends, so a file is read by
     one task; files are at most 2 GB. Without files, or without the folder, there are no rows.
     """
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+    if not exists(spark, path):
         return spark.createDataFrame([], CELLS)
 
     def of(batches):

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.operators.nested import flattened
+from quillspark.sources.tables import exists
 
 
 def append_json_lines(df: DataFrame, path: str) -> None:
@@ -18,12 +19,7 @@ def append_json_lines(df: DataFrame, path: str) -> None:
 def append_delimited(df: DataFrame, spark: SparkSession, path: str, delimiter: str = "$") -> None:
     """Nested columns flattened with dots, appended in the column order of what is there: others dropped, absent ones empty."""
     flat = flattened(df)
-    try:
-        there = spark.read.csv(path, header=True, sep=delimiter).columns
-    except Exception as e:  # no dataset yet
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        there = flat.columns
+    there = spark.read.csv(path, header=True, sep=delimiter).columns if exists(spark, path) else flat.columns
     aligned = flat.select(*[F.col(f"`{c}`") if c in flat.columns else F.lit(None).cast("string").alias(c) for c in there])
     aligned.write.mode("append").csv(path, header=True, sep=delimiter)
 

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillspark.sources.tables import exists
+
 
 def event_stream(spark: SparkSession, folder: str, schema, name: str, per_trigger: int | None = None) -> DataFrame:
     """A Parquet table of a folder as a stream of files; ``name`` is the table's file or folder.
@@ -89,8 +91,7 @@ def append_new(batch: DataFrame, path: str, batch_id: str, key: str, order: str,
     rows = batch.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*batch.columns), order).alias("_row")).select("_row.*").withColumn("_bucket", _bucket(key, buckets))
     touched = [r["_bucket"] for r in rows.select("_bucket").distinct().collect()]  # at most ``buckets``
     ledger = T.StructType().add(batch.schema[key]).add("_bucket", T.IntegerType()).add("_batch", T.StringType())
-    there = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_keys")
-    if there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
+    if exists(spark, f"{path}/_keys"):
         known = spark.read.schema(ledger).parquet(f"{path}/_keys").where(F.col("_bucket").isin(touched) & (F.col("_batch") != batch_id)).select(key, "_bucket")
     else:
         known = spark.createDataFrame([], ledger).select(key, "_bucket")
