@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,12 +75,24 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, rows: i
     return each.orderBy(F.xxhash64("doc_id"), "doc_id", "_hash").limit(rows).select("doc_id", "text", "label")
 
 
+#: Rows of which a task holds texts as Python values at once.
+SLICE = 512
+
+
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``SLICE`` at most, without a copy: what is made of a batch is small then, however large
+    the batches are that Spark sends."""
+    for batch in batches:
+        yield from (batch.slice(k, SLICE) for k in range(0, batch.num_rows, SLICE))
+
+
 def mapped(df: DataFrame, of, schema: T.StructType) -> DataFrame:
-    """``df.mapInArrow(of, schema)`` for columns of any names; the batches' columns are told by their places."""
+    """``df.mapInArrow(of, schema)`` for columns of any names; the batches' columns are told by their places, and hold at most
+    ``SLICE`` rows."""
     inside = [f"c{k}" for k in range(len(schema))]
 
     def renamed(batches):
-        for batch in of(batches):
+        for batch in of(slices(batches)):
             yield pa.RecordBatch.from_arrays(batch.columns, names=inside)
 
     out = T.StructType([T.StructField(n, f.dataType) for n, f in zip(inside, schema.fields, strict=True)])

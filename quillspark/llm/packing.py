@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import written
+from quillspark.llm.common import slices, written
 
 #: Entries of a worker's memory of encoded words; emptied when full (about 150 MB).
 REMEMBERED = 500_000
@@ -78,7 +78,7 @@ def tokenised(documents: DataFrame, tokenizer_path: str, length: int, end_id: in
         encode = word_encoder(tokenizer_path)
         end = np.array([end_id], dtype="<u4").tobytes()
         at = 0
-        for batch in batches:
+        for batch in slices(batches):
             n, crcs = [], []
             for text in batch.column("text").to_pylist():
                 ids = encode(text or "") + end
