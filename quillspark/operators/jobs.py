@@ -80,7 +80,8 @@ def retrieved_state(missing: Column) -> Column:
 
 def run_providers(runs: DataFrame, batches: DataFrame, run: str, provider: str, name: str, fallback: str | None = None) -> DataFrame:
     """run, provider, source, mixed: the provider of each run: its own, if known, else what all of its batches' names tell,
-    else ``fallback``. ``mixed`` are two batch names that tell unlike things (or one that tells none), where that decided.
+    else ``fallback``. ``mixed`` are two batch names that tell unlike things (or one that tells none), where that decided; of
+    a run without record and batches it is empty.
 
     One aggregate over the batches, which keeps a witness of each provider; runs without batches have their own or the fallback.
     """
@@ -91,7 +92,7 @@ def run_providers(runs: DataFrame, batches: DataFrame, run: str, provider: str,
     )
     own = F.lower(F.trim(F.col(provider)))
     own = F.when(own.isin("gemini", "anthropic"), own)
-    agreed = (F.col("_least") == F.col("_most")) & (F.col("_odd") == 0)
+    agreed = F.coalesce((F.col("_least") == F.col("_most")) & (F.col("_odd") == 0), F.lit(False))
     held = runs.join(per, run, "left")
     clash = F.when(own.isNull() & ~agreed, F.array_compact(F.array("_a", F.when(F.col("_odd") > 0, F.col("_c")).otherwise(F.col("_b")))))
     source = F.when(own.isNotNull(), "record").when(agreed, "batches").when(F.lit(fallback).isNotNull(), "fallback")

@@ -145,6 +145,15 @@ def test_jobs(spark):
     assert {(r.job, r.state) for r in jobs.state_rollup(errors, "job", "s").collect()} == {("j", ""), ("k", "failed")}
 
 
+def test_a_run_without_batches_has_an_empty_clash(spark):
+    runs = spark.createDataFrame([(1, None), (2, None), (3, "gemini"), (4, None)], "run int, provider string")
+    batches = spark.createDataFrame([(2, "msgbatch_a"), (2, "batches/b"), (4, "odd")], "run int, name string")
+    got = {r.run: r.mixed for r in jobs.run_providers(runs, batches, "run", "provider", "name").collect()}
+    assert got == {1: [], 2: ["msgbatch_a", "batches/b"], 3: None, 4: ["odd"]}
+    told = jobs.run_providers(runs, batches, "run", "provider", "name", "anthropic").where("run = 1").first()
+    assert (told.provider, told.source, told.mixed) == ("anthropic", "fallback", [])
+
+
 def test_sampling(spark):
     state = spark.createDataFrame([("patient.name", 50, 10, 10), ("fk_info", 50, 0, 0)], "field string, size int, selected int, scored int")
     assert sampling.ucb_scores(state).orderBy(F.desc("score")).first().field == "fk_info"
