@@ -39,8 +39,10 @@ def lookup(rows: DataFrame, dimension: DataFrame, on: list[str], how: str = "inn
     hot = _many(dimension.select(*on, F.col(size).alias("_n_of_key")), on, share) if size else hot_keys(rows, on, share)
     own = dimension.join(F.broadcast(hot), on, "left_semi")
     known = rows.where(~any_null(on))
-    out = known.join(F.broadcast(hot), on, "left_anti").join(dimension, on, how)
-    out = out.unionByName(known.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(own), on, how))
+    # Marked rather than parted by semi- and anti-joins: each marking gives all rows, whatever share of them is hot.
+    marked = known.join(F.broadcast(hot.withColumn("_is_hot", F.lit(True))), on, "left")
+    out = marked.where("_is_hot IS NULL").drop("_is_hot").join(dimension, on, how)
+    out = out.unionByName(marked.where("_is_hot").drop("_is_hot").join(F.broadcast(own), on, how))
     if how in ("left", "left_anti"):
         out = out.unionByName(rows.where(any_null(on)), allowMissingColumns=True)
     return out

@@ -291,6 +291,18 @@ def test_joins_with_a_hot_key(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_parting_hot_keys_drops_no_rows_in_a_join(spark):
+    """What the joins before the lookup give does not depend on the share of hot keys: no anti-join parts the rows."""
+    from quillspark.operators import skew
+
+    rows = spark.range(0, 6000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    dimension = spark.range(0, 4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
+    for how in ("inner", "left", "left_semi"):
+        joined = skew.lookup(rows, dimension, ["k"], how)
+        assert "LeftAnti" not in joined._jdf.queryExecution().optimizedPlan().toString()
+        assert joined.count() == rows.join(dimension, "k", how).count()
+
+
 def test_confidence_of_fields(spark):
     import json
     import math
