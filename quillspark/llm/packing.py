@@ -8,6 +8,7 @@ piece fits into in logarithmic time.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections.abc import Callable
@@ -28,15 +29,21 @@ REMEMBERED = 500_000
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ž]*)([!-&(-/:-@\[-`{-~]*)", re.ASCII)
 
 
+@functools.cache
+def _tokenizer(path: str):
+    """The tokenizer of a file, loaded once a worker: a load a task would leave some MB behind each time."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 def word_encoder(path: str) -> Callable[[str], bytes]:
     """A function from a text to its ids as little-endian unsigned 32-bit integers, for word-end BPE tokenizers.
 
     Such a tokenizer never joins over white space, so words are encoded one by one and remembered. Plain words go straight
     to the model; any other goes through the whole tokenizer, which knows added tokens ('<|endoftext|>') in a text.
     """
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer = _tokenizer(path)
     model = tokenizer.model
     # Byte-level alphabets show printable bytes as themselves and the others from U+0100 on.
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]

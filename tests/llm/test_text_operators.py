@@ -436,3 +436,23 @@ def test_a_template_of_many_items_is_looked_for_once(spark):
     # All windows of the template itself are one item's, whatever the number of items.
     assert asked[0] == asked[1] <= 2 * 40
     assert found == [{(k, 20, n) for k in range(40)} for n in (10, 600)]
+
+
+def test_a_worker_loads_its_tokenizer_once(monkeypatch):
+    """Each load leaves some MB behind, so tasks that run in one worker share what the first has loaded."""
+    import tokenizers
+
+    from quillspark.llm.queries import tokenizer_path
+
+    loads, load = [], tokenizers.Tokenizer.from_file
+
+    class Counted:
+        @staticmethod
+        def from_file(path):
+            loads.append(path)
+            return load(path)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    packing._tokenizer.cache_clear()
+    assert packing.word_encoder(tokenizer_path())("one two") == packing.word_encoder(tokenizer_path())("one two") != b""
+    assert len(loads) == 1
