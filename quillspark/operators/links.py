@@ -11,6 +11,9 @@ from quillspark.functions.text import failed_state, identity, succeeded
 from quillspark.operators import nested
 from quillspark.operators.nested import flat_columns
 
+#: Rows that a task of a join by run sorts, about.
+TASK_ROWS = 500_000
+
 
 def unique_map(objects: DataFrame, ref: str) -> DataFrame:
     """name, object: the object of each base name; a name of several objects fails the job, naming one."""
@@ -81,9 +84,14 @@ def poll_candidates(jobs: DataFrame, status: str) -> DataFrame:
 
 
 def visible(datasets: DataFrame, run: str, kind: str) -> DataFrame:
-    """Datasets without those of runs that have a ``current`` one, which alone is shown."""
-    current = datasets.where(F.col(kind) == "current").select(F.col(run).alias("_run")).distinct()
-    return datasets.join(current, (F.col(run) == F.col("_run")) & (F.col(kind) != "current"), "left_anti")
+    """Datasets without those of runs that have a ``current`` one, which alone is shown.
+
+    Rows are counted first and dealt by run to tasks of about ``TASK_ROWS``, since partitions that are merged by their bytes,
+    compressed, would give a task more rows to sort the larger the table is. ``datasets`` is read three times.
+    """
+    tasks = max(1, -(-datasets.count() // TASK_ROWS))
+    current = datasets.where(F.col(kind) == "current").select(F.col(run).alias("_run")).repartition(tasks, "_run").distinct()
+    return datasets.repartition(tasks, run).join(current, (F.col(run) == F.col("_run")) & (F.col(kind) != "current"), "left_anti")
 
 
 def model_search(models: DataFrame, query: str, *columns: str, limit: int = 50) -> DataFrame:

@@ -303,6 +303,21 @@ def test_parting_hot_keys_drops_no_rows_in_a_join(spark):
         assert joined.count() == rows.join(dimension, "k", how).count()
 
 
+def test_visible_datasets_are_dealt_by_their_number(spark, monkeypatch):
+    from quillspark.operators import links
+
+    monkeypatch.setattr(links, "TASK_ROWS", 100)
+    sets = spark.range(0, 1000).select((F.col("id") % 300).alias("run"), F.when(F.col("id") < 100, "current").otherwise("old").alias("kind"), "id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = links.visible(sets, "run", "kind")
+        assert out.rdd.getNumPartitions() == 10
+        assert sorted(r.id for r in out.collect()) == [k for k in range(1000) if k < 100 or k % 300 >= 100]
+        assert links.visible(sets.limit(0), "run", "kind").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_confidence_of_fields(spark):
     import json
     import math
