@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
+from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -100,6 +103,18 @@ def delimited(spark: SparkSession, path: str, delimiter: str = "$") -> DataFrame
     return spark.read.csv(path, header=True, sep=delimiter, inferSchema=False, nullValue=None, emptyValue="", quote='"', escape='"', multiLine=True)
 
 
+def _records(body: pa.Buffer) -> Iterator[dict]:
+    """The records of a comma-separated file, read as they are asked for; bytes that are no UTF-8 raise before the first."""
+    decoder, view = codecs.getincrementaldecoder("utf-8-sig")(), memoryview(body)
+    try:
+        for at in range(0, len(view), 1 << 20):
+            decoder.decode(view[at : at + (1 << 20)])
+        decoder.decode(b"", True)
+    except UnicodeDecodeError:
+        body.to_pybytes().decode("utf-8-sig")  # tells the place in the file
+    yield from csv.DictReader(io.TextIOWrapper(pa.BufferReader(body), "utf-8-sig", newline=""))
+
+
 CELLS = "path string, modified timestamp, place long, cells map<string,string>, error string"
 
 
@@ -114,18 +129,22 @@ def headed_files(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFra
     if not exists(spark, path):
         return spark.createDataFrame([], CELLS)
 
+    kinds = [pa.string(), pa.timestamp("us", "UTC"), pa.int64(), pa.map_(pa.string(), pa.string()), pa.string()]
+
+    def rows(name: str, when, body: pa.Buffer) -> Iterator[tuple]:
+        try:
+            for place, cells in enumerate(_records(body), 1):
+                yield name, when, place, [(k, v) for k, v in cells.items() if k is not None], None
+        except (ValueError, csv.Error) as e:
+            yield name, when, None, None, f"{type(e).__name__}: {e}"
+
     def of(batches):
         for batch in batches:
-            for name, when, body in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                rows: list[tuple] = []
-                try:
-                    for place, cells in enumerate(csv.DictReader(io.StringIO(body.decode("utf-8-sig"), newline="")), 1):
-                        rows.append((name, when, place, [(k, v) for k, v in cells.items() if k is not None], None))
-                except (ValueError, csv.Error) as e:
-                    rows.append((name, when, None, None, f"{type(e).__name__}: {e}"))
-                for k in range(0, len(rows), 10_000):
-                    columns = list(zip(*rows[k : k + 10_000], strict=True))
-                    kinds = [pa.string(), pa.timestamp("us", "UTC"), pa.int64(), pa.map_(pa.string(), pa.string()), pa.string()]
+            # The contents stay in the batch, and a file's records are Python values 5,000 at a time.
+            for name, when, body in zip(*batch.columns, strict=True):
+                read = rows(name.as_py(), when.as_py(), body.as_buffer())
+                while some := list(islice(read, 5_000)):
+                    columns = zip(*some, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["path", "modified", "place", "cells", "error"])
 
     read = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)

@@ -154,3 +154,22 @@ def test_moves_that_meet(spark):
     assert got == {1: ("runs/local/20240101_000000/d", True), 2: ("runs/submit_20240101_000000/d", False), 3: ("20240101_000000", False), 4: (None, False), 5: ("runs/local/20240101_000000/d", True)}
     known = layout.documented(spark.createDataFrame([("local", "20240102_030405_x", None, ""), ("other", "y", "z", None)], "folder string, name string, kind string, created string"), "name", "kind", "created")
     assert {(r.kind, r.created) for r in known.collect()} == {("local", "2024-01-02T03:04:05"), ("z", "")}
+
+
+def test_records_are_read_as_they_are_asked_for():
+    """Of a file of 12 MB no more than a block is held decoded; a bad byte at its end raises before the first record."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    body = pa.py_buffer(b"a,b\n" + b'1,"x\ny"\n' * 1_500_000)
+    tracemalloc.start()
+    try:
+        read = files._records(body)
+        got = [next(read) for _ in range(1000)]
+        assert tracemalloc.get_traced_memory()[1] < 6 << 20
+    finally:
+        tracemalloc.stop()
+    assert got[0] == {"a": "1", "b": "x\ny"} and sum(1 for _ in files._records(body.slice(0, 4 + 8 * 1000))) == 1000
+    with pytest.raises(UnicodeDecodeError, match="position 12000004"):
+        next(files._records(pa.py_buffer(body.to_pybytes() + b"\xff")))
